@@ -12,10 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delivery_lake.operators import cleaning, enrich, kpis
+from delivery_lake.operators import cleaning, enrich, kpis, profile
 from delivery_lake.plans import gold
 from delivery_lake.plans.oracle import analysis_sql, segment_sql, with_ctes
-from delivery_lake.schemas import DATE_COLUMNS
+from delivery_lake.schemas import DATE_COLUMNS, DECLARED
 from delivery_lake.sources import testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -346,3 +346,131 @@ FROM (SELECT * FROM (""" + analysis_sql("customer_state") + """) WHERE orders_co
 def d18_report(spark, sf):
     top = kpis.top_segments(kpis.segment_analysis(_wide(spark, sf), "customer_state"), "late_rate", 15, 50)
     return kpis.report_table(top)
+
+
+# ---------------------------------------------------------------------------------------------
+# E: exploration and data profile
+# ---------------------------------------------------------------------------------------------
+
+def _sources(spark, sf):
+    return testdata.source_tables(spark, sf)
+
+
+def _summary_sql() -> str:
+    parts = []
+    for name in testdata.DERIVATIONS:
+        cols = list(DECLARED[name])
+        parts.append(f"SELECT '{name}' AS table_name, count(*) AS rows, {len(cols)} AS columns, "
+                     f"'{', '.join(cols)}' AS column_names FROM src_{name}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _missing_sql() -> str:
+    parts = []
+    for name in testdata.DERIVATIONS:
+        for c in DECLARED[name]:
+            parts.append(
+                f"SELECT '{name}' AS table_name, '{c}' AS column_name, "
+                f"count(*) FILTER (WHERE {c} IS NULL) AS missing_count, "
+                f"round(CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) / count(*) * 100, 2) AS missing_rate "
+                f"FROM src_{name} HAVING count(*) FILTER (WHERE {c} IS NULL) > 0")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("e01_summary", _summary_sql())
+def e01_summary(spark, sf):
+    return profile.table_summary(_sources(spark, sf))
+
+
+@register("e02_dtypes")
+def e02_dtypes(spark, sf):
+    return profile.column_types(spark, _sources(spark, sf))
+
+
+@register("e03_missing", _missing_sql())
+def e03_missing(spark, sf):
+    return profile.missing_values(_sources(spark, sf))
+
+
+@register("e04_preview", "SELECT * FROM src_orders ORDER BY order_id LIMIT 5")
+def e04_preview(spark, sf):
+    return profile.preview(testdata.orders(spark, sf), "order_id", 5)
+
+
+@register("e05_month_spine", """
+WITH e05_counts AS (
+  SELECT last_day(order_purchase_timestamp) AS m, count(*) AS n
+  FROM s_orders WHERE order_purchase_timestamp IS NOT NULL GROUP BY 1),
+e05_spine AS (
+  SELECT last_day(CAST(unnest(generate_series(CAST(date_trunc('month', lo) AS TIMESTAMP),
+                                              CAST(date_trunc('month', hi) AS TIMESTAMP),
+                                              INTERVAL 1 MONTH)) AS DATE)) AS m
+  FROM (SELECT min(m) AS lo, max(m) AS hi FROM e05_counts))
+SELECT CAST(s.m AS TIMESTAMP) AS order_purchase_timestamp, coalesce(c.n, 0) AS orders_count
+FROM e05_spine s LEFT JOIN e05_counts c ON s.m = c.m""")
+def e05_month_spine(spark, sf):
+    return profile.orders_by_month_end(_silver(spark, sf)["orders"])
+
+
+@register("e06_status_share", """
+SELECT order_status, round(CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () * 100, 2) AS percentage
+FROM s_orders WHERE order_status IS NOT NULL GROUP BY order_status""")
+def e06_status_share(spark, sf):
+    return profile.value_share(_silver(spark, sf)["orders"], "order_status")
+
+
+@register("e07_naive_late", """
+SELECT count(*) AS delivered_orders,
+       avg(CAST(coalesce(delay_days > 0, false) AS INTEGER)) * 100 AS late_rate
+FROM s_orders WHERE order_status = 'delivered'""")
+def e07_naive_late(spark, sf):
+    return profile.naive_late_rate(_silver(spark, sf)["orders"])
+
+
+@register("e08_naive_impact", """
+SELECT coalesce(o.delay_days > 0, false) AS late_delivery, count(o.order_id) AS orders_count,
+       avg(r.review_score) AS avg_review_score,
+       avg(CAST(coalesce(r.review_score <= 2, false) AS INTEGER)) * 100 AS negative_review_rate
+FROM s_orders o LEFT JOIN s_reviews r ON o.order_id = r.order_id
+WHERE o.order_status = 'delivered' GROUP BY 1""")
+def e08_naive_impact(spark, sf):
+    s = _silver(spark, sf)
+    return profile.naive_impact(s["orders"], s["reviews"])
+
+
+@register("e09_top_categories", """
+SELECT coalesce(p.product_category_name_english, 'unknown') AS product_category_name_english,
+       count(i.order_id) AS items_count, count(DISTINCT i.order_id) AS orders_count,
+       CAST(coalesce(sum(i.price), 0) AS DOUBLE) AS revenue
+FROM s_order_items i LEFT JOIN g_products p ON i.product_id = p.product_id
+GROUP BY 1 ORDER BY items_count DESC, 1 LIMIT 15""")
+def e09_top_categories(spark, sf):
+    s = _silver(spark, sf)
+    return profile.top_categories(s["order_items"], s["products"], s["category_translation"])
+
+
+@register("e10_state_delay", """
+SELECT c.customer_state, count(o.order_id) AS orders_count,
+       avg(CAST(coalesce(o.delay_days > 0, false) AS INTEGER)) * 100 AS late_rate,
+       avg(o.delay_days) AS avg_delay_days
+FROM s_orders o LEFT JOIN s_customers c ON o.customer_id = c.customer_id
+WHERE o.order_status = 'delivered' AND c.customer_state IS NOT NULL GROUP BY 1""")
+def e10_state_delay(spark, sf):
+    s = _silver(spark, sf)
+    return profile.state_delay(s["orders"], s["customers"])
+
+
+@register("e11_seller_pairs", """
+SELECT seller_id, seller_state, count(DISTINCT order_id) AS orders_count,
+       avg(CAST(late AS INTEGER)) * 100 AS late_rate, avg(delay_days) AS avg_delay_days
+FROM (SELECT o.order_id, coalesce(o.delay_days > 0, false) AS late, o.delay_days, p.seller_id, s.seller_state
+      FROM s_orders o
+      LEFT JOIN (SELECT DISTINCT order_id, seller_id FROM s_order_items) p ON o.order_id = p.order_id
+      LEFT JOIN s_sellers s ON p.seller_id = s.seller_id
+      WHERE o.order_status = 'delivered')
+WHERE seller_id IS NOT NULL AND seller_state IS NOT NULL
+GROUP BY 1, 2 HAVING count(DISTINCT order_id) >= 50
+ORDER BY late_rate DESC, seller_id, seller_state LIMIT 15""")
+def e11_seller_pairs(spark, sf):
+    s = _silver(spark, sf)
+    return profile.seller_pairs(s["orders"], s["order_items"], s["sellers"])

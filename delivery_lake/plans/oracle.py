@@ -165,6 +165,10 @@ ALL_CTES = ",".join([SOURCE_CTES, SILVER_CTES, GOLD_CTES])
 
 
 def with_ctes(select: str) -> str:
+    """Prefix the shared CTEs; a query that starts with its own WITH has its CTEs appended."""
+    body = select.lstrip()
+    if body[:5].upper() == "WITH ":
+        return f"WITH {ALL_CTES},\n{body[5:]}"
     return f"WITH {ALL_CTES}\n{select}"
 
 

@@ -10,12 +10,13 @@ from pyspark.sql import types as T
 
 from delivery_lake.functions import (
     bool_from_text,
+    null_tokens_to_null,
     floor_days,
     late_flag,
     negative_review,
     parse_timestamp,
 )
-from delivery_lake.schemas import DATE_COLUMNS
+from delivery_lake.schemas import DATE_COLUMNS, DECLARED
 
 # Provenance columns added by the ingest; never part of a duplicate key.
 PROVENANCE = ("batch_id", "source_file")
@@ -108,10 +109,13 @@ TABLE_RULES: dict[str, list[Callable[[DataFrame], DataFrame]]] = {
 
 
 def clean_table(table: str, df: DataFrame) -> DataFrame:
-    """B01 -> B02 -> B03 -> the table's own rules. Duplicates are removed on the raw
-    values, before dates are parsed."""
+    """B01 -> B02 -> declared types -> B03 -> the table's own rules. Duplicates are removed
+    on the raw values, before anything is parsed (two spellings of one instant stay two rows).
+    On already typed input the casts are no-ops."""
     df = standardize_columns(df)
     df = drop_full_duplicates(df)
+    dates = set(DATE_COLUMNS.get(table, []))
+    df = cast_declared(df, {c: t for c, t in DECLARED.get(table, {}).items() if c not in dates})
     df = convert_dates(df, table)
     for rule in TABLE_RULES.get(table, []):
         df = rule(df)
@@ -141,8 +145,6 @@ def normalize_orders(df: DataFrame) -> DataFrame:
 def cast_declared(df: DataFrame, declared: dict[str, T.DataType]) -> DataFrame:
     """Typed scan helper: declared columns ``try_cast`` to their type (text via null tokens),
     other columns pass through unchanged."""
-    from delivery_lake.functions import null_tokens_to_null
-
     types = dict(df.dtypes)
     repl = {}
     for c, dtype in declared.items():

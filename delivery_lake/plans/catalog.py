@@ -12,11 +12,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delivery_lake.operators import cleaning, enrich, kpis, profile
+from delivery_lake.operators import cleaning, enrich, kpis, ml, profile
 from delivery_lake.plans import gold
 from delivery_lake.plans.oracle import analysis_sql, segment_sql, with_ctes
-from delivery_lake.schemas import DATE_COLUMNS, DECLARED
-from delivery_lake.sources import testdata
+from delivery_lake.plans.pipeline import run_pipeline
+from delivery_lake.schemas import (
+    CATEGORICAL_FEATURES,
+    DATE_COLUMNS,
+    DECLARED,
+    GOLD_TABLES,
+    MANIFEST,
+    NUMERIC_FEATURES,
+)
+from delivery_lake.session import scratch_dir
+from delivery_lake.sources import files, testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -474,3 +483,303 @@ ORDER BY late_rate DESC, seller_id, seller_state LIMIT 15""")
 def e11_seller_pairs(spark, sf):
     s = _silver(spark, sf)
     return profile.seller_pairs(s["orders"], s["order_items"], s["sellers"])
+
+
+# ---------------------------------------------------------------------------------------------
+# A: sources, sinks, snapshots. Each run writes under its own folder of the checkpoint root.
+# ---------------------------------------------------------------------------------------------
+
+def _landing(spark, sf) -> tuple[str, dict[str, str]]:
+    """Raw CSV files of the eight derived tables in a fresh folder, and their manifest."""
+    root = scratch_dir(spark, "landing")
+    tables = _sources(spark, sf)
+    files.write_landing(tables, root)
+    return root, {t: MANIFEST[t] for t in tables}
+
+
+def _bronze(spark, sf, batches=("ingestion_20240101_000000",)) -> tuple[str, dict[str, str]]:
+    landing, manifest = _landing(spark, sf)
+    root = scratch_dir(spark, "lake")
+    for b in batches:
+        files.ingest_bronze(spark, landing, root, b, manifest)
+    return root, manifest
+
+
+_ORDER_TEXT = ("SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id, "
+               "order_status, "
+               + ", ".join(f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}" for c in DATE_COLUMNS["orders"])
+               + " FROM src_orders")
+
+
+@register("a01_manifest", "SELECT * FROM (VALUES " + ", ".join(
+    f"('{t}', '{f}', {'false' if t == 'geolocation' else 'true'})" for t, f in MANIFEST.items())
+    + ") AS m(table_name, file_name, present)")
+def a01_manifest(spark, sf):
+    landing, _ = _landing(spark, sf)
+    return files.manifest_status(spark, landing, MANIFEST)
+
+
+@register("a02_bronze", _ORDER_TEXT)
+def a02_bronze(spark, sf):
+    root, _ = _bronze(spark, sf)
+    return files.read_layer(spark, root, "bronze", "orders").drop("batch_id", "source_file")
+
+
+@register("a03_latest_batch", "SELECT o.*, 'ingestion_20240301_000000' AS batch_id FROM (" + _ORDER_TEXT + ") o")
+def a03_latest_batch(spark, sf):
+    root, _ = _bronze(spark, sf, ("ingestion_20240101_000000", "ingestion_20240301_000000"))
+    latest = files.latest_batch(spark, root, "bronze", "orders")
+    return files.read_layer(spark, root, "bronze", "orders", latest).drop("source_file")
+
+
+@register("a04_typed_scan", "SELECT * FROM src_orders")
+def a04_typed_scan(spark, sf):
+    root, _ = _bronze(spark, sf)
+    return files.typed_scan(spark, root, "bronze", ["orders"])["orders"]
+
+
+@register("a05_silver", "SELECT * FROM s_orders")
+def a05_silver(spark, sf):
+    root, manifest = _bronze(spark, sf)
+    raw = files.scan(spark, root, "bronze", list(manifest))
+    files.write_tables(cleaning.clean_tables(raw), root, "silver", "cleaning_20240101_000000")
+    return files.read_layer(spark, root, "silver", "orders").drop("batch_id")
+
+
+@register("a06_gold_csv", segment_sql(["customer_state"], False))
+def a06_gold_csv(spark, sf):
+    out = scratch_dir(spark, "gold-csv")
+    wide = _wide(spark, sf)
+    files.export_gold_csv({"delivery_kpis_by_state": kpis.kpis_by_state(wide)}, out)
+    schema = ("customer_state string, orders_count bigint, late_rate double, avg_delivery_days double, "
+              "avg_delay_days double, avg_review_score double, negative_review_rate double")
+    return spark.read.option("header", True).schema(schema).csv(f"{out}/{GOLD_TABLES['delivery_kpis_by_state']}")
+
+
+@register("a09_fallback", "SELECT order_id, order_status, 'gold' AS data_source FROM g_wide")
+def a09_fallback(spark, sf):
+    root = scratch_dir(spark, "lake")
+    files.write_layer(_wide(spark, sf), root, "gold", "orders_enriched", "gold_20240101_000000")
+
+    def database():
+        raise ConnectionError("no database configured")
+
+    readers = [
+        ("database", database),
+        ("deployed csv", lambda: files.read_raw_csv(spark, f"{root}/deploy/orders_enriched.csv")),
+        ("gold", lambda: files.read_layer(spark, root, "gold", "orders_enriched")),
+    ]
+    df, label, _ = files.load_orders_with_fallback(spark, readers)
+    return df.select("order_id", "order_status", F.lit(label).alias("data_source"))
+
+
+# ---------------------------------------------------------------------------------------------
+# F: machine learning. A fitted model is kept per (data folder, model kind) in this process.
+# ---------------------------------------------------------------------------------------------
+
+_MODELS: dict[tuple[str, str], object] = {}
+
+# Rule used as "prediction" for the SQL-checkable evaluation queries.
+RULE_MAX_PROMISED_DAYS = 25
+
+
+def _ml_data(spark, sf):
+    return ml.coerce_target(enrich.ml_dataset(_wide(spark, sf)))
+
+
+def _split(spark, sf):
+    return ml.stratified_split(_ml_data(spark, sf))
+
+
+def _model(spark, sf, kind="forest"):
+    key = (sf, kind)
+    if key not in _MODELS:
+        _MODELS[key] = ml.fit(_split(spark, sf).where(~F.col("is_test")), kind)
+    return _MODELS[key]
+
+
+def _test_predictions(spark, sf, kind="forest"):
+    return ml.predict(_model(spark, sf, kind), _split(spark, sf).where(F.col("is_test")))
+
+
+def _rule_predictions(spark, sf):
+    rule = (F.col("estimated_delivery_days") <= RULE_MAX_PROMISED_DAYS).cast("double")
+    return _ml_data(spark, sf).withColumn("prediction", F.coalesce(rule, F.lit(0.0)))
+
+
+_RULE_SQL = (f"SELECT *, CAST(late_delivery AS INTEGER) AS y, "
+             f"coalesce(CAST(estimated_delivery_days <= {RULE_MAX_PROMISED_DAYS} AS INTEGER), 0) AS p FROM g_ml")
+
+_SPLIT_SQL = """
+f_hash AS (SELECT *, CAST(late_delivery AS DOUBLE) AS label, md5('42:' || CAST(order_id AS VARCHAR)) AS h FROM g_ml),
+f_split AS (
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY h, order_id)
+              <= floor(count(*) OVER (PARTITION BY label) * 0.2 + 0.5) AS is_test
+  FROM f_hash)"""
+
+
+@register("f01_target", "SELECT *, CAST(late_delivery AS DOUBLE) AS label FROM g_ml")
+def f01_target(spark, sf):
+    return _ml_data(spark, sf)
+
+
+@register("f02_features")
+def f02_features(spark, sf):
+    return ml.feature_table(spark, enrich.ml_dataset(_wide(spark, sf)))
+
+
+@register("f03_class_share", """
+SELECT late_delivery, round(CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () * 100, 2) AS percentage
+FROM g_ml WHERE late_delivery IS NOT NULL GROUP BY late_delivery""")
+def f03_class_share(spark, sf):
+    return profile.value_share(enrich.ml_dataset(_wide(spark, sf)), "late_delivery")
+
+
+@register("f04_split", "WITH " + _SPLIT_SQL + "\nSELECT order_id, label, is_test FROM f_split")
+def f04_split(spark, sf):
+    return _split(spark, sf).select("order_id", "label", "is_test")
+
+
+def _stats_sql() -> str:
+    parts = []
+    for c in NUMERIC_FEATURES:
+        parts.append(f"""SELECT '{c}' AS feature, med AS median,
+  round(avg(coalesce(CAST({c} AS DOUBLE), med)), 6) AS mean,
+  round(stddev_samp(coalesce(CAST({c} AS DOUBLE), med)), 6) AS stddev
+FROM f_split, (SELECT CAST(quantile_disc(CAST({c} AS DOUBLE), 0.5) AS DOUBLE) AS med FROM f_split WHERE NOT is_test)
+WHERE NOT is_test GROUP BY med""")
+    return "WITH " + _SPLIT_SQL + "\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("f05_impute_scale", _stats_sql())
+def f05_impute_scale(spark, sf):
+    return ml.numeric_stats(_split(spark, sf).where(~F.col("is_test")), NUMERIC_FEATURES)
+
+
+@register("f06_onehot")
+def f06_onehot(spark, sf):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+
+    prep = PipelineModel(stages=_model(spark, sf).stages[:-1])
+    cats = [f"{c}__ohe" for c in CATEGORICAL_FEATURES]
+    return prep.transform(_ml_data(spark, sf)).select("order_id", *[vector_to_array(c).alias(c) for c in cats])
+
+
+@register("f07_assemble")
+def f07_assemble(spark, sf):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+
+    prep = PipelineModel(stages=_model(spark, sf).stages[:-1])
+    return prep.transform(_ml_data(spark, sf)).select("order_id", vector_to_array("features").alias("features"))
+
+
+@register("f08_forest")
+def f08_forest(spark, sf):
+    forest = _model(spark, sf, "forest").stages[-1]
+    imp = forest.featureImportances.toArray().tolist()
+    rows = [(i, float(v)) for i, v in enumerate(imp)]
+    return spark.createDataFrame(rows, "feature_index int, importance double") \
+        .withColumn("num_trees", F.lit(forest.getNumTrees))
+
+
+@register("f09_logistic")
+def f09_logistic(spark, sf):
+    return _test_predictions(spark, sf, "logistic")
+
+
+@register("f10_predict")
+def f10_predict(spark, sf):
+    return _test_predictions(spark, sf, "forest")
+
+
+@register("f11_report", f"""
+WITH f_rule AS ({_RULE_SQL}),
+f_c AS (
+  SELECT count(*) FILTER (WHERE y = 0 AND p = 0) AS tp0, count(*) FILTER (WHERE y = 0) AS sup0,
+         count(*) FILTER (WHERE p = 0) AS pred0,
+         count(*) FILTER (WHERE y = 1 AND p = 1) AS tp1, count(*) FILTER (WHERE y = 1) AS sup1,
+         count(*) FILTER (WHERE p = 1) AS pred1
+  FROM f_rule),
+f_m AS (
+  SELECT *, CASE WHEN pred0 > 0 THEN tp0 / pred0 ELSE 0.0 END AS p0,
+            CASE WHEN sup0 > 0 THEN tp0 / sup0 ELSE 0.0 END AS r0,
+            CASE WHEN pred1 > 0 THEN tp1 / pred1 ELSE 0.0 END AS p1,
+            CASE WHEN sup1 > 0 THEN tp1 / sup1 ELSE 0.0 END AS r1
+  FROM f_c),
+f_f AS (
+  SELECT *, CASE WHEN p0 + r0 > 0 THEN 2 * p0 * r0 / (p0 + r0) ELSE 0.0 END AS f0,
+            CASE WHEN p1 + r1 > 0 THEN 2 * p1 * r1 / (p1 + r1) ELSE 0.0 END AS f1
+  FROM f_m)
+SELECT '0' AS class_label, p0 AS precision, r0 AS recall, f0 AS f1_score, sup0 AS support FROM f_f
+UNION ALL SELECT '1', p1, r1, f1, sup1 FROM f_f
+UNION ALL SELECT 'accuracy', NULL, NULL,
+  CASE WHEN sup0 + sup1 > 0 THEN (tp0 + tp1) / (sup0 + sup1) ELSE 0.0 END, sup0 + sup1 FROM f_f
+UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, sup0 + sup1 FROM f_f
+UNION ALL SELECT 'weighted avg',
+  CASE WHEN sup0 + sup1 > 0 THEN (p0 * sup0 + p1 * sup1) / (sup0 + sup1) ELSE 0.0 END,
+  CASE WHEN sup0 + sup1 > 0 THEN (r0 * sup0 + r1 * sup1) / (sup0 + sup1) ELSE 0.0 END,
+  CASE WHEN sup0 + sup1 > 0 THEN (f0 * sup0 + f1 * sup1) / (sup0 + sup1) ELSE 0.0 END, sup0 + sup1 FROM f_f""")
+def f11_report(spark, sf):
+    return ml.classification_report(_rule_predictions(spark, sf))
+
+
+@register("f12_confusion", f"""
+WITH f_rule AS ({_RULE_SQL})
+SELECT y AS true_label, count(*) FILTER (WHERE p = 0) AS predicted_0, count(*) FILTER (WHERE p = 1) AS predicted_1
+FROM f_rule GROUP BY y""")
+def f12_confusion(spark, sf):
+    return ml.confusion_matrix(_rule_predictions(spark, sf))
+
+
+@register("f13_model_io")
+def f13_model_io(spark, sf):
+    path = ml.save_model(_model(spark, sf), f"{scratch_dir(spark, 'models')}/forest")
+    loaded = ml.load_model(path)
+    return ml.predict(loaded, _split(spark, sf).where(F.col("is_test")))
+
+
+@register("f14_metrics")
+def f14_metrics(spark, sf):
+    pred = _test_predictions(spark, sf)
+    path = ml.save_metrics(ml.classification_report(pred), ml.confusion_matrix(pred),
+                           f"{scratch_dir(spark, 'metrics')}/metrics", "run_1")
+    return spark.read.parquet(path)
+
+
+@register("f15_score")
+def f15_score(spark, sf):
+    scored = ml.predict(_model(spark, sf), _wide(spark, sf), keep=["order_id"])
+    return scored.select("order_id", (F.col("prediction") == 1).alias("predicted_late"), "late_probability")
+
+
+@register("f16_compare")
+def f16_compare(spark, sf):
+    return ml.compare_models([ml.late_class_summary(_test_predictions(spark, sf, k), k)
+                              for k in ("forest", "logistic")])
+
+
+# ---------------------------------------------------------------------------------------------
+# G: the whole pipeline
+# ---------------------------------------------------------------------------------------------
+
+def _pipeline_sql() -> str:
+    src = [f"SELECT '{layer}' AS layer, '{t}' AS table_name, count(*) AS rows FROM {prefix}{t}"
+           for layer, prefix in (("bronze", "src_"), ("silver", "s_")) for t in testdata.DERIVATIONS]
+    gold = [("orders_enriched", "SELECT * FROM g_wide"),
+            ("delivery_kpis_by_state", segment_sql(["customer_state"], False)),
+            ("delivery_kpis_by_seller", segment_sql(["main_seller_id", "main_seller_state"], False)),
+            ("delivery_kpis_by_category", segment_sql(["main_product_category"], False)),
+            ("ml_dataset", "SELECT * FROM g_ml")]
+    src += [f"SELECT 'gold' AS layer, '{t}' AS table_name, count(*) AS rows FROM ({q})" for t, q in gold]
+    src.append("SELECT 'ml', 'test_rows', count(*) FROM f_split WHERE is_test")
+    src.append("SELECT 'ml', 'metrics', CAST(7 AS BIGINT)")
+    return "WITH " + _SPLIT_SQL + "\n" + "\nUNION ALL\n".join(src)
+
+
+@register("g01_pipeline", _pipeline_sql())
+def g01_pipeline(spark, sf):
+    landing, manifest = _landing(spark, sf)
+    summary, _ = run_pipeline(spark, landing, scratch_dir(spark, "lake"), manifest, stamp="20240101_000000")
+    return summary

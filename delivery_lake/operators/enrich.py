@@ -3,9 +3,9 @@
 Physical shape (see the README): each fact table (items, payments, reviews) is reduced to one
 row per order by aggregations with partial (map-side) combine, so a hot order is reduced before
 the shuffle. The "first row per group" picks of the original (sort + drop duplicates) are
-``min_by`` over an explicit total order: partial-aggregatable with constant state per group,
-no window and no global sort (Spark runs them as sort-based aggregation because the key is a
-struct). Distinct counts run in a separate hash aggregation. The order-level sides are all
+the minimum of ``struct(total-order key, value)``: partial-aggregatable with constant state per
+group, no window and no global sort (Spark runs them as sort-based aggregation because the
+buffer is a struct). Distinct counts run in a separate hash aggregation. The order-level sides are all
 hash-partitioned on ``order_id`` and joined without further exchanges; dimension lookups
 (sellers, translated products) are left to AQE, which broadcasts them only when their measured
 size is under the broadcast threshold.
@@ -44,7 +44,14 @@ def main_seller_key():
     """Total order for the main seller: dearest item first, null prices last, then the lowest
     item id, product and seller (the original sort was unstable on ties)."""
     price = F.col("price")
-    return F.struct(price.isNull(), -price, *_item_order_key())
+    return F.struct(price.isNull().alias("k0"), (-price).alias("k1"), *_item_order_key())
+
+
+def _first_by(value: str, key) -> F.Column:
+    """Value of the row with the smallest ``key`` (a struct giving a total order): the minimum
+    of ``struct(key, value)``, one partial-aggregatable buffer per group. Measured faster than
+    ``min_by`` with the same key. Rows with a null key are ignored."""
+    return F.min(F.when(key.isNotNull(), F.struct(key.alias("k"), F.col(value).alias("v"))))["v"]
 
 
 def items_by_order(items: DataFrame) -> DataFrame:
@@ -88,7 +95,7 @@ def main_seller(items: DataFrame, sellers: DataFrame) -> DataFrame:
     """Seller of the dearest item of each order, with the seller's city and state."""
     picked = (items.where(F.col("order_id").isNotNull())
               .groupBy("order_id")
-              .agg(F.min_by("seller_id", main_seller_key()).alias("main_seller_id")))
+              .agg(_first_by("seller_id", main_seller_key()).alias("main_seller_id")))
     return attach_seller(picked, sellers)
 
 
@@ -110,7 +117,7 @@ def item_categories(items: DataFrame, products: DataFrame, translation: DataFram
 def _main_category_agg():
     cat = F.col("product_category_name_english")
     key = F.when(cat.isNotNull(), F.struct(*_item_order_key()))
-    return F.min_by(F.when(cat.isNotNull(), cat), key).alias("main_product_category")
+    return _first_by("product_category_name_english", key).alias("main_product_category")
 
 
 def main_category(items_cat: DataFrame) -> DataFrame:
@@ -122,7 +129,7 @@ def main_category(items_cat: DataFrame) -> DataFrame:
 
 def item_summary(items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
     """C01 + C02 (seller id) + C05 in two aggregations over the items: sums and first-row picks
-    (``min_by``) over the items with their category in one, the distinct counts over the bare
+    (``_first_by``) over the items with their category in one, the distinct counts over the bare
     items in the other, joined on the co-partitioned order id. Measured 2.6x faster at sf0.1
     than one fused aggregation, whose distinct counts force an Expand of every row in front of
     a sort-based aggregation."""
@@ -130,7 +137,7 @@ def item_summary(items: DataFrame, products: DataFrame, translation: DataFrame)
     picks = (item_categories(it, products, translation)
              .groupBy("order_id")
              .agg(*_item_sums(),
-                  F.min_by("seller_id", main_seller_key()).alias("main_seller_id"),
+                  _first_by("seller_id", main_seller_key()).alias("main_seller_id"),
                   _main_category_agg()))
     return _join_order_level(picks, _item_distinct_counts(it))
 
@@ -138,7 +145,7 @@ def item_summary(items: DataFrame, products: DataFrame, translation: DataFrame)
 def _payment_key(payments: DataFrame):
     value = F.col("payment_value")
     tail = [F.col("payment_sequential")] if "payment_sequential" in payments.columns else []
-    return F.struct(value.isNull(), -value, *tail, F.col("payment_type"))
+    return F.struct(value.isNull().alias("k0"), (-value).alias("k1"), *tail, F.col("payment_type").alias("k3"))
 
 
 def payments_by_order(payments: DataFrame) -> DataFrame:
@@ -162,7 +169,7 @@ def main_payment(payments: DataFrame) -> DataFrame:
     """Type of the largest payment (ties: payment sequence, then type)."""
     return (payments.where(F.col("order_id").isNotNull())
             .groupBy("order_id")
-            .agg(F.min_by("payment_type", _payment_key(payments)).alias("payment_type")))
+            .agg(_first_by("payment_type", _payment_key(payments)).alias("payment_type")))
 
 
 def payment_summary(payments: DataFrame) -> DataFrame:
@@ -170,7 +177,7 @@ def payment_summary(payments: DataFrame) -> DataFrame:
     another, joined on the co-partitioned order id (as ``item_summary``)."""
     p = payments.where(F.col("order_id").isNotNull())
     picks = p.groupBy("order_id").agg(
-        *_payment_aggs(), F.min_by("payment_type", _payment_key(payments)).alias("payment_type"))
+        *_payment_aggs(), _first_by("payment_type", _payment_key(payments)).alias("payment_type"))
     counts = p.groupBy("order_id").agg(_payment_types_count())
     return _join_order_level(picks, counts)
 

@@ -38,6 +38,10 @@ from delivery_lake.schemas import (
 
 LABEL = "label"
 WEIGHT = "class_weight"
+# Performance settings of the forest (no effect on the model): node ids cached with the data
+# instead of shipping the trees every level; 1 GB of split statistics per pass. Measured at sf0.1:
+# 29.5 s -> 19.0 s.
+FOREST_TUNING = {"cacheNodeIds": True, "maxMemoryInMB": 1024, "checkpointInterval": 10}
 # 16-bit buckets of the split hash: the boundary bucket holds ~1/65536 of a class.
 SPLIT_BUCKET_HEX = 4
 
@@ -79,7 +83,8 @@ def stratified_split(df: DataFrame, label: str = LABEL, test_share: float = TEST
     namely those with the smallest hash.
 
     No class-wide sort: a per-class histogram over 65,536 hash buckets (a small aggregate)
-    gives the boundary bucket; only rows of that bucket are ranked."""
+    gives the boundary bucket; only rows of that bucket are ranked. ``df`` is read three times
+    (histogram, boundary, rest): pass a materialised table (parquet, or ``checkpoint()``)."""
     h = split_hash(key, seed)
     d = df.withColumns({"_h": h, "_b": F.conv(F.substring(h, 1, SPLIT_BUCKET_HEX), 16, 10).cast("int")})
     hist = d.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
@@ -170,7 +175,8 @@ def build_pipeline(train: DataFrame, model: str = "forest", numeric: list[str] |
         VectorAssembler(inputCols=["_num_scaled"] + [f"{c}__ohe" for c in cat], outputCol="features"),
     ]
     if model == "forest":
-        clf = RandomForestClassifier(labelCol=LABEL, featuresCol="features", weightCol=WEIGHT, **FOREST_PARAMS)
+        clf = RandomForestClassifier(labelCol=LABEL, featuresCol="features", weightCol=WEIGHT,
+                                     **FOREST_PARAMS, **FOREST_TUNING)
     elif model == "logistic":
         n_train = train.count()
         clf = LogisticRegression(labelCol=LABEL, featuresCol="features", weightCol=WEIGHT,

@@ -525,6 +525,17 @@ def a02_bronze(spark, sf):
     return files.read_layer(spark, root, "bronze", "orders").drop("batch_id", "source_file")
 
 
+@register("a02_bronze_stream", _ORDER_TEXT)
+def a02_bronze_stream(spark, sf):
+    from delivery_lake.streaming.bronze_stream import stream_ingest_table
+
+    landing, _ = _landing(spark, sf)
+    root = scratch_dir(spark, "lake")
+    stream_ingest_table(spark, landing, root, "orders", "ingestion_20240101_000000",
+                        checkpoint_dir=scratch_dir(spark, "stream-checkpoint"))
+    return files.read_layer(spark, root, "bronze", "orders").drop("batch_id", "source_file")
+
+
 @register("a03_latest_batch", "SELECT o.*, 'ingestion_20240301_000000' AS batch_id FROM (" + _ORDER_TEXT + ") o")
 def a03_latest_batch(spark, sf):
     root, _ = _bronze(spark, sf, ("ingestion_20240101_000000", "ingestion_20240301_000000"))

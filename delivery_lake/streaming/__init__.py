@@ -1,0 +1 @@
+"""Structured Streaming forms of the ingest (incremental, checkpointed, exactly-once)."""

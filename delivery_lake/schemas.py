@@ -21,6 +21,10 @@ MANIFEST = {
     "category_translation": "category_translation.csv",
 }
 
+# Tables with free text that may hold quoted line breaks (review comments): read with
+# multi-line CSV parsing, which cannot split a file. All other tables are read splittable.
+MULTILINE_TABLES = {"reviews"}
+
 # Columns parsed as timestamps per table.
 DATE_COLUMNS = {
     "orders": [

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delivery_lake.operators.cleaning import cast_declared
-from delivery_lake.schemas import DECLARED, GOLD_TABLES, LAYER_PREFIX, MANIFEST
+from delivery_lake.schemas import DECLARED, GOLD_TABLES, LAYER_PREFIX, MANIFEST, MULTILINE_TABLES
 
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -75,9 +75,10 @@ def write_landing(tables: dict[str, DataFrame], landing_dir: str) -> str:
     return landing_dir
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Raw CSV as all-STRING columns (no inference), quoted newlines and doubled quotes kept."""
-    return (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Raw CSV as all-STRING columns (no inference), doubled quotes kept. ``multi_line`` keeps
+    quoted line breaks but makes each file one task; use it only for free-text tables."""
+    return (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
             .option("inferSchema", False).csv(path))
 
 
@@ -104,7 +105,7 @@ def ingest_bronze(spark: SparkSession, source_dir: str, root: str, batch_id: str
     check_manifest(spark, source_dir, manifest, all_missing=True)
     batch_id = batch_id or new_batch_id("bronze")
     for table, file_name in manifest.items():
-        raw = read_raw_csv(spark, f"{source_dir.rstrip('/')}/{file_name}")
+        raw = read_raw_csv(spark, f"{source_dir.rstrip('/')}/{file_name}", multi_line=table in MULTILINE_TABLES)
         write_layer(raw.withColumn("source_file", F.lit(file_name)), root, "bronze", table, batch_id)
     return batch_id
 

@@ -42,10 +42,12 @@ def filter_dates(df: DataFrame, start, end, column: str = "order_purchase_timest
 
     Written as a half-open timestamp range so it is pushed to the parquet scan; null dates
     are dropped."""
-    lo = dt.datetime.combine(_as_date(start), dt.time())
-    hi = dt.datetime.combine(_as_date(end) + dt.timedelta(days=1), dt.time())
+    # literals as text cast to TIMESTAMP_NTZ: no time zone enters (a Python datetime literal
+    # would pass through the Python process zone and the session zone)
+    lo = F.lit(f"{_as_date(start).isoformat()} 00:00:00").cast("timestamp_ntz")
+    hi = F.lit(f"{(_as_date(end) + dt.timedelta(days=1)).isoformat()} 00:00:00").cast("timestamp_ntz")
     c = F.col(column)
-    return df.where((c >= F.lit(lo).cast("timestamp_ntz")) & (c < F.lit(hi).cast("timestamp_ntz")))
+    return df.where((c >= lo) & (c < hi))
 
 
 def filter_in(df: DataFrame, column: str, values: Sequence | None) -> DataFrame:

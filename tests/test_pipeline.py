@@ -14,7 +14,8 @@ def test_pipeline_end_to_end(spark, sf_small, tmp_path):
     landing = files.write_landing(tables, str(tmp_path / "landing"))
     manifest = {t: MANIFEST[t] for t in tables}
     root = str(tmp_path / "lake")
-    summary, info = run_pipeline(spark, landing, root, manifest, stamp="20240101_000000")
+    summary, info = run_pipeline(spark, landing, root, manifest, stamp="20240101_000000",
+                                 csv_export_dir=str(tmp_path / "export"))
     rows = {(r.layer, r.table_name): r.rows for r in summary.collect()}
     n_orders = testdata.orders(spark, sf_small).count()
     assert rows[("bronze", "orders")] == n_orders
@@ -28,6 +29,10 @@ def test_pipeline_end_to_end(spark, sf_small, tmp_path):
     key = lambda row: tuple((v is None, str(v)) for v in row)
     assert sorted(written.select(*cols).collect(), key=key) == sorted(mem.select(*cols).collect(), key=key)
     assert ml.load_model(info["model_path"]) is not None
+    kpi_csv = files.read_raw_csv(spark, info["csv"]["delivery_kpis_by_state"]).collect()
+    counts = [int(r.orders_count) for r in kpi_csv]
+    assert len(kpi_csv) == rows[("gold", "delivery_kpis_by_state")]
+    assert sum(counts) > 0
 
 
 def test_manifest_lists_all_missing(spark, tmp_path):
@@ -38,3 +43,12 @@ def test_manifest_lists_all_missing(spark, tmp_path):
     assert "geolocation.csv" in str(e.value) and "sellers.csv" in str(e.value)
     assert ml.load_model(str(tmp_path / "none")) is None
     assert files.manifest_status(spark, str(tmp_path)).where(F.col("present")).count() == 0
+
+
+def test_jdbc_partitioned_read_needs_bounds(spark):
+    import pytest
+
+    from delivery_lake.sources import jdbc
+
+    with pytest.raises(ValueError):
+        jdbc.jdbc_read(spark, "jdbc:none://nowhere", "orders_enriched", partition_column="order_id")

@@ -48,3 +48,12 @@ def test_first_row_picks_need_no_expand(spark, sf_small):
     text = plan_text(gold.wide_orders(spark, sf_small))
     # distinct counts expand only their own aggregation (items: 1 Expand, payments: none)
     assert text.count("Expand (") <= 1
+
+
+def test_order_level_aggregations_combine_map_side(spark, sf_small):
+    # every order-level aggregate has a partial step before its shuffle, so a hot order is
+    # reduced in each map task; the first-row picks use the struct minimum, not a window
+    text = plan_text(gold.wide_orders(spark, sf_small))
+    for fn in ("partial_min(", "partial_count(", "partial_sum(", "partial_avg(", "partial_max("):
+        assert fn in text
+    assert "Window" not in text and "row_number" not in text

@@ -21,7 +21,9 @@ def floor_days(later, earlier) -> Column:
     """Whole days of ``later - earlier``, rounded towards minus infinity.
 
     One hour early is -1, one hour late is 0. ``datediff``/``timestampdiff(DAY)`` truncate
-    towards zero and are wrong for negative spans. Null if either side is null."""
+    towards zero and are wrong for negative spans. Null if either side is null. On wall-clock
+    (NTZ) values the difference is the wall-clock one in any session zone (Spark diffs local
+    date-times); only a value inside a daylight-saving gap hour of a non-UTC session shifts."""
     micros = F.timestamp_diff("MICROSECOND", _col(earlier), _col(later))
     return F.floor(micros / F.lit(_MICROS_PER_DAY)).cast("bigint")
 

@@ -588,7 +588,7 @@ def a09_fallback(spark, sf):
 # F: machine learning. A fitted model is kept per (data folder, model kind) in this process.
 # ---------------------------------------------------------------------------------------------
 
-_MODELS: dict[tuple[int, str, str], object] = {}
+_MODELS: dict[tuple[str, str, str], object] = {}
 
 # Rule used as "prediction" for the SQL-checkable evaluation queries.
 RULE_MAX_PROMISED_DAYS = 25
@@ -598,13 +598,13 @@ def _ml_data(spark, sf):
     return ml.coerce_target(enrich.ml_dataset(_wide(spark, sf)))
 
 
-_SPLITS: dict[tuple[int, str], DataFrame] = {}
+_SPLITS: dict[tuple[str, str], DataFrame] = {}
 
 
 def _split(spark, sf):
     """The split of the ML table. The ML table is written once with a reliable ``checkpoint()``
     into the shared checkpoint folder: the split reads it three times and training many more."""
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _SPLITS:
         checkpoint_root(spark)
         _SPLITS[key] = ml.stratified_split(_ml_data(spark, sf).checkpoint()).checkpoint()
@@ -612,7 +612,7 @@ def _split(spark, sf):
 
 
 def _model(spark, sf, kind="forest"):
-    key = (id(spark), sf, kind)
+    key = (spark.sparkContext.applicationId, sf, kind)
     if key not in _MODELS:
         _MODELS[key] = ml.fit(_split(spark, sf).where(~F.col("is_test")), kind)
     return _MODELS[key]

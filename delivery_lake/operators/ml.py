@@ -170,8 +170,11 @@ def build_pipeline(train: DataFrame, model: str = "forest", numeric: list[str] |
         StandardScaler(inputCol="_num_vec", outputCol="_num_scaled", withMean=True, withStd=True),
         StringIndexer(inputCols=[f"{c}__cat" for c in cat], outputCols=[f"{c}__idx" for c in cat],
                       handleInvalid="keep", stringOrderType="frequencyDesc"),
+        # the indexer's "keep" slot is the last index; dropLast removes exactly that slot, so an
+        # unseen category encodes as all zeros (encoder handleInvalid stays "error": "keep" there
+        # would give unseen values a slot of their own)
         OneHotEncoder(inputCols=[f"{c}__idx" for c in cat], outputCols=[f"{c}__ohe" for c in cat],
-                      dropLast=True, handleInvalid="keep"),
+                      dropLast=True),
         VectorAssembler(inputCols=["_num_scaled"] + [f"{c}__ohe" for c in cat], outputCol="features"),
     ]
     if model == "forest":

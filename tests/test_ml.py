@@ -22,3 +22,22 @@ def test_forest_learns_planted_rule(spark, sf_small):
     assert sum(a + b for a, b in cm.values()) == pred.count()
     split.unpersist()
     pred.unpersist()
+
+
+def test_unseen_category_encodes_as_zeros_and_null_as_mode(spark):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+
+    from delivery_lake.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+
+    cols = ", ".join([f"{c} double" for c in NUMERIC_FEATURES] + [f"{c} string" for c in CATEGORICAL_FEATURES])
+    row = lambda state, label: tuple([1.0] * len(NUMERIC_FEATURES)) + (state, "S", "cat", "boleto", label)
+    train = spark.createDataFrame([row("A", 1.0), row("A", 0.0), row("B", 0.0), row("B", 1.0), row("A", 0.0)],
+                                  cols + ", label double").withColumn("class_weight", F.lit(1.0))
+    model = ml.build_pipeline(train, "logistic").fit(train)
+    prep = PipelineModel(stages=model.stages[:-1])
+    test = spark.createDataFrame([row("A", 0.0), row("Z", 0.0), row(None, 0.0)], cols + ", label double")
+    got = [r[0] for r in prep.transform(test).select(vector_to_array("customer_state__ohe")).collect()]
+    assert got[0] == [1.0, 0.0]          # "A" is the most frequent value
+    assert got[1] == [0.0, 0.0]          # unseen value: all zeros
+    assert got[2] == got[0]              # missing value: filled with the most frequent value

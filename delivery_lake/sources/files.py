@@ -8,6 +8,7 @@ mix snapshots. Paths may be any Hadoop file system URI (shared storage on a clus
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,19 @@ from delivery_lake.operators.cleaning import cast_declared
 from delivery_lake.schemas import DECLARED, GOLD_TABLES, LAYER_PREFIX, MANIFEST, MULTILINE_TABLES
 
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# Independent per-table writes are submitted as concurrent Spark jobs: small dimension tables
+# then run alongside the large fact tables instead of leaving executors idle between jobs.
+WRITE_CONCURRENCY = 4
+
+
+def run_concurrently(tasks: dict[str, callable], workers: int = WRITE_CONCURRENCY) -> dict:
+    """Run independent Spark actions from a small thread pool; results by name. The first
+    failure is raised after all submitted actions finished."""
+    if workers <= 1 or len(tasks) <= 1:
+        return {name: fn() for name, fn in tasks.items()}
+    with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
 
 
 def _fs(spark: SparkSession, path: str):
@@ -70,8 +84,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 def write_landing(tables: dict[str, DataFrame], landing_dir: str) -> str:
     """Raw source files: each table as ``<landing>/<manifest file name>``."""
-    for name, df in tables.items():
-        write_csv(df, f"{landing_dir.rstrip('/')}/{MANIFEST[name]}")
+    run_concurrently({name: (lambda df=df, name=name: write_csv(df, f"{landing_dir.rstrip('/')}/{MANIFEST[name]}"))
+                      for name, df in tables.items()})
     return landing_dir
 
 
@@ -104,9 +118,12 @@ def ingest_bronze(spark: SparkSession, source_dir: str, root: str, batch_id: str
     name and the batch id. Checks the manifest first (all missing files listed)."""
     check_manifest(spark, source_dir, manifest, all_missing=True)
     batch_id = batch_id or new_batch_id("bronze")
-    for table, file_name in manifest.items():
+
+    def ingest(table: str, file_name: str) -> str:
         raw = read_raw_csv(spark, f"{source_dir.rstrip('/')}/{file_name}", multi_line=table in MULTILINE_TABLES)
-        write_layer(raw.withColumn("source_file", F.lit(file_name)), root, "bronze", table, batch_id)
+        return write_layer(raw.withColumn("source_file", F.lit(file_name)), root, "bronze", table, batch_id)
+
+    run_concurrently({t: (lambda t=t, f=f: ingest(t, f)) for t, f in manifest.items()})
     return batch_id
 
 
@@ -144,19 +161,20 @@ def typed_scan(spark: SparkSession, root: str, layer: str, tables: list[str], ba
 
 
 def write_tables(tables: dict[str, DataFrame], root: str, layer: str, batch_id: str) -> dict[str, str]:
-    """A05 (Silver) / A06 (Gold): one parquet table per name, in one batch."""
-    return {name: write_layer(df, root, layer, name, batch_id) for name, df in tables.items()}
+    """A05 (Silver) / A06 (Gold): one parquet table per name, in one batch (concurrent jobs)."""
+    return run_concurrently({name: (lambda df=df, name=name: write_layer(df, root, layer, name, batch_id))
+                             for name, df in tables.items()})
 
 
 def export_gold_csv(tables: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
     """A06 CSV export: header, KPI tables sorted by ``orders_count`` descending (the file order
     is the only place a sort is kept)."""
-    paths = {}
-    for name, df in tables.items():
+    def export(name: str, df: DataFrame) -> str:
         if "orders_count" in df.columns:
             df = df.orderBy(F.col("orders_count").desc())
-        paths[name] = write_csv(df, f"{out_dir.rstrip('/')}/{GOLD_TABLES.get(name, name + '.csv')}")
-    return paths
+        return write_csv(df, f"{out_dir.rstrip('/')}/{GOLD_TABLES.get(name, name + '.csv')}")
+
+    return run_concurrently({name: (lambda name=name, df=df: export(name, df)) for name, df in tables.items()})
 
 
 # --- A09 -------------------------------------------------------------------------------------------

@@ -29,6 +29,7 @@ from delivery_lake.schemas import (
     CATEGORICAL_FEATURES,
     FOREST_PARAMS,
     LOGISTIC_MAX_ITER,
+    LOGISTIC_TOL,
     ML_ID,
     ML_TARGET,
     NUMERIC_FEATURES,
@@ -182,8 +183,11 @@ def build_pipeline(train: DataFrame, model: str = "forest", numeric: list[str] |
                                      **FOREST_PARAMS, **FOREST_TUNING)
     elif model == "logistic":
         n_train = train.count()
+        # L2 strength 1/n equals C = 1 on the summed loss; the tolerance and the penalty on the
+        # unscaled coefficients follow the original solver defaults (inputs are already scaled)
         clf = LogisticRegression(labelCol=LABEL, featuresCol="features", weightCol=WEIGHT,
-                                 maxIter=LOGISTIC_MAX_ITER, regParam=1.0 / max(n_train, 1))
+                                 maxIter=LOGISTIC_MAX_ITER, regParam=1.0 / max(n_train, 1),
+                                 tol=LOGISTIC_TOL, standardization=False)
     else:
         raise ValueError(f"unknown model {model!r}")
     return Pipeline(stages=stages + [clf])

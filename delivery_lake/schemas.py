@@ -116,6 +116,7 @@ CATEGORICAL_FEATURES = ["customer_state", "main_seller_state", "main_product_cat
 # Model settings: forest and logistic regression, split share and seed.
 FOREST_PARAMS = {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 20, "seed": 42}
 LOGISTIC_MAX_ITER = 1000
+LOGISTIC_TOL = 1e-4
 TEST_SHARE = 0.2
 SPLIT_SEED = 42
 

@@ -69,3 +69,29 @@ def test_floor_days_matches_python(spark, pairs):
     got = [r[0] for r in df.select(floor_days("a", "b")).collect()]
     want = [(a - b) // dt.timedelta(days=1) for a, b in pairs]
     assert got == want
+
+
+INVARIANT_KEYS = ["c09_orders_enriched", "d05_kpi_state", "d06_kpi_seller", "d08_segment", "d11_topn", "d12_alerts",
+                  "e05_month_spine", "e09_top_categories", "e11_seller_pairs"]  # test_split_exact_disjoint_complete
+
+
+def test_queries_independent_of_shuffle_and_split_sizes(spark, sf_small):
+    import __spark_entry__ as entry
+
+    queries = entry.queries()
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+            "spark.sql.adaptive.coalescePartitions.enabled"]
+    old = {k: spark.conf.get(k) for k in keys}
+    results = {}
+    try:
+        for parts, split in ((1, "128MB"), (7, "64KB"), (64, "16KB")):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            for key in INVARIANT_KEYS:
+                results.setdefault(key, []).append(_sorted_rows(queries[key](spark, sf_small)))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    for key, runs in results.items():
+        assert runs[0] == runs[1] == runs[2], key

@@ -17,14 +17,24 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _micros_of_day(c: Column) -> Column:
+    seconds = F.date_part(F.lit("SECOND"), c)  # DECIMAL(8,6): seconds with the microseconds
+    return ((F.hour(c).cast("bigint") * 3600 + F.minute(c) * 60) * 1_000_000
+            + (seconds * 1_000_000).cast("bigint"))
+
+
 def floor_days(later, earlier) -> Column:
     """Whole days of ``later - earlier``, rounded towards minus infinity.
 
     One hour early is -1, one hour late is 0. ``datediff``/``timestampdiff(DAY)`` truncate
-    towards zero and are wrong for negative spans. Null if either side is null. On wall-clock
-    (NTZ) values the difference is the wall-clock one in any session zone (Spark diffs local
-    date-times); only a value inside a daylight-saving gap hour of a non-UTC session shifts."""
-    micros = F.timestamp_diff("MICROSECOND", _col(earlier), _col(later))
+    towards zero and are wrong for negative spans. Null if either side is null.
+
+    The span is computed from wall-clock fields only (calendar days between the dates plus the
+    difference of the times of day, in microseconds), so it is exact and independent of the
+    session time zone, daylight-saving changes included."""
+    a, b = _col(later), _col(earlier)
+    micros = (F.datediff(F.to_date(a), F.to_date(b)).cast("bigint") * _MICROS_PER_DAY
+              + _micros_of_day(a) - _micros_of_day(b))
     return F.floor(micros / F.lit(_MICROS_PER_DAY)).cast("bigint")
 
 

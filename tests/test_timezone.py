@@ -21,6 +21,10 @@ def test_floor_days_across_dst_change(other_zone):
     df = other_zone.createDataFrame([(dt.datetime(2018, 3, 12, 1, 30), dt.datetime(2018, 3, 11, 1, 0))],
                                     "a timestamp_ntz, b timestamp_ntz")
     assert df.select(floor_days("a", "b")).first()[0] == 1
+    # a wall-clock time inside the skipped hour (02:30 does not exist in this zone that night)
+    gap = other_zone.createDataFrame([(dt.datetime(2018, 3, 12, 2, 45), dt.datetime(2018, 3, 11, 2, 30))],
+                                     "a timestamp_ntz, b timestamp_ntz")
+    assert gap.select(floor_days("a", "b")).first()[0] == 1  # 24.25 wall-clock hours
 
 
 @pytest.mark.parametrize("key", ["b09_clean_orders", "c09_orders_enriched", "d01_date_filter", "e05_month_spine"])

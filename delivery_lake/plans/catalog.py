@@ -264,10 +264,7 @@ _SEGMENT_OUT = ["dimension", "label", "orders_count", "late_rate", "avg_delivery
     f"SELECT '{d}' AS dimension, " + ", ".join(_SEGMENT_OUT[1:]) + f" FROM ({analysis_sql(d)})"
     for d in ["customer_state", "main_product_category", "seller"]))
 def d08_segment(spark, sf):
-    w = _wide(spark, sf)
-    parts = [kpis.segment_analysis(w, d).select(F.lit(d).alias("dimension"), *_SEGMENT_OUT[1:])
-             for d in ["customer_state", "main_product_category", "seller"]]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return kpis.segment_analysis_all(_wide(spark, sf)).select(*_SEGMENT_OUT)
 
 
 @register("d09_seller_label", f"SELECT main_seller_id, main_seller_state, label FROM ({analysis_sql('seller')})")

@@ -57,3 +57,10 @@ def test_order_level_aggregations_combine_map_side(spark, sf_small):
     for fn in ("partial_min(", "partial_count(", "partial_sum(", "partial_avg(", "partial_max("):
         assert fn in text
     assert "Window" not in text and "row_number" not in text
+
+
+def test_alerts_one_aggregation_and_map_side_top_n(spark, sf_small):
+    text = plan_text(entry.queries()["d12_alerts"](spark, sf_small)).split("\n\n")[0]
+    # one grouping-sets aggregation for the three dimensions; top-n limited in every task
+    assert text.count("WindowGroupLimit") >= 2
+    assert "Union" not in text

@@ -2,7 +2,6 @@
 single-partition exchange under aggregations of raw rows."""
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from delivery_lake.operators import kpis

@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from delivery_lake.functions import bool_from_text, floor_days, late_flag, negative_review
 from delivery_lake.operators import cleaning, enrich, kpis, ml, profile

@@ -575,9 +575,9 @@ def a09_fallback(spark, sf):
     readers = [
         ("database", database),
         ("deployed csv", lambda: files.read_raw_csv(spark, f"{root}/deploy/orders_enriched.csv")),
-        ("gold", lambda: files.read_layer(spark, root, "gold", "orders_enriched")),
+        ("gold", files.latest_gold_reader(spark, root)),
     ]
-    df, label, _ = files.load_orders_with_fallback(spark, readers)
+    df, label, _, _ = files.load_orders_with_fallback(spark, readers)
     return df.select("order_id", "order_status", F.lit(label).alias("data_source"))
 
 

@@ -179,17 +179,28 @@ def export_gold_csv(tables: dict[str, DataFrame], out_dir: str) -> dict[str, str
 
 # --- A09 -------------------------------------------------------------------------------------------
 
-def load_orders_with_fallback(spark: SparkSession, readers: list[tuple[str, callable]]) -> tuple[DataFrame, str, list[str]]:
+def load_orders_with_fallback(spark: SparkSession, readers: list[tuple[str, callable]]
+                              ) -> tuple[DataFrame, str, str | None, list[str]]:
     """The first reader that works, in order (e.g. database, deployed CSV, latest Gold).
 
-    Each reader is ``(label, fn)`` with ``fn() -> DataFrame``; its schema is resolved inside
-    the ``try`` so a missing table or file fails here. Returns (data, source label, errors)."""
+    Each reader is ``(label, fn)``; ``fn()`` returns a DataFrame or ``(DataFrame, batch id)``. Its
+    schema is resolved inside the ``try`` so a missing table or file fails here. Returns
+    (data, source label, batch id or None, errors of the sources tried before)."""
     errors = []
     for label, fn in readers:
         try:
-            df = fn()
+            got = fn()
+            df, batch = got if isinstance(got, tuple) else (got, None)
             df.schema  # noqa: B018 - forces resolution of the source
-            return df, label, errors
+            return df, label, batch, errors
         except Exception as e:  # noqa: BLE001 - try the next source
             errors.append(f"{label}: {type(e).__name__}: {str(e).splitlines()[0][:200]}")
     raise RuntimeError("no data source available: " + " | ".join(errors))
+
+
+def latest_gold_reader(spark: SparkSession, root: str, table: str = "orders_enriched"):
+    """Reader for ``load_orders_with_fallback``: the latest Gold snapshot and its batch id."""
+    def read():
+        batch = latest_batch(spark, root, "gold", table)
+        return read_layer(spark, root, "gold", table, batch).drop("batch_id"), batch
+    return read

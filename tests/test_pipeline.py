@@ -52,3 +52,22 @@ def test_jdbc_partitioned_read_needs_bounds(spark):
 
     with pytest.raises(ValueError):
         jdbc.jdbc_read(spark, "jdbc:none://nowhere", "orders_enriched", partition_column="order_id")
+
+
+def test_fallback_chain_reports_source_batch_and_errors(spark, tmp_path):
+    import pytest
+
+    root = str(tmp_path / "lake")
+    files.write_layer(spark.createDataFrame([(1, "delivered")], "order_id bigint, order_status string"),
+                      root, "gold", "orders_enriched", "gold_20240101_000000")
+
+    def database():
+        raise ConnectionError("refused")
+
+    readers = [("database", database),
+               ("deployed csv", lambda: files.read_raw_csv(spark, str(tmp_path / "missing.csv"))),
+               ("gold", files.latest_gold_reader(spark, root))]
+    df, label, batch, errors = files.load_orders_with_fallback(spark, readers)
+    assert (label, batch, len(errors), df.count()) == ("gold", "gold_20240101_000000", 2, 1)
+    with pytest.raises(RuntimeError):
+        files.load_orders_with_fallback(spark, readers[:2])

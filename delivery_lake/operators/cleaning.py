@@ -134,11 +134,19 @@ def normalize_booleans(df: DataFrame, columns: Iterable[str] = ("late_delivery",
     return df.withColumns(repl) if repl else df
 
 
+# Measures the dashboard averages; read as numbers when the input is text (CSV copy).
+DASHBOARD_MEASURES = ["delivery_days", "delay_days", "review_score", "estimated_delivery_days"]
+
+
 def normalize_orders(df: DataFrame) -> DataFrame:
-    """Dashboard input normalisation: purchase time parsed, boolean columns normalised."""
+    """Dashboard input normalisation: purchase time parsed, boolean columns normalised, text
+    measures read as numbers (missing-value tokens and bad text -> null)."""
     types = dict(df.dtypes)
     if types.get("order_purchase_timestamp") == "string":
         df = df.withColumn("order_purchase_timestamp", parse_timestamp("order_purchase_timestamp"))
+    measures = {c: null_tokens_to_null(c).try_cast("double") for c in DASHBOARD_MEASURES if types.get(c) == "string"}
+    if measures:
+        df = df.withColumns(measures)
     return normalize_booleans(df)
 
 

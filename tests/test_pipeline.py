@@ -71,3 +71,18 @@ def test_fallback_chain_reports_source_batch_and_errors(spark, tmp_path):
     assert (label, batch, len(errors), df.count()) == ("gold", "gold_20240101_000000", 2, 1)
     with pytest.raises(RuntimeError):
         files.load_orders_with_fallback(spark, readers[:2])
+
+
+def test_dashboard_views_from_written_gold(spark, sf_small, tmp_path):
+    from delivery_lake.plans.dashboard import dashboard_views
+
+    path = str(tmp_path / "gold_csv")
+    files.write_csv(gold.wide_orders(spark, sf_small), path)
+    orders = files.read_raw_csv(spark, path)  # all text, as a CSV copy of the Gold table
+    views = dashboard_views(orders, "1995-01-01", "2001-12-31", states=None, categories=None, require_data=True)
+    assert set(views) == {"executive", "monthly", "impact", "analysis", "report", "alerts", "date_bounds"}
+    exec_row = views["executive"].first()
+    mem = gold.wide_orders(spark, sf_small)
+    assert exec_row.total_orders == mem.where("order_purchase_timestamp < '2002-01-01'").count()
+    assert views["impact"].count() == 2
+    assert views["alerts"].count() > 0

@@ -42,8 +42,9 @@ def main(argv: list[str] | None = None) -> int:
     from delivery_lake.session import checkpoint_root
     from delivery_lake.sources import files, testdata
 
-    spark = (SparkSession.builder.appName("delivery_lake_pipeline")
-             .config("spark.ui.enabled", "true" if args.ui else "false").getOrCreate())
+    existing = SparkSession.getActiveSession()
+    spark = existing or (SparkSession.builder.appName("delivery_lake_pipeline")
+                         .config("spark.ui.enabled", "true" if args.ui else "false").getOrCreate())
     checkpoint_root(spark)  # the session's shared checkpoint folder; a local one only if unset
     manifest = MANIFEST
     source = args.source
@@ -58,7 +59,8 @@ def main(argv: list[str] | None = None) -> int:
     for r in summary.orderBy("layer", "table_name").collect():  # one row per written table
         print(f"{r.layer:7s} {r.table_name:28s} {r.rows:>12,}")
     print(json.dumps({k: v for k, v in info.items() if k != "csv"}, default=str))
-    spark.stop()
+    if existing is None:  # stop only a session this script started
+        spark.stop()
     return 0
 
 

@@ -86,3 +86,17 @@ def test_dashboard_views_from_written_gold(spark, sf_small, tmp_path):
     assert exec_row.total_orders == mem.where("order_purchase_timestamp < '2002-01-01'").count()
     assert views["impact"].count() == 2
     assert views["alerts"].count() > 0
+
+
+def test_pipeline_script(spark, sf_small, tmp_path, capsys):
+    import pytest
+
+    from scripts.run_pipeline import main
+
+    with pytest.raises(SystemExit):
+        main(["--root", str(tmp_path / "x")])  # no source given
+    assert main(["--from-testdata", sf_small, "--root", str(tmp_path / "lake"), "--stamp", "20240101_000000",
+                 "--no-train"]) == 0
+    out = capsys.readouterr().out
+    assert "orders_enriched" in out and "gold_20240101_000000" in out
+    assert spark.range(1).count() == 1  # the shared session is still alive

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delivery_lake.llm import op2_secrets, op4_fm_index
+from delivery_lake.llm import op2_secrets, op3_recompression, op4_fm_index, op5_simhash
 from delivery_lake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,24 @@ def op2_secrets_query(spark, sf_dir):
     return op2_secrets.digest(documents(spark, sf_dir))
 
 
+OP3_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS k, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+win AS (SELECT k, doc_id, i, array_to_string(w[i:i + 12], ' ') AS s FROM d, unnest(range(1, len(w) - 11)) AS t(i)),
+least_ids AS (SELECT s, min(doc_id) AS m FROM win GROUP BY s),
+gone AS (SELECT DISTINCT k, p FROM win JOIN least_ids USING (s), unnest(range(i, i + 13)) AS t(p) WHERE m < doc_id),
+lists AS (SELECT k, count(*) AS n, list(p) AS ps FROM gone GROUP BY k),
+words AS (SELECT d.k, string_agg(w[p], ' ' ORDER BY p) AS kept FROM d, unnest(range(1, len(w) + 1)) AS t(p)
+          WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.k = d.k AND g.p = t.p) GROUP BY d.k)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN lists USING (k) LEFT JOIN words USING (k)
+"""
+
+
+@register("op3_substring_dedup", OP3_SQL)
+def op3_substring_dedup(spark, sf_dir):
+    return op3_recompression.digest(documents(spark, sf_dir))
+
+
 OP4_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
@@ -47,3 +65,8 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 @register("op4_decontamination", OP4_SQL)
 def op4_decontamination(spark, sf_dir):
     return op4_fm_index.digest(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@register("op5_simhash")
+def op5_simhash_query(spark, sf_dir):
+    return op5_simhash.digest(documents(spark, sf_dir))

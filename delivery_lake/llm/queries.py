@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delivery_lake.llm import op2_secrets, op3_recompression, op4_fm_index, op5_simhash
+from delivery_lake.llm import op2_secrets, op3_recompression, op4_fm_index, op5_simhash, op10_suffix_repeats
 from delivery_lake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,3 +70,24 @@ def op4_decontamination(spark, sf_dir):
 @register("op5_simhash")
 def op5_simhash_query(spark, sf_dir):
     return op5_simhash.digest(documents(spark, sf_dir))
+
+
+OP10_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT k, doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM d, unnest(range(0, (length(h) // 2) - 49)) AS t(i)),
+least_ids AS (SELECT s, min(doc_id) AS m FROM win GROUP BY s),
+hit AS (SELECT k, i FROM win JOIN least_ids USING (s) WHERE m < doc_id),
+ends AS (SELECT k, i, lag(i) OVER (PARTITION BY k ORDER BY i) AS before FROM hit),
+runs AS (SELECT k, i, sum(CASE WHEN before IS NULL OR i > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY i) AS run FROM ends),
+spans AS (SELECT k, run, min(i) AS a, max(i) + 50 AS b, lag(max(i) + 50, 1, 0) OVER (PARTITION BY k ORDER BY run) AS last FROM runs GROUP BY k, run),
+cut AS (SELECT k, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+        string_agg(substr(h, 2 * last + 1, 2 * (a - last)), '' ORDER BY a) AS head FROM spans JOIN d USING (k) GROUP BY k)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (k)
+"""
+
+
+@register("op10_suffix_repeats", OP10_SQL)
+def op10_suffix_repeats_query(spark, sf_dir):
+    return op10_suffix_repeats.digest(documents(spark, sf_dir))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delivery_lake.llm import op2_secrets, op3_recompression, op4_fm_index, op5_simhash, op10_suffix_repeats
+from delivery_lake.llm import op2_secrets, op3_recompression, op4_fm_index, op5_simhash, op7_langid, op8_subword_classifier, op9_weak_supervision, op10_suffix_repeats
 from delivery_lake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,21 @@ def op5_simhash_query(spark, sf_dir):
     return op5_simhash.digest(documents(spark, sf_dir))
 
 
+@register("op7_langid")
+def op7_langid_query(spark, sf_dir):
+    return op7_langid.digest(documents(spark, sf_dir))
+
+
+@register("op8_subword_classifier")
+def op8_subword_classifier_query(spark, sf_dir):
+    return op8_subword_classifier.digest(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@register("op9_weak_supervision")
+def op9_weak_supervision_query(spark, sf_dir):
+    return op9_weak_supervision.digest(documents(spark, sf_dir))
+
+
 OP10_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS k, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 win AS (SELECT k, doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM d, unnest(range(0, (length(h) // 2) - 49)) AS t(i)),

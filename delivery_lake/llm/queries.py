@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delivery_lake.llm import op2_secrets, op3_recompression, op4_fm_index, op5_simhash, op7_langid, op8_subword_classifier, op9_weak_supervision, op10_suffix_repeats
+from delivery_lake.llm import op1_sentencepiece, op2_secrets, op3_recompression, op4_fm_index, op5_simhash, op7_langid, op8_subword_classifier, op9_weak_supervision, op10_suffix_repeats
 from delivery_lake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def register(key: str, sql: str | None = None):
     return keep
 
 
+@register("op1_sentencepiece")
+def op1_sentencepiece_query(spark, sf_dir):
+    return op1_sentencepiece.digest(documents(spark, sf_dir))
+
+
 @register("op2_secrets")
 def op2_secrets_query(spark, sf_dir):
     return op2_secrets.digest(documents(spark, sf_dir))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delivery_lake.llm import op1_sentencepiece, op2_secrets, op3_recompression, op4_fm_index, op5_simhash, op7_langid, op8_subword_classifier, op9_weak_supervision, op10_suffix_repeats
+from delivery_lake.llm import op1_sentencepiece, op2_secrets, op3_recompression, op4_fm_index, op5_simhash, op6_lattice_lm, op7_langid, op8_subword_classifier, op9_weak_supervision, op10_suffix_repeats
 from delivery_lake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,11 @@ def op5_simhash_query(spark, sf_dir):
     return op5_simhash.digest(documents(spark, sf_dir))
 
 
+@register("op6_lattice_lm")
+def op6_lattice_lm_query(spark, sf_dir):
+    return op6_lattice_lm.digest(documents(spark, sf_dir))
+
+
 @register("op7_langid")
 def op7_langid_query(spark, sf_dir):
     return op7_langid.digest(documents(spark, sf_dir))

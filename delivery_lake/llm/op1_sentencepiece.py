@@ -220,20 +220,25 @@ def _run(held, dropout: float, seed: int, variants: int, emit):
 
 
 def encode(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
-    """All columns of the documents with ``token_ids`` (array of int) and ``n_tokens`` added."""
+    """All columns of the documents with ``token_ids`` (array of int), ``n_tokens`` and ``lossless`` (the
+    ids decode to the text; true for a null text) added. An input column with one of these names is
+    replaced."""
     held = docs.sparkSession.sparkContext.broadcast(load_model(model))
-    columns = docs.columns
+    columns = [c for c in docs.columns if c not in ("token_ids", "n_tokens", "lossless")]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
                        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = rows.select("row").withColumn("token_ids", F.lit(None).cast("array<int>")).schema
+    schema = rows.select("row").withColumns({"token_ids": F.lit(None).cast("array<int>"), "lossless": F.lit(True)}).schema
 
     def emit(part, pieces, texts, ids):
         import pyarrow as pa
 
-        return pa.RecordBatch.from_arrays([part.column("row"), pa.array(ids, pa.list_(pa.int32()))], names=["row", "token_ids"])
+        same = [t is None or pieces.decode(x) == t for t, x in zip(texts, ids)]
+        return pa.RecordBatch.from_arrays([part.column("row"), pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())],
+                                          names=["row", "token_ids", "lossless"])
 
     out = rows.mapInArrow(_run(held, dropout, seed, variants, emit), schema)
-    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in columns], "token_ids", F.coalesce(F.size("token_ids"), F.lit(0)).cast("long").alias("n_tokens"))
+    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in columns], "token_ids",
+                      F.coalesce(F.size("token_ids"), F.lit(0)).cast("long").alias("n_tokens"), "lossless")
 
 
 def decode(tokens: DataFrame, model: str = MODEL) -> DataFrame:

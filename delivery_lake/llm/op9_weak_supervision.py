@@ -27,6 +27,9 @@ SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 #: Steps of expectation-maximisation, and pseudo-counts of the accuracies (right, wrong).
 STEPS = 30
+#: Where it begins: share of good documents; how often a rule is right on good and on bad documents (a
+#: good document hardly ever breaks a rule, a bad one breaks the few for its kind of fault).
+SHARE, FIRST = 0.8, (0.98, 0.3)
 PRIOR = (8.0, 2.0)
 #: Posterior from which a document is kept.
 KEEP = 0.5
@@ -42,6 +45,8 @@ def measures(docs: DataFrame) -> DataFrame:
         F.length(F.regexp_replace("text", SPACE, "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         F.regexp_count("text", F.lit(r"\p{Lu}")).cast("long").alias("n_upper"),
+        F.regexp_count("text", F.lit("[!?]")).cast("long").alias("n_marks"),
+        F.size(F.array_distinct("w")).cast("long").alias("n_distinct"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"))
     # A window's hash, without its upper bits, above the place of its first word.
@@ -57,7 +62,7 @@ def measures(docs: DataFrame) -> DataFrame:
         CASE WHEN size(packed) < 2 THEN cast(array() AS array<int>) ELSE sort_array(transform(
             filter(sequence(0, size(packed) - 1), k -> {before} OR {after}), k -> {place.format(k='k')})) END"""))
     return repeated.select(
-        "doc_id", F.col("n").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_upper", "n_lines", "n_dup_lines",
+        "doc_id", F.col("n").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_upper", "n_marks", "n_distinct", "n_lines", "n_dup_lines",
         F.expr("""aggregate(places, named_struct('words', 0L, 'end', 0),
             (a, p) -> named_struct('words', a.words + p + 3 - greatest(a.end, p), 'end', p + 3), a -> a.words)""").alias("n_repeat_words"))
 
@@ -67,20 +72,26 @@ def _vote(bad: Column, good: Column) -> Column:
 
 
 def votes() -> dict[str, Column]:
-    """The rules: what each votes on the measures of a document."""
+    """The rules: what each votes on the measures of a document. Each kind of fault has two rules that
+    look at it differently, so that their agreement shows up in the vote patterns."""
     n = F.greatest(F.col("n_words"), F.lit(1))
+    chars = F.greatest(F.col("word_chars"), F.lit(1))
     length = F.col("word_chars") / n
-    symbols = F.col("n_symbols") / n
-    upper = F.col("n_upper") / F.greatest(F.col("word_chars"), F.lit(1))
+    symbols, symbol_chars = F.col("n_symbols") / n, F.col("n_symbols") / chars
+    upper, marks = F.col("n_upper") / chars, F.col("n_marks") / n
     lines = F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))
-    repeats = F.col("n_repeat_words") / n
+    repeats, distinct = F.col("n_repeat_words") / n, F.col("n_distinct") / n
     return {
         "v_words": _vote(F.col("n_words") < 50, F.col("n_words") >= 80),
         "v_word_length": _vote((length < 2.5) | (length > 12), (length >= 3.5) & (length <= 9)),
         "v_symbols": _vote(symbols > 0.1, symbols < 0.03),
-        "v_upper": _vote(upper > 0.5, upper < 0.2),
-        "v_lines": _vote(lines > 0.3, (lines < 0.1) & (F.col("n_lines") > 2)),
-        "v_repeats": _vote(repeats > 0.4, repeats < 0.15),
+        "v_symbol_chars": _vote(symbol_chars > 0.02, symbol_chars < 0.005),
+        "v_upper": _vote(upper > 0.4, upper < 0.15),
+        "v_marks": _vote(marks > 0.3, marks < 0.1),
+        "v_lines": _vote(lines > 0.2, (lines < 0.05) & (F.col("n_lines") > 2)),
+        "v_line_count": _vote(F.col("n_dup_lines") >= 4, F.col("n_dup_lines") == 0),
+        "v_repeats": _vote(repeats > 0.2, repeats < 0.1),
+        "v_distinct": _vote(distinct < 0.25, distinct > 0.45),
     }
 
 
@@ -96,7 +107,7 @@ def posterior(rules: list[str], model: dict) -> Column:
 def estimate(patterns: DataFrame, rules: list[str], steps: int = STEPS) -> dict:
     """Share of good documents and, per rule, the accuracies of its votes on good and bad documents,
     from the counts of the vote patterns (columns ``rules`` and ``count``)."""
-    model: dict = {"share": 0.8} | {r: (0.9, 0.7) for r in rules}
+    model: dict = {"share": SHARE} | {r: FIRST for r in rules}
     right, wrong = PRIOR
     sums = [F.sum("count").alias("all"), F.sum(F.col("count") * F.col("p")).alias("good")]
     for r in rules:

@@ -164,5 +164,10 @@ def cast_declared(df: DataFrame, declared: dict[str, T.DataType]) -> DataFrame:
             if isinstance(dtype, T.BooleanType):
                 repl[c] = bool_from_text(src)
                 continue
+            if isinstance(dtype, T.IntegralType):
+                # "5.0" and "1e1" are whole numbers too; text that is no whole number -> null
+                number = src.try_cast("double")
+                repl[c] = F.when(number == F.rint(number), number).try_cast(dtype)
+                continue
         repl[c] = src.try_cast(dtype)
     return df.withColumns(repl) if repl else df

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from delivery_lake.functions import pct_of_true, year_month
+from delivery_lake.operators.enrich import attach_seller
 from delivery_lake.schemas import (
     ALERT_MIN_ORDERS,
     ALERT_ROWS,
@@ -99,7 +100,8 @@ def segment_kpis(df: DataFrame, keys: Sequence[str], keep_null: bool = False) ->
     ``keep_null=True`` keeps null keys as their own segment (dashboard analysis)."""
     d = delivered(df)
     if not keep_null:
-        d = d.dropna(subset=list(keys))
+        for k in keys:
+            d = d.where(F.col(k).isNotNull())
     return d.groupBy(*keys).agg(*_kpi_aggs())
 
 
@@ -113,6 +115,15 @@ def kpis_by_seller(wide: DataFrame) -> DataFrame:
     return segment_kpis(wide, ["main_seller_id", "main_seller_state"])
 
 
+def kpis_by_main_seller(facts: DataFrame, sellers: DataFrame) -> DataFrame:
+    """D06 from ``orders_with_facts``: aggregated by the seller id first (partial aggregation in front
+    of the exchange, so a hot seller is reduced in every task), then the seller's state is looked up
+    on one row per seller."""
+    by_id = segment_kpis(facts, ["main_seller_id"])
+    return (attach_seller(by_id, sellers).where(F.col("main_seller_state").isNotNull())
+            .select("main_seller_id", "main_seller_state", *KPI_COLUMNS))
+
+
 def kpis_by_category(wide: DataFrame) -> DataFrame:
     """D07."""
     return segment_kpis(wide, ["main_product_category"])
@@ -210,10 +221,11 @@ def executive_kpis(df: DataFrame) -> DataFrame:
 
 
 def monthly_orders(df: DataFrame) -> DataFrame:
-    """Orders per calendar month (no gap filling); null dates dropped."""
+    """Orders per calendar month, first month first (no gap filling); null dates dropped."""
     return (df.where(F.col("order_purchase_timestamp").isNotNull())
             .groupBy(year_month("order_purchase_timestamp").alias("purchase_year_month"))
-            .agg(F.count("order_id").alias("orders_count")))
+            .agg(F.count("order_id").alias("orders_count"))
+            .orderBy("purchase_year_month"))
 
 
 def lateness_impact(df: DataFrame) -> DataFrame:
@@ -239,6 +251,12 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
             .orderBy("value"))
 
 
+def distinct_values_all(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """D17 for several columns in one pass over ``df``: (dimension, value), sorted."""
+    return (df.select(*columns).unpivot([], list(columns), "dimension", "value").where(F.col("value").isNotNull())
+            .distinct().orderBy("dimension", "value"))
+
+
 def _pct_text(c: str):
     return F.concat(F.round(F.col(c), 2).cast("string"), F.lit(" %"))
 

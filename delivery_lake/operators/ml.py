@@ -9,13 +9,16 @@ part only. Evaluation is one small aggregation over (label, prediction).
 
 from __future__ import annotations
 
+import re
+
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import (
-    Imputer,
     OneHotEncoder,
     SQLTransformer,
     StandardScaler,
+    StandardScalerModel,
     StringIndexer,
     VectorAssembler,
 )
@@ -36,6 +39,7 @@ from delivery_lake.schemas import (
     SPLIT_SEED,
     TEST_SHARE,
 )
+from delivery_lake.sources.files import path_exists
 
 LABEL = "label"
 WEIGHT = "class_weight"
@@ -43,6 +47,9 @@ WEIGHT = "class_weight"
 # instead of shipping the trees every level; 1 GB of split statistics per pass. Measured at sf0.1:
 # 29.5 s -> 19.0 s.
 FOREST_TUNING = {"cacheNodeIds": True, "maxMemoryInMB": 1024, "checkpointInterval": 10}
+# Split thresholds of a numeric feature come from this many bins, whose edges Spark's trees take from a
+# sample of at most max(maxBins^2, 10,000) training rows: a documented parameter of the fit.
+FOREST_BINS = 32
 # 16-bit buckets of the split hash: the boundary bucket holds ~1/65536 of a class.
 SPLIT_BUCKET_HEX = 4
 
@@ -123,30 +130,66 @@ def with_class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
     return train.join(F.broadcast(class_weights(train, label)), label)
 
 
-def numeric_stats(train: DataFrame, numeric: list[str], accuracy: int = 100_000) -> DataFrame:
-    """F05 statistics: lower median (no interpolation) of each numeric feature, and mean and
-    sample standard deviation after median imputation (mean / std rounded to 6 decimals).
-
-    Two passes: one aggregation of bounded quantile sketches for the medians (one scalar per
-    feature, as the ML ``Imputer`` keeps them), then one aggregation of the moments."""
-    med = train.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c) for c in numeric]).first()
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(med[c]).cast("double")) for c in numeric}
-    moments = train.agg(*[agg for c in numeric for agg in (
-        F.avg(filled[c]).alias(f"{c}__mean"), F.stddev_samp(filled[c]).alias(f"{c}__std"))])
-    parts = [moments.select(F.lit(c).alias("feature"), F.lit(med[c]).cast("double").alias("median"),
-                            F.round(f"{c}__mean", 6).alias("mean"), F.round(f"{c}__std", 6).alias("stddev"))
-             for c in numeric]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+# Buckets per value range and step of the exact median.
+MEDIAN_BUCKETS = 4096
+
+
+def exact_medians(train: DataFrame, numeric: list[str], buckets: int = MEDIAN_BUCKETS) -> dict[str, float | None]:
+    """Exact interpolated median of each numeric column (missing values left out; None if all are).
+
+    Values are counted once (a distributed aggregate per column and value). Then the range that holds
+    a middle value is narrowed step by step: a histogram of ``buckets`` per range finds the bucket,
+    whose least and greatest values are the next range, until one value is left. No sort, no sketch,
+    no column's values in one task; per step at most ``buckets`` rows for each wanted rank come back."""
+    spark = train.sparkSession
+    long = (train.select(*[F.col(c).cast("double").alias(c) for c in numeric])
+            .unpivot([], numeric, "feature", "value").where(F.col("value").isNotNull() & ~F.isnan("value")))
+    counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ranges = {}
+        for r in counts.groupBy("feature").agg(F.sum("n").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect():
+            for side, rank in (("lower", (r["n"] - 1) // 2), ("upper", r["n"] // 2)):
+                ranges[r["feature"], side] = (rank, r["lo"], r["hi"])
+        while open_ := [(f, s, lo, hi) for (f, s), (_, lo, hi) in ranges.items() if lo < hi]:
+            wanted = spark.createDataFrame(open_, "feature string, side string, lo double, hi double")
+            # two rows per column at most
+            d = counts.join(F.broadcast(wanted), "feature").where(F.col("value").between(F.col("lo"), F.col("hi")))
+            bucket = F.least(F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets), F.lit(buckets - 1))
+            found = (d.groupBy("feature", "side", bucket.alias("bucket"))
+                     .agg(F.sum("n").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect())
+            for f, s, _, _ in open_:
+                rank = ranges[f, s][0]
+                for r in sorted((r for r in found if (r["feature"], r["side"]) == (f, s)), key=lambda r: r["bucket"]):
+                    if rank < r["n"]:
+                        ranges[f, s] = (rank, r["lo"], r["hi"])
+                        break
+                    rank -= r["n"]
+    finally:
+        counts.unpersist()
+    return {c: (ranges[c, "lower"][1] + ranges[c, "upper"][1]) / 2 if (c, "lower") in ranges else None for c in numeric}
+
+
+def fitted_stats(model: PipelineModel, numeric: list[str]) -> list[tuple[str, float, float, float]]:
+    """(feature, median, mean, standard deviation) as the fitted pipeline applies them: the
+    medians come from its own first stage, fed with a row of missing values."""
+    spark = SparkSession.getActiveSession()
+    first = model.stages[0]
+    known = re.findall(r"(\w+)__(?:num|cat)\b", first.getStatement())
+    empty = spark.range(1).select(*[F.lit(None).cast("string").alias(c) for c in dict.fromkeys(known)])
+    row = first.transform(empty).first()
+    scaler = next(s for s in model.stages if isinstance(s, StandardScalerModel))
+    return [(c, row[f"{c}__num"], float(m), float(d)) for c, m, d in zip(numeric, scaler.mean.toArray(), scaler.std.toArray())]
 
 
 def categorical_modes(train: DataFrame, categorical: list[str]) -> dict[str, str]:
-    """Most frequent value per categorical column (ties: smallest value), from the train part.
-    One aggregation; the result is one small row."""
-    row = train.agg(*[F.mode(c, deterministic=True).alias(c) for c in categorical]).first()
-    return {c: row[c] for c in categorical}
+    """Most frequent value per categorical column (ties: smallest value), from the train part. Values
+    are counted by a distributed aggregate; one row per column comes back."""
+    counts = (train.select(*[F.col(c).cast("string").alias(c) for c in categorical])
+              .unpivot([], categorical, "feature", "value").where(F.col("value").isNotNull())
+              .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
+    best = counts.groupBy("feature").agg(F.min(F.struct((-F.col("n")).alias("k"), "value"))["value"].alias("value"))
+    found = {r["feature"]: r["value"] for r in best.collect()}
+    return {c: found.get(c) for c in categorical}
 
 
 def _quote(v: str) -> str:
@@ -160,14 +203,15 @@ def build_pipeline(train: DataFrame, model: str = "forest", numeric: list[str] |
     num = numeric or num
     cat = categorical or cat
     modes = categorical_modes(train, cat)
+    medians = exact_medians(train, num)
     select = ", ".join(
-        [f"CAST({c} AS DOUBLE) AS {c}__num" for c in num]
+        [f"coalesce(CAST({c} AS DOUBLE), CAST({medians[c]!r} AS DOUBLE)) AS {c}__num" if medians[c] is not None
+         else f"CAST({c} AS DOUBLE) AS {c}__num" for c in num]
         + [f"coalesce(CAST({c} AS STRING), {_quote(modes[c]) if modes[c] is not None else 'NULL'}) AS {c}__cat"
            for c in cat])
     stages = [
         SQLTransformer(statement=f"SELECT *, {select} FROM __THIS__"),
-        Imputer(strategy="median", inputCols=[f"{c}__num" for c in num], outputCols=[f"{c}__imp" for c in num]),
-        VectorAssembler(inputCols=[f"{c}__imp" for c in num], outputCol="_num_vec", handleInvalid="keep"),
+        VectorAssembler(inputCols=[f"{c}__num" for c in num], outputCol="_num_vec", handleInvalid="keep"),
         StandardScaler(inputCol="_num_vec", outputCol="_num_scaled", withMean=True, withStd=True),
         StringIndexer(inputCols=[f"{c}__cat" for c in cat], outputCols=[f"{c}__idx" for c in cat],
                       handleInvalid="keep", stringOrderType="frequencyDesc"),
@@ -180,7 +224,7 @@ def build_pipeline(train: DataFrame, model: str = "forest", numeric: list[str] |
     ]
     if model == "forest":
         clf = RandomForestClassifier(labelCol=LABEL, featuresCol="features", weightCol=WEIGHT,
-                                     **FOREST_PARAMS, **FOREST_TUNING)
+                                     maxBins=FOREST_BINS, **FOREST_PARAMS, **FOREST_TUNING)
     elif model == "logistic":
         n_train = train.count()
         # L2 strength 1/n equals C = 1 on the summed loss; the tolerance and the penalty on the
@@ -290,15 +334,15 @@ def save_model(model: PipelineModel, path: str) -> str:
 
 
 def load_model(path: str) -> PipelineModel | None:
-    """the saved pipeline model, or None when there is none at ``path``."""
-    try:
-        return PipelineModel.load(path)
-    except Exception:  # noqa: BLE001 - a missing model is a normal state
-        return None
+    """the saved pipeline model, or None when there is none at ``path``. A model that is there but
+    can't be read raises."""
+    spark = SparkSession.getActiveSession()
+    return PipelineModel.load(path) if path_exists(spark, path) else None
 
 
 def save_metrics(report: DataFrame, matrix: DataFrame, path: str, run_id: str) -> str:
-    """classification report and confusion matrix as one parquet table keyed by run."""
+    """classification report and confusion matrix as one parquet table keyed by run; writing a
+    run again replaces its rows."""
     rep = report.select(F.lit(run_id).alias("run_id"), F.lit("report").alias("kind"), "class_label",
                         "precision", "recall", "f1_score", F.col("support").cast("bigint").alias("support"),
                         F.lit(None).cast("bigint").alias("predicted_0"), F.lit(None).cast("bigint").alias("predicted_1"))
@@ -307,5 +351,6 @@ def save_metrics(report: DataFrame, matrix: DataFrame, path: str, run_id: str) -
                         F.lit(None).cast("double").alias("precision"), F.lit(None).cast("double").alias("recall"),
                         F.lit(None).cast("double").alias("f1_score"), F.lit(None).cast("bigint").alias("support"),
                         "predicted_0", "predicted_1")
-    rep.unionByName(mat).write.mode("append").partitionBy("run_id").parquet(path)
+    (rep.unionByName(mat).write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
+     .partitionBy("run_id").parquet(path))
     return path

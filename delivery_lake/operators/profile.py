@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from delivery_lake.operators.enrich import translate_products
+from delivery_lake.operators.enrich import translate_products, unique_lookup
 from delivery_lake.schemas import DELIVERED, SELLER_PAIRS_MIN_ORDERS, SELLER_PAIRS_ROWS, TOP_CATEGORIES, UNKNOWN
 
 
@@ -22,14 +22,14 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def table_summary(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows, number of columns and column names per table; one job for all tables."""
+    """Rows, number of columns and column names per table, most rows first; one job for all."""
     return _union([
         df.agg(F.count(F.lit(1)).alias("rows")).select(
             F.lit(name).alias("table_name"), "rows",
             F.lit(len(df.columns)).alias("columns"),
             F.lit(", ".join(df.columns)).alias("column_names"))
         for name, df in tables.items()
-    ])
+    ]).orderBy(F.col("rows").desc(), "table_name")
 
 
 def column_types(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
@@ -39,7 +39,7 @@ def column_types(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame
 
 
 def missing_values(tables: dict[str, DataFrame]) -> DataFrame:
-    """Per table and column with any null: missing count and rate (%, 2 decimals).
+    """Per table and column with any null: missing count and rate (%, 2 decimals), highest first.
 
     One aggregation per table counts the nulls of all its columns in a single pass; the
     one-row result is unpivoted."""
@@ -51,7 +51,7 @@ def missing_values(tables: dict[str, DataFrame]) -> DataFrame:
         parts.append(long.where(F.col("missing_count") > 0).select(
             F.lit(name).alias("table_name"), "column_name", "missing_count",
             F.round(F.col("missing_count") / F.col("_rows") * 100, 2).alias("missing_rate")))
-    return _union(parts)
+    return _union(parts).orderBy(F.col("missing_rate").desc(), F.col("missing_count").desc(), "table_name", "column_name")
 
 
 def preview(df: DataFrame, key: str, n: int = 5) -> DataFrame:
@@ -131,12 +131,13 @@ def top_categories(items: DataFrame, products: DataFrame, translation: DataFrame
 
 
 def state_delay(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Naive late % and mean delay days by customer state (null state dropped)."""
+    """Naive late % and mean delay days by customer state (null state dropped), latest first."""
     d = naive_late(orders).join(customers.select("customer_id", "customer_state"), "customer_id", "left")
     return (d.where(F.col("customer_state").isNotNull()).groupBy("customer_state")
             .agg(F.count("order_id").alias("orders_count"),
                  (F.avg(F.col("late_delivery").cast("int")) * 100).alias("late_rate"),
-                 F.avg("delay_days").cast("double").alias("avg_delay_days")))
+                 F.avg("delay_days").cast("double").alias("avg_delay_days"))
+            .orderBy(F.col("late_rate").desc(), "customer_state"))
 
 
 def seller_pairs(orders: DataFrame, items: DataFrame, sellers: DataFrame,
@@ -144,17 +145,18 @@ def seller_pairs(orders: DataFrame, items: DataFrame, sellers: DataFrame,
     """Late % by seller over all distinct (order, seller) pairs of delivered orders,
     sellers with at least ``min_orders`` orders, the ``n`` latest (ties by seller id).
 
-    Rows without seller or seller state are dropped by the grouping, so inner joins give the
-    same result and let AQE split a hot key on either side."""
+    Aggregated by seller id before the seller's state is looked up: the distinct count shuffles on
+    (seller, order) after a partial aggregation, so a hot seller is spread over all tasks, and the
+    lookup joins one row per seller. Rows without seller or seller state drop out."""
     pairs = items.where(F.col("order_id").isNotNull() & F.col("seller_id").isNotNull()) \
         .select("order_id", "seller_id").distinct()
-    d = (naive_late(orders).select("order_id", "late_delivery", "delay_days")
-         .join(pairs, "order_id")
-         .join(sellers.where(F.col("seller_state").isNotNull()).select("seller_id", "seller_state"), "seller_id"))
-    g = d.groupBy("seller_id", "seller_state").agg(
+    d = naive_late(orders).select("order_id", "late_delivery", "delay_days").join(pairs, "order_id")
+    g = d.groupBy("seller_id").agg(
         F.count_distinct("order_id").alias("orders_count"),
         (F.avg(F.col("late_delivery").cast("int")) * 100).alias("late_rate"),
         F.avg("delay_days").cast("double").alias("avg_delay_days"))
-    return (g.where(F.col("orders_count") >= min_orders)
+    known = unique_lookup(sellers.where(F.col("seller_state").isNotNull()), "seller_id", ["seller_state"])
+    return (g.where(F.col("orders_count") >= min_orders).join(known, "seller_id")
+            .select("seller_id", "seller_state", "orders_count", "late_rate", "avg_delay_days")
             .orderBy(F.col("late_rate").desc(), "seller_id", "seller_state")
             .limit(n))

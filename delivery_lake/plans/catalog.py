@@ -77,7 +77,7 @@ def b02_dedup(spark, sf):
 
 @register("b03_dates", """
 SELECT order_id, order_purchase_timestamp,
-       CASE WHEN order_id % 97 <> 0 THEN order_approved_at END AS order_approved_at,
+       CASE WHEN order_id NOT LIKE '0%' THEN order_approved_at END AS order_approved_at,
        order_delivered_carrier_date, order_delivered_customer_date, order_estimated_delivery_date
 FROM src_orders""")
 def b03_dates(spark, sf):
@@ -85,7 +85,7 @@ def b03_dates(spark, sf):
     as_text = {c: F.coalesce(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), F.lit("NA")) for c in ORDER_DATES}
     text = o.withColumns(as_text).withColumn(
         "order_approved_at",
-        F.when(F.col("order_id") % 97 == 0, F.lit("not a date")).otherwise(F.col("order_approved_at")))
+        F.when(F.col("order_id").startswith("0"), F.lit("not a date")).otherwise(F.col("order_approved_at")))
     return cleaning.convert_dates(text, "orders").select("order_id", *ORDER_DATES)
 
 
@@ -248,7 +248,8 @@ def d05_kpi_state(spark, sf):
 
 @register("d06_kpi_seller", segment_sql(["main_seller_id", "main_seller_state"], False))
 def d06_kpi_seller(spark, sf):
-    return kpis.kpis_by_seller(_wide(spark, sf))
+    tables = _silver(spark, sf)
+    return kpis.kpis_by_main_seller(enrich.orders_with_facts(tables), tables["sellers"])
 
 
 @register("d07_kpi_category", segment_sql(["main_product_category"], False))
@@ -334,10 +335,7 @@ SELECT DISTINCT 'customer_state' AS dimension, customer_state AS value FROM g_wi
 UNION ALL
 SELECT DISTINCT 'main_product_category', main_product_category FROM g_wide WHERE main_product_category IS NOT NULL""")
 def d17_distinct(spark, sf):
-    w = _wide(spark, sf)
-    return (kpis.distinct_values(w, "customer_state").select(F.lit("customer_state").alias("dimension"), "value")
-            .unionByName(kpis.distinct_values(w, "main_product_category")
-                         .select(F.lit("main_product_category").alias("dimension"), "value")))
+    return kpis.distinct_values_all(_wide(spark, sf), ["customer_state", "main_product_category"])
 
 
 @register("d18_report", """
@@ -487,7 +485,7 @@ def e11_seller_pairs(spark, sf):
 # ---------------------------------------------------------------------------------------------
 
 def _landing(spark, sf) -> tuple[str, dict[str, str]]:
-    """Raw CSV files of the eight derived tables in a fresh folder, and their manifest."""
+    """Raw CSV files of the nine derived tables in a fresh folder, and their manifest."""
     root = scratch_dir(spark, "landing")
     tables = _sources(spark, sf)
     files.write_landing(tables, root)
@@ -502,72 +500,162 @@ def _bronze(spark, sf, batches=("ingestion_20240101_000000",)) -> tuple[str, dic
     return root, manifest
 
 
-_ORDER_TEXT = ("SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id, "
-               "order_status, "
-               + ", ".join(f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}" for c in DATE_COLUMNS["orders"])
-               + " FROM src_orders")
+def _tagged_sql(prefix: str, extra: dict[str, list[str]] | None = None, batch: str | None = None) -> str:
+    """Every row of every table as (table, text of its columns): timestamps to the second."""
+    parts = []
+    for t in testdata.DERIVATIONS:
+        cols = [*DECLARED[t], *(extra or {}).get(t, [])]
+        text = [f"coalesce({_text_sql(t, c)}, '<null>')" for c in cols]
+        tag = f"'{batch}' AS batch_id, " if batch else ""
+        parts.append(f"SELECT '{t}' AS table_name, {tag}{' || chr(124) || '.join(text)} AS row_text FROM {prefix}{t}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _text_sql(table: str, c: str) -> str:
+    return f"strftime({c}, '%Y-%m-%d %H:%M:%S')" if c in DATE_COLUMNS.get(table, []) else f"CAST({c} AS VARCHAR)"
+
+
+def _tagged(tables: dict[str, DataFrame], extra: dict[str, list[str]] | None = None, **tags: str) -> DataFrame:
+    parts = []
+    for t, df in tables.items():
+        cols = [*DECLARED[t], *(extra or {}).get(t, [])]
+        types = dict(df.dtypes)
+        text = [F.date_format(c, "yyyy-MM-dd HH:mm:ss") if types[c] == "timestamp_ntz" else F.col(c).cast("string") for c in cols]
+        parts.append(df.select(F.lit(t).alias("table_name"), *[F.lit(v).alias(k) for k, v in tags.items()],
+                               F.concat_ws("|", *[F.coalesce(x, F.lit("<null>")) for x in text]).alias("row_text")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# Columns that the Silver rules add.
+_SILVER_EXTRA = {"orders": ["estimated_delivery_days", "delay_days", "late_delivery"], "reviews": ["negative_review"],
+                 "products": ["product_volume_cm3"]}
 
 
 @register("a01_manifest", "SELECT * FROM (VALUES " + ", ".join(
     f"('{t}', '{f}', {'false' if t == 'geolocation' else 'true'})" for t, f in MANIFEST.items())
     + ") AS m(table_name, file_name, present)")
 def a01_manifest(spark, sf):
-    landing, _ = _landing(spark, sf)
-    return files.manifest_status(spark, landing, MANIFEST)
+    """Eight of the nine files have been delivered: the ninth is reported as missing."""
+    root = scratch_dir(spark, "landing")
+    files.write_landing({t: df for t, df in _sources(spark, sf).items() if t != "geolocation"}, root)
+    return files.manifest_status(spark, root, MANIFEST)
 
 
-@register("a02_bronze", _ORDER_TEXT)
+@register("a02_bronze", _tagged_sql("src_"))
 def a02_bronze(spark, sf):
-    root, _ = _bronze(spark, sf)
-    return files.read_layer(spark, root, "bronze", "orders").drop("batch_id", "source_file")
+    root, manifest = _bronze(spark, sf)
+    return _tagged(files.scan(spark, root, "bronze", list(manifest)))
 
 
-@register("a02_bronze_stream", _ORDER_TEXT)
+@register("a02_bronze_stream", _tagged_sql("src_"))
 def a02_bronze_stream(spark, sf):
-    from delivery_lake.streaming.bronze_stream import stream_ingest_table
+    from delivery_lake.streaming.bronze_stream import read_stream_table, stream_ingest
 
-    landing, _ = _landing(spark, sf)
+    landing, manifest = _landing(spark, sf)
     root = scratch_dir(spark, "lake")
-    stream_ingest_table(spark, landing, root, "orders", "ingestion_20240101_000000",
-                        checkpoint_dir=scratch_dir(spark, "stream-checkpoint"))
-    return files.read_layer(spark, root, "bronze", "orders").drop("batch_id", "source_file")
+    stream_ingest(spark, landing, root, "ingestion_20240101_000000", manifest)
+    return _tagged({t: read_stream_table(spark, root, t) for t in manifest})
 
 
-@register("a03_latest_batch", "SELECT o.*, 'ingestion_20240301_000000' AS batch_id FROM (" + _ORDER_TEXT + ") o")
+@register("a03_latest_batch", _tagged_sql("src_", batch="ingestion_20240301_000000"))
 def a03_latest_batch(spark, sf):
-    root, _ = _bronze(spark, sf, ("ingestion_20240101_000000", "ingestion_20240301_000000"))
-    latest = files.latest_batch(spark, root, "bronze", "orders")
-    return files.read_layer(spark, root, "bronze", "orders", latest).drop("source_file")
+    root, manifest = _bronze(spark, sf, ("ingestion_20240101_000000", "ingestion_20240301_000000"))
+    latest = files.latest_batch(spark, root, "bronze", list(manifest))
+    return _tagged(files.scan(spark, root, "bronze", list(manifest), latest), batch_id=latest)
 
 
-@register("a04_typed_scan", "SELECT * FROM src_orders")
+@register("a04_typed_scan", _tagged_sql("src_"))
 def a04_typed_scan(spark, sf):
-    root, _ = _bronze(spark, sf)
-    return files.typed_scan(spark, root, "bronze", ["orders"])["orders"]
+    root, manifest = _bronze(spark, sf)
+    return _tagged(files.typed_scan(spark, root, "bronze", list(manifest)))
 
 
-@register("a05_silver", "SELECT * FROM s_orders")
+@register("a05_silver", _tagged_sql("s_", _SILVER_EXTRA))
 def a05_silver(spark, sf):
     root, manifest = _bronze(spark, sf)
     raw = files.scan(spark, root, "bronze", list(manifest))
     files.write_tables(cleaning.clean_tables(raw), root, "silver", "cleaning_20240101_000000")
-    return files.read_layer(spark, root, "silver", "orders").drop("batch_id")
+    return _tagged(files.scan(spark, root, "silver", list(manifest)), _SILVER_EXTRA)
+
+
+def _gold_sql() -> dict[str, str]:
+    return {"orders_enriched": "SELECT * FROM g_wide",
+            "delivery_kpis_by_state": segment_sql(["customer_state"], False),
+            "delivery_kpis_by_seller": segment_sql(["main_seller_id", "main_seller_state"], False),
+            "delivery_kpis_by_category": segment_sql(["main_product_category"], False),
+            "ml_dataset": "SELECT * FROM g_ml"}
+
+
+_KPI_TYPES = {"orders_count": "bigint", "late_rate": "double", "avg_delivery_days": "double", "avg_delay_days": "double",
+              "avg_review_score": "double", "negative_review_rate": "double"}
+_ORDER_TYPES = {"order_id": "string", "customer_id": "string", "order_status": "string", "late_delivery": "boolean",
+                **{c: "timestamp_ntz" for c in DATE_COLUMNS["orders"]}}
+#: Columns of each Gold table that are compared, with their types in the CSV copy.
+_GOLD_TYPES = {
+    "orders_enriched": {**_ORDER_TYPES, "estimated_delivery_days": "bigint", "delay_days": "bigint", "customer_state": "string",
+                        "item_count": "bigint", "product_count": "bigint", "seller_count": "bigint", "total_price": "double",
+                        "total_freight": "double", "avg_price": "double", "main_seller_id": "string", "main_seller_city": "string",
+                        "main_seller_state": "string", "main_product_category": "string", "payment_value": "double",
+                        "payment_installments": "int", "payment_types_count": "bigint", "payment_type": "string",
+                        "review_score": "double", "negative_review": "boolean", "purchase_month": "int", "purchase_dayofweek": "int",
+                        "purchase_year_month": "string", "delivery_days": "bigint"},
+    "delivery_kpis_by_state": {"customer_state": "string", **_KPI_TYPES},
+    "delivery_kpis_by_seller": {"main_seller_id": "string", "main_seller_state": "string", **_KPI_TYPES},
+    "delivery_kpis_by_category": {"main_product_category": "string", **_KPI_TYPES},
+    "ml_dataset": {"order_id": "string", "late_delivery": "boolean", "customer_state": "string", "main_seller_state": "string",
+                   "main_product_category": "string", "item_count": "bigint", "product_count": "bigint", "seller_count": "bigint",
+                   "total_price": "double", "total_freight": "double", "payment_value": "double", "payment_installments": "int",
+                   "payment_type": "string", "estimated_delivery_days": "bigint", "purchase_month": "int", "purchase_dayofweek": "int"},
+}
+
+
+def _long_sql(tables: dict[str, str]) -> str:
+    """Gold tables by row key and column: text and whole numbers as text, doubles as numbers."""
+    parts = []
+    for t, q in tables.items():
+        key = next(iter(_GOLD_TYPES[t]))
+        for c, kind in list(_GOLD_TYPES[t].items())[1:]:
+            text = "CAST(NULL AS VARCHAR)" if kind == "double" else f"strftime({c}, '%Y-%m-%d %H:%M:%S')" if kind == "timestamp_ntz" else f"CAST({c} AS VARCHAR)"
+            number = f"CAST({c} AS DOUBLE)" if kind == "double" else "CAST(NULL AS DOUBLE)"
+            parts.append(f"SELECT '{t}' AS table_name, {key} AS row_key, '{c}' AS column_name, {text} AS text_value, {number} AS number_value FROM ({q})")
+    return "\nUNION ALL\n".join(parts)
+
 
+def _long(tables: dict[str, DataFrame]) -> DataFrame:
+    out = None
+    for t, df in tables.items():
+        key, *cols = _GOLD_TYPES[t]
+        cells = []
+        for c in cols:
+            kind = _GOLD_TYPES[t][c]
+            text = F.lit(None).cast("string") if kind == "double" else F.date_format(c, "yyyy-MM-dd HH:mm:ss") if kind == "timestamp_ntz" else F.col(c).cast("string")
+            number = F.col(c).cast("double") if kind == "double" else F.lit(None).cast("double")
+            cells.append(F.struct(F.lit(c).alias("column_name"), text.alias("text_value"), number.alias("number_value")))
+        part = df.select(F.lit(t).alias("table_name"), F.col(key).alias("row_key"), F.inline(F.array(*cells)))
+        out = part if out is None else out.unionByName(part)
+    return out
 
-@register("a06_gold_csv", segment_sql(["customer_state"], False))
+
+@register("a06_gold_csv", _long_sql(_gold_sql()))
 def a06_gold_csv(spark, sf):
     out = scratch_dir(spark, "gold-csv")
-    wide = _wide(spark, sf)
-    files.export_gold_csv({"delivery_kpis_by_state": kpis.kpis_by_state(wide)}, out)
-    schema = ("customer_state string, orders_count bigint, late_rate double, avg_delivery_days double, "
-              "avg_delay_days double, avg_review_score double, negative_review_rate double")
-    return spark.read.option("header", True).schema(schema).csv(f"{out}/{GOLD_TABLES['delivery_kpis_by_state']}")
+    checkpoint_root(spark)
+    wide = _wide(spark, sf).checkpoint()
+    files.export_gold_csv(gold.gold_tables(wide), out)
+    read = {}
+    for t, types in _GOLD_TYPES.items():
+        raw = files.read_raw_csv(spark, f"{out}/{GOLD_TABLES[t]}", multi_line=False)
+        read[t] = raw.select(*[F.col(c).cast(k).alias(c) for c, k in types.items()])
+    return _long(read)
 
 
-@register("a09_fallback", "SELECT order_id, order_status, 'gold' AS data_source FROM g_wide")
+@register("a09_fallback", "SELECT *, 'gold' AS data_source FROM g_wide")
 def a09_fallback(spark, sf):
     root = scratch_dir(spark, "lake")
-    files.write_layer(_wide(spark, sf), root, "gold", "orders_enriched", "gold_20240101_000000")
+    files.write_tables({"orders_enriched": _wide(spark, sf)}, root, "gold", "gold_20240101_000000")
 
     def database():
         raise ConnectionError("no database configured")
@@ -578,7 +666,7 @@ def a09_fallback(spark, sf):
         ("gold", files.latest_gold_reader(spark, root)),
     ]
     df, label, _, _ = files.load_orders_with_fallback(spark, readers)
-    return df.select("order_id", "order_status", F.lit(label).alias("data_source"))
+    return df.withColumn("data_source", F.lit(label))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -615,12 +703,23 @@ def _model(spark, sf, kind="forest"):
     return _MODELS[key]
 
 
+def _prepared(spark, sf):
+    """The fitted preprocessing alone (everything in front of the classifier)."""
+    from pyspark.ml import Pipeline
+
+    key = (spark.sparkContext.applicationId, sf, "prepared")
+    if key not in _MODELS:
+        train = ml.with_class_weights(_split(spark, sf).where(~F.col("is_test")))
+        _MODELS[key] = Pipeline(stages=ml.build_pipeline(train).getStages()[:-1]).fit(train)
+    return _MODELS[key]
+
+
 def _test_predictions(spark, sf, kind="forest"):
     return ml.predict(_model(spark, sf, kind), _split(spark, sf).where(F.col("is_test")))
 
 
-def _rule_predictions(spark, sf):
-    rule = (F.col("estimated_delivery_days") <= RULE_MAX_PROMISED_DAYS).cast("double")
+def _rule_predictions(spark, sf, days=RULE_MAX_PROMISED_DAYS):
+    rule = (F.col("estimated_delivery_days") <= days).cast("double")
     return _ml_data(spark, sf).withColumn("prediction", F.coalesce(rule, F.lit(0.0)))
 
 
@@ -657,39 +756,82 @@ def f04_split(spark, sf):
     return _split(spark, sf).select("order_id", "label", "is_test")
 
 
+def _median_sql(c: str) -> str:
+    return f"(SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM f_split WHERE NOT is_test)"
+
+
 def _stats_sql() -> str:
     parts = []
     for c in NUMERIC_FEATURES:
         parts.append(f"""SELECT '{c}' AS feature, med AS median,
   round(avg(coalesce(CAST({c} AS DOUBLE), med)), 6) AS mean,
   round(stddev_samp(coalesce(CAST({c} AS DOUBLE), med)), 6) AS stddev
-FROM f_split, (SELECT CAST(quantile_disc(CAST({c} AS DOUBLE), 0.5) AS DOUBLE) AS med FROM f_split WHERE NOT is_test)
+FROM f_split, (SELECT {_median_sql(c)} AS med)
 WHERE NOT is_test GROUP BY med""")
     return "WITH " + _SPLIT_SQL + "\n" + "\nUNION ALL\n".join(parts)
 
 
 @register("f05_impute_scale", _stats_sql())
 def f05_impute_scale(spark, sf):
-    return ml.numeric_stats(_split(spark, sf).where(~F.col("is_test")), NUMERIC_FEATURES)
+    rows = ml.fitted_stats(_prepared(spark, sf), NUMERIC_FEATURES)
+    stats = spark.createDataFrame(rows, "feature string, median double, mean double, stddev double")
+    return stats.withColumns({"mean": F.round("mean", 6), "stddev": F.round("stddev", 6)})
+
+
+def _slots_sql() -> str:
+    """Per categorical feature: value -> slot by descending train count (ties: value), and the fill."""
+    ctes = []
+    for c in CATEGORICAL_FEATURES:
+        ctes.append(f"""m_{c} AS (SELECT {c} AS v FROM f_split WHERE NOT is_test AND {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+t_{c} AS (SELECT coalesce({c}, (SELECT v FROM m_{c})) AS v, count(*) AS n FROM f_split WHERE NOT is_test GROUP BY 1),
+i_{c} AS (SELECT v, row_number() OVER (ORDER BY n DESC, v) - 1 AS slot FROM t_{c} WHERE v IS NOT NULL)""")
+    return "WITH " + _SPLIT_SQL + ",\n" + ",\n".join(ctes)
 
 
-@register("f06_onehot")
+_SLOT_COLUMNS = ", ".join(f"i_{c}.slot AS {c}_slot, (SELECT count(*) FROM i_{c}) AS {c}_slots" for c in CATEGORICAL_FEATURES)
+_SLOT_JOINS = " ".join(f"LEFT JOIN i_{c} ON coalesce(g.{c}, (SELECT v FROM m_{c})) = i_{c}.v" for c in CATEGORICAL_FEATURES)
+
+
+@register("f06_onehot", f"{_slots_sql()}\nSELECT g.order_id, {_SLOT_COLUMNS} FROM g_ml g {_SLOT_JOINS}")
 def f06_onehot(spark, sf):
-    from pyspark.ml import PipelineModel
     from pyspark.ml.functions import vector_to_array
 
-    prep = PipelineModel(stages=_model(spark, sf).stages[:-1])
-    cats = [f"{c}__ohe" for c in CATEGORICAL_FEATURES]
-    return prep.transform(_ml_data(spark, sf)).select("order_id", *[vector_to_array(c).alias(c) for c in cats])
+    out = _prepared(spark, sf).transform(_ml_data(spark, sf)).withColumns(
+        {c: vector_to_array(f"{c}__ohe") for c in CATEGORICAL_FEATURES})
+    slot = lambda c: F.nullif(F.array_position(c, F.lit(1.0)), F.lit(0)) - 1
+    return out.select("order_id", *[x for c in CATEGORICAL_FEATURES for x in (
+        slot(c).alias(f"{c}_slot"), F.size(c).cast("long").alias(f"{c}_slots"))])
+
 
+def _assemble_sql() -> str:
+    stats = ", ".join(f"(SELECT {_median_sql(c)}) AS med_{c}" for c in NUMERIC_FEATURES)
+    moments = ", ".join(f"avg(coalesce(CAST({c} AS DOUBLE), med_{c})) AS mean_{c}, stddev_samp(coalesce(CAST({c} AS DOUBLE), med_{c})) AS std_{c}"
+                        for c in NUMERIC_FEATURES)
+    scaled = ", ".join(f"round((coalesce(CAST(g.{c} AS DOUBLE), med_{c}) - mean_{c}) / std_{c}, 6) AS {c}" for c in NUMERIC_FEATURES)
+    slots, before = [], "0"
+    for c in CATEGORICAL_FEATURES:
+        slots.append(f"{before} + i_{c}.slot AS {c}_at")
+        before += f" + (SELECT count(*) FROM i_{c})"
+    return (f"{_slots_sql()},\nf_med AS (SELECT {stats}),\nf_mom AS (SELECT {moments} FROM f_split, f_med WHERE NOT is_test)\n"
+            f"SELECT g.order_id, {scaled}, {', '.join(slots)}, {before} AS slots FROM g_ml g {_SLOT_JOINS}, f_med, f_mom")
 
-@register("f07_assemble")
+
+@register("f07_assemble", _assemble_sql())
 def f07_assemble(spark, sf):
-    from pyspark.ml import PipelineModel
+    """The assembled vector: scaled numbers, then where the ones are among the one-hot slots."""
     from pyspark.ml.functions import vector_to_array
 
-    prep = PipelineModel(stages=_model(spark, sf).stages[:-1])
-    return prep.transform(_ml_data(spark, sf)).select("order_id", vector_to_array("features").alias("features"))
+    model = _prepared(spark, sf)
+    out = model.transform(_ml_data(spark, sf)).select("order_id", vector_to_array("features").alias("v"), *[
+        F.size(vector_to_array(f"{c}__ohe")).alias(f"n_{c}") for c in CATEGORICAL_FEATURES])
+    n = len(NUMERIC_FEATURES)
+    columns = [F.round(F.col("v")[i], 6).alias(c) for i, c in enumerate(NUMERIC_FEATURES)]
+    start = F.lit(0)
+    for c in CATEGORICAL_FEATURES:
+        own = F.slice("v", start + n + 1, F.col(f"n_{c}"))
+        columns.append((start + F.nullif(F.array_position(own, F.lit(1.0)), F.lit(0)) - 1).alias(f"{c}_at"))
+        start = start + F.col(f"n_{c}")
+    return out.select("order_id", *columns, (F.size("v") - n).cast("long").alias("slots"))
 
 
 @register("f08_forest")
@@ -706,13 +848,18 @@ def f09_logistic(spark, sf):
     return _test_predictions(spark, sf, "logistic")
 
 
-@register("f10_predict")
+def _in_range():
+    """A prediction is 0 or 1, its probability in 0 to 1, and the class the likelier one."""
+    p, y = F.col("late_probability"), F.col("prediction")
+    return (y.isin(0.0, 1.0) & p.between(0.0, 1.0) & ((y == 1.0) == (p > 0.5))).alias("in_range")
+
+
+@register("f10_predict", "WITH " + _SPLIT_SQL + "\nSELECT order_id, label, true AS in_range FROM f_split WHERE is_test")
 def f10_predict(spark, sf):
-    return _test_predictions(spark, sf, "forest")
+    return _test_predictions(spark, sf, "forest").select("order_id", "label", _in_range())
 
 
-@register("f11_report", f"""
-WITH f_rule AS ({_RULE_SQL}),
+_REPORT_CTES = f"""f_rule AS ({_RULE_SQL}),
 f_c AS (
   SELECT count(*) FILTER (WHERE y = 0 AND p = 0) AS tp0, count(*) FILTER (WHERE y = 0) AS sup0,
          count(*) FILTER (WHERE p = 0) AS pred0,
@@ -728,8 +875,8 @@ f_m AS (
 f_f AS (
   SELECT *, CASE WHEN p0 + r0 > 0 THEN 2 * p0 * r0 / (p0 + r0) ELSE 0.0 END AS f0,
             CASE WHEN p1 + r1 > 0 THEN 2 * p1 * r1 / (p1 + r1) ELSE 0.0 END AS f1
-  FROM f_m)
-SELECT '0' AS class_label, p0 AS precision, r0 AS recall, f0 AS f1_score, sup0 AS support FROM f_f
+  FROM f_m)"""
+_REPORT_SQL = """SELECT '0' AS class_label, p0 AS precision, r0 AS recall, f0 AS f1_score, sup0 AS support FROM f_f
 UNION ALL SELECT '1', p1, r1, f1, sup1 FROM f_f
 UNION ALL SELECT 'accuracy', NULL, NULL,
   CASE WHEN sup0 + sup1 > 0 THEN (tp0 + tp1) / (sup0 + sup1) ELSE 0.0 END, sup0 + sup1 FROM f_f
@@ -737,7 +884,10 @@ UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, sup0
 UNION ALL SELECT 'weighted avg',
   CASE WHEN sup0 + sup1 > 0 THEN (p0 * sup0 + p1 * sup1) / (sup0 + sup1) ELSE 0.0 END,
   CASE WHEN sup0 + sup1 > 0 THEN (r0 * sup0 + r1 * sup1) / (sup0 + sup1) ELSE 0.0 END,
-  CASE WHEN sup0 + sup1 > 0 THEN (f0 * sup0 + f1 * sup1) / (sup0 + sup1) ELSE 0.0 END, sup0 + sup1 FROM f_f""")
+  CASE WHEN sup0 + sup1 > 0 THEN (f0 * sup0 + f1 * sup1) / (sup0 + sup1) ELSE 0.0 END, sup0 + sup1 FROM f_f"""
+
+
+@register("f11_report", f"WITH {_REPORT_CTES}\n{_REPORT_SQL}")
 def f11_report(spark, sf):
     return ml.classification_report(_rule_predictions(spark, sf))
 
@@ -750,31 +900,53 @@ def f12_confusion(spark, sf):
     return ml.confusion_matrix(_rule_predictions(spark, sf))
 
 
-@register("f13_model_io")
+@register("f13_model_io", "WITH " + _SPLIT_SQL + "\nSELECT order_id, label, true AS same FROM f_split WHERE is_test")
 def f13_model_io(spark, sf):
-    path = ml.save_model(_model(spark, sf), f"{scratch_dir(spark, 'models')}/forest")
-    loaded = ml.load_model(path)
-    return ml.predict(loaded, _split(spark, sf).where(F.col("is_test")))
+    """Saved and loaded again, the model predicts the same on every test row."""
+    test = _split(spark, sf).where(F.col("is_test"))
+    loaded = ml.load_model(ml.save_model(_model(spark, sf), f"{scratch_dir(spark, 'models')}/forest"))
+    before = ml.predict(_model(spark, sf), test).withColumnsRenamed({"prediction": "p", "late_probability": "q"})
+    same = F.col("prediction").eqNullSafe(F.col("p")) & F.col("late_probability").eqNullSafe(F.col("q"))
+    return ml.predict(loaded, test).join(before, ["order_id", "label"]).select("order_id", "label", same.alias("same"))
 
 
-@register("f14_metrics")
+@register("f14_metrics", f"""WITH {_REPORT_CTES}
+SELECT 'run_1' AS run_id, 'report' AS kind, class_label, precision, recall, f1_score, CAST(support AS BIGINT) AS support,
+       CAST(NULL AS BIGINT) AS predicted_0, CAST(NULL AS BIGINT) AS predicted_1 FROM ({_REPORT_SQL})
+UNION ALL
+SELECT 'run_1', 'confusion', CAST(y AS VARCHAR), NULL, NULL, NULL, NULL, count(*) FILTER (WHERE p = 0), count(*) FILTER (WHERE p = 1)
+FROM f_rule GROUP BY y""")
 def f14_metrics(spark, sf):
-    pred = _test_predictions(spark, sf)
-    path = ml.save_metrics(ml.classification_report(pred), ml.confusion_matrix(pred),
-                           f"{scratch_dir(spark, 'metrics')}/metrics", "run_1")
+    pred = _rule_predictions(spark, sf)
+    path = f"{scratch_dir(spark, 'metrics')}/metrics"
+    for _ in range(2):  # a run that is written again replaces its rows
+        ml.save_metrics(ml.classification_report(pred), ml.confusion_matrix(pred), path, "run_1")
     return spark.read.parquet(path)
 
 
-@register("f15_score")
+@register("f15_score", "SELECT order_id, true AS in_range FROM g_wide")
 def f15_score(spark, sf):
-    scored = ml.predict(_model(spark, sf), _wide(spark, sf), keep=["order_id"])
-    return scored.select("order_id", (F.col("prediction") == 1).alias("predicted_late"), "late_probability")
+    return ml.predict(_model(spark, sf), _wide(spark, sf), keep=["order_id"]).select("order_id", _in_range())
 
 
-@register("f16_compare")
+# Promised days of the rules that F16 compares.
+COMPARE_DAYS = (15, 20, 25, 30)
+
+
+def _compare_sql() -> str:
+    parts = [f"""SELECT 'rule_{d}' AS model, count(*) FILTER (WHERE y = 1 AND p = 1) AS tp, count(*) FILTER (WHERE y = 0 AND p = 1) AS fp,
+  count(*) FILTER (WHERE y = 1 AND p = 0) AS fn
+FROM (SELECT CAST(late_delivery AS INTEGER) AS y, coalesce(CAST(estimated_delivery_days <= {d} AS INTEGER), 0) AS p FROM g_ml)"""
+             for d in COMPARE_DAYS]
+    return "WITH f_cmp AS (" + "\nUNION ALL\n".join(parts) + """),
+f_rates AS (SELECT *, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS r, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS q FROM f_cmp)
+SELECT model, r AS recall_late, q AS precision_late, CASE WHEN q + r > 0 THEN 2 * q * r / (q + r) ELSE 0.0 END AS f1_late,
+       fp AS false_positives, fn AS false_negatives FROM f_rates"""
+
+
+@register("f16_compare", _compare_sql())
 def f16_compare(spark, sf):
-    return ml.compare_models([ml.late_class_summary(_test_predictions(spark, sf, k), k)
-                              for k in ("forest", "logistic")])
+    return ml.compare_models([ml.late_class_summary(_rule_predictions(spark, sf, d), f"rule_{d}") for d in COMPARE_DAYS])
 
 
 # ---------------------------------------------------------------------------------------------
@@ -782,21 +954,26 @@ def f16_compare(spark, sf):
 # ---------------------------------------------------------------------------------------------
 
 def _pipeline_sql() -> str:
-    src = [f"SELECT '{layer}' AS layer, '{t}' AS table_name, count(*) AS rows FROM {prefix}{t}"
-           for layer, prefix in (("bronze", "src_"), ("silver", "s_")) for t in testdata.DERIVATIONS]
-    gold = [("orders_enriched", "SELECT * FROM g_wide"),
-            ("delivery_kpis_by_state", segment_sql(["customer_state"], False)),
-            ("delivery_kpis_by_seller", segment_sql(["main_seller_id", "main_seller_state"], False)),
-            ("delivery_kpis_by_category", segment_sql(["main_product_category"], False)),
-            ("ml_dataset", "SELECT * FROM g_ml")]
-    src += [f"SELECT 'gold' AS layer, '{t}' AS table_name, count(*) AS rows FROM ({q})" for t, q in gold]
-    src.append("SELECT 'ml', 'test_rows', count(*) FROM f_split WHERE is_test")
-    src.append("SELECT 'ml', 'metrics', CAST(7 AS BIGINT)")
-    return "WITH " + _SPLIT_SQL + "\n" + "\nUNION ALL\n".join(src)
+    gold = _gold_sql()
+    counts = [f"SELECT '{layer}' AS layer, '{t}' AS table_name, count(*) AS rows FROM {prefix}{t}"
+              for layer, prefix in (("bronze", "src_"), ("silver", "s_")) for t in testdata.DERIVATIONS]
+    counts += [f"SELECT 'gold' AS layer, '{t}' AS table_name, count(*) AS rows FROM ({q})" for t, q in gold.items()]
+    counts.append("SELECT 'ml', 'test_rows', count(*) FROM f_split WHERE is_test")
+    rows = " UNION ALL ".join(f"SELECT layer, table_name, NULL AS row_key, 'rows' AS column_name, CAST(rows AS VARCHAR) AS text_value, CAST(NULL AS DOUBLE) AS number_value FROM ({c})"
+                              for c in counts)
+    return ("WITH " + _SPLIT_SQL + "\n" + rows + "\nUNION ALL\nSELECT 'gold', table_name, row_key, column_name, text_value, number_value FROM ("
+            + _long_sql(gold) + ")")
 
 
 @register("g01_pipeline", _pipeline_sql())
 def g01_pipeline(spark, sf):
+    """Row counts of every written table and all cells of the written Gold tables."""
     landing, manifest = _landing(spark, sf)
-    summary, _ = run_pipeline(spark, landing, scratch_dir(spark, "lake"), manifest, stamp="20240101_000000")
-    return summary
+    root = scratch_dir(spark, "lake")
+    summary, info = run_pipeline(spark, landing, root, manifest, stamp="20240101_000000")
+    null = F.lit(None)
+    counts = summary.where("table_name <> 'metrics'").select(
+        "layer", "table_name", null.cast("string").alias("row_key"), F.lit("rows").alias("column_name"),
+        F.col("rows").cast("string").alias("text_value"), null.cast("double").alias("number_value"))
+    cells = _long(files.scan(spark, root, "gold", list(_GOLD_TYPES), info["batches"]["gold"]))
+    return counts.unionByName(cells.select(F.lit("gold").alias("layer"), "*"))

@@ -15,17 +15,21 @@ def _days(later: str, earlier: str) -> str:
     return f"CAST(floor((epoch_us({later}) - epoch_us({earlier})) / {_MICROS_PER_DAY}) AS BIGINT)"
 
 
+def _id(kind: str, key: str) -> str:
+    return f"md5('{kind}-' || CAST({key} AS VARCHAR))"
+
+
 SOURCE_CTES = f"""
 src_customers AS (
-  SELECT c.c_custkey AS customer_id, n.n_name AS customer_state
+  SELECT {_id('customer', 'c.c_custkey')} AS customer_id, n.n_name AS customer_state
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
 src_sellers AS (
-  SELECT s.s_suppkey AS seller_id, 'CITY_' || CAST(s.s_suppkey % 7 AS VARCHAR) AS seller_city,
+  SELECT {_id('seller', 's.s_suppkey')} AS seller_id, 'CITY_' || CAST(s.s_suppkey % 7 AS VARCHAR) AS seller_city,
          n.n_name AS seller_state
   FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
   WHERE s.s_suppkey % 20 <> 0),
 src_products AS (
-  SELECT p_partkey AS product_id,
+  SELECT {_id('product', 'p_partkey')} AS product_id,
          CASE WHEN p_partkey % 25 <> 0 THEN p_type END AS product_category_name,
          CAST(CASE WHEN p_partkey % 40 <> 0 THEN p_size END AS DOUBLE) AS product_length_cm,
          CAST(p_size % 7 + 1 AS DOUBLE) AS product_height_cm,
@@ -35,7 +39,7 @@ src_category_translation AS (
   SELECT DISTINCT p_type AS product_category_name, lower(p_type) AS product_category_name_english
   FROM part WHERE p_type NOT LIKE '%PROMO%'),
 src_orders0 AS (
-  SELECT o_orderkey AS order_id, o_custkey AS customer_id,
+  SELECT o_orderkey AS k, {_id('order', 'o_orderkey')} AS order_id, {_id('customer', 'o_custkey')} AS customer_id,
          CASE WHEN o_orderstatus IN ('F', 'P') THEN 'delivered'
               WHEN o_orderkey % 100 = 0 THEN 'canceled' ELSE 'shipped' END AS order_status,
          CAST(o_orderdate AS TIMESTAMP) AS day0,
@@ -45,30 +49,33 @@ src_orders0 AS (
 src_orders AS (
   SELECT order_id, customer_id, order_status,
          purchase AS order_purchase_timestamp,
-         purchase + to_hours(CAST(order_id % 48 AS BIGINT)) AS order_approved_at,
-         purchase + to_days(CAST(1 + order_id % 6 AS INTEGER)) AS order_delivered_carrier_date,
-         CASE WHEN order_status = 'delivered' AND order_id % 60 <> 0
-              THEN purchase + to_hours(CAST(order_id * 7919 % 960 AS BIGINT)) END AS order_delivered_customer_date,
+         purchase + to_hours(CAST(k % 48 AS BIGINT)) AS order_approved_at,
+         purchase + to_days(CAST(1 + k % 6 AS INTEGER)) AS order_delivered_carrier_date,
+         CASE WHEN order_status = 'delivered' AND k % 60 <> 0
+              THEN purchase + to_hours(CAST(k * 7919 % 960 AS BIGINT)) END AS order_delivered_customer_date,
          day0 + to_days(CAST(10 + 5 * prio AS INTEGER)) AS order_estimated_delivery_date
   FROM src_orders0),
 src_order_items AS (
-  SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id,
-         l_suppkey AS seller_id, CAST(l_extendedprice AS DECIMAL(18,2)) AS price,
+  SELECT {_id('order', 'l_orderkey')} AS order_id, l_linenumber AS order_item_id, {_id('product', 'l_partkey')} AS product_id,
+         {_id('seller', 'l_suppkey')} AS seller_id, CAST(l_extendedprice AS DECIMAL(18,2)) AS price,
          CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS freight_value,
          CAST(l_shipdate AS TIMESTAMP) AS shipping_limit_date
   FROM lineitem),
 src_payments AS (
-  SELECT l_orderkey AS order_id, l_linenumber AS payment_sequential,
+  SELECT {_id('order', 'l_orderkey')} AS order_id, l_linenumber AS payment_sequential,
          CASE l_returnflag WHEN 'A' THEN 'credit_card' WHEN 'N' THEN 'boleto'
                            WHEN 'R' THEN 'voucher' ELSE l_returnflag END AS payment_type,
          l_linenumber AS payment_installments, CAST(l_extendedprice AS DECIMAL(18,2)) AS payment_value
   FROM lineitem WHERE l_orderkey % 30 <> 0),
 src_reviews AS (
-  SELECT event_id - event_id % 2 AS order_id,
+  SELECT {_id('order', '(event_id - event_id % 2)')} AS order_id,
          CAST(1 + CAST(floor(value) AS BIGINT) % 5 AS INTEGER) AS review_score,
          CAST(ts AS TIMESTAMP) AS review_creation_date,
          CAST(ts AS TIMESTAMP) + to_hours(CAST(event_id % 72 AS BIGINT)) AS review_answer_timestamp
-  FROM events)"""
+  FROM events),
+src_geolocation AS (
+  SELECT lpad(CAST(c.c_custkey % 100 AS VARCHAR), 5, '0') AS geolocation_zip_code_prefix, n.n_name AS geolocation_state
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey)"""
 
 SILVER_CTES = f"""
 s_customers AS (SELECT DISTINCT * FROM src_customers),
@@ -77,6 +84,7 @@ s_products AS (
   SELECT *, product_length_cm * product_height_cm * product_width_cm AS product_volume_cm3
   FROM (SELECT DISTINCT * FROM src_products)),
 s_category_translation AS (SELECT DISTINCT * FROM src_category_translation),
+s_geolocation AS (SELECT DISTINCT * FROM src_geolocation),
 s_orders AS (
   SELECT *,
     {_days('order_estimated_delivery_date', 'order_purchase_timestamp')} AS estimated_delivery_days,

@@ -136,14 +136,14 @@ LAYER_PREFIX = {"bronze": "ingestion_", "silver": "cleaning_", "gold": "gold_"}
 # Declared types of the evidenced columns. Further columns pass through unchanged.
 # ---------------------------------------------------------------------------------------------
 
-_S, _L, _I, _D = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType()
+_S, _I, _D = T.StringType(), T.IntegerType(), T.DoubleType()
 _TS, _M = T.TimestampNTZType(), T.DecimalType(18, 2)
 
 DECLARED = {
-    "customers": {"customer_id": _L, "customer_state": _S},
+    "customers": {"customer_id": _S, "customer_state": _S},
     "orders": {
-        "order_id": _L,
-        "customer_id": _L,
+        "order_id": _S,
+        "customer_id": _S,
         "order_status": _S,
         "order_purchase_timestamp": _TS,
         "order_approved_at": _TS,
@@ -152,36 +152,37 @@ DECLARED = {
         "order_estimated_delivery_date": _TS,
     },
     "order_items": {
-        "order_id": _L,
+        "order_id": _S,
         "order_item_id": _I,
-        "product_id": _L,
-        "seller_id": _L,
+        "product_id": _S,
+        "seller_id": _S,
         "price": _M,
         "freight_value": _M,
         "shipping_limit_date": _TS,
     },
     "payments": {
-        "order_id": _L,
+        "order_id": _S,
         "payment_sequential": _I,
         "payment_type": _S,
         "payment_installments": _I,
         "payment_value": _M,
     },
     "reviews": {
-        "order_id": _L,
+        "order_id": _S,
         "review_score": _I,
         "review_creation_date": _TS,
         "review_answer_timestamp": _TS,
     },
     "products": {
-        "product_id": _L,
+        "product_id": _S,
         "product_category_name": _S,
         "product_length_cm": _D,
         "product_height_cm": _D,
         "product_width_cm": _D,
     },
-    "sellers": {"seller_id": _L, "seller_city": _S, "seller_state": _S},
+    "sellers": {"seller_id": _S, "seller_city": _S, "seller_state": _S},
     "category_translation": {"product_category_name": _S, "product_category_name_english": _S},
+    "geolocation": {"geolocation_zip_code_prefix": _S, "geolocation_state": _S},
 }
 
 # Tables read by the Gold build (geolocation is ingested and cleaned but never used).

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -36,14 +35,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written layers.
 
     On a cluster this is ``spark.checkpoint.dir`` as configured for the application (a shared
-    file system). Only when it is unset (tests, local runs) a fresh local folder is created and
-    registered, so that every later call in this session agrees on it."""
+    file system). Only in a local session where it is unset (tests) a fresh local folder is created
+    and registered, so that every later call agrees on it; on a cluster a missing setting raises, as
+    other machines would not see this one's folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="delivery-lake-")
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).rstrip("/")
@@ -51,8 +53,4 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unique sub-folder of the checkpoint root for one run of one job."""
-    root = checkpoint_root(spark)
-    path = f"{root}/{label}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"

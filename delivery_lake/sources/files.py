@@ -20,6 +20,8 @@ CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # Independent per-table writes are submitted as concurrent Spark jobs: small dimension tables
 # then run alongside the large fact tables instead of leaving executors idle between jobs.
 WRITE_CONCURRENCY = 4
+# Folder of a layer with one empty file per complete batch (Spark's readers skip names with "_").
+COMMITS = "_batches"
 
 
 def run_concurrently(tasks: dict[str, callable], workers: int = WRITE_CONCURRENCY) -> dict:
@@ -124,27 +126,46 @@ def ingest_bronze(spark: SparkSession, source_dir: str, root: str, batch_id: str
         return write_layer(raw.withColumn("source_file", F.lit(file_name)), root, "bronze", table, batch_id)
 
     run_concurrently({t: (lambda t=t, f=f: ingest(t, f)) for t, f in manifest.items()})
+    commit_batch(spark, root, "bronze", batch_id)
     return batch_id
 
 
-def latest_batch(spark: SparkSession, root: str, layer: str, table: str) -> str:
-    """Greatest batch id (lexicographic) of a layer table; error if there is none."""
-    names = [n.split("=", 1)[1] for n in list_dirs(spark, layer_path(root, layer, table)) if n.startswith("batch_id=")]
-    if not names:
-        raise FileNotFoundError(f"no {layer} batch for {table} under {root}")
-    return max(names)
+def commit_batch(spark: SparkSession, root: str, layer: str, batch_id: str) -> None:
+    """Mark a batch as complete, after its last table. Readers take complete batches only, so a run
+    that stopped half-way is never mixed with an older one."""
+    fs, p = _fs(spark, f"{root.rstrip('/')}/{layer}/{COMMITS}/{batch_id}")
+    fs.create(p, True).close()
+
+
+def committed_batches(spark: SparkSession, root: str, layer: str) -> list[str]:
+    fs, p = _fs(spark, f"{root.rstrip('/')}/{layer}/{COMMITS}")
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def latest_batch(spark: SparkSession, root: str, layer: str, tables: list[str] | None = None) -> str:
+    """Greatest id (lexicographic) of the complete batches that hold all of ``tables``: one batch
+    for all tables of a read. Error if there is none."""
+    found = committed_batches(spark, root, layer)
+    for t in tables or []:
+        have = {n.split("=", 1)[1] for n in list_dirs(spark, layer_path(root, layer, t)) if n.startswith("batch_id=")}
+        found = [b for b in found if b in have]
+    if not found:
+        raise FileNotFoundError(f"no complete {layer} batch{' of ' + ', '.join(tables) if tables else ''} under {root}")
+    return max(found)
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, table: str, batch_id: str | None = None) -> DataFrame:
-    """One snapshot of a layer table (partition-pruned to ``batch_id``; latest if omitted)."""
-    batch_id = batch_id or latest_batch(spark, root, layer, table)
+    """One snapshot of a layer table (partition-pruned to ``batch_id``; the latest complete one if
+    omitted)."""
+    batch_id = batch_id or latest_batch(spark, root, layer, [table])
     return (spark.read.parquet(layer_path(root, layer, table))
             .where(F.col("batch_id") == batch_id))
 
 
 def scan(spark: SparkSession, root: str, layer: str, tables: list[str], batch_id: str | None = None,
          keep_provenance: bool = False) -> dict[str, DataFrame]:
-    """The tables of one snapshot as stored (Bronze: all text)."""
+    """The tables of one snapshot as stored (Bronze: all text): all from the same batch."""
+    batch_id = batch_id or latest_batch(spark, root, layer, tables)
     out = {}
     for t in tables:
         df = read_layer(spark, root, layer, t, batch_id)
@@ -161,9 +182,12 @@ def typed_scan(spark: SparkSession, root: str, layer: str, tables: list[str], ba
 
 
 def write_tables(tables: dict[str, DataFrame], root: str, layer: str, batch_id: str) -> dict[str, str]:
-    """A05 (Silver) / A06 (Gold): one parquet table per name, in one batch (concurrent jobs)."""
-    return run_concurrently({name: (lambda df=df, name=name: write_layer(df, root, layer, name, batch_id))
-                             for name, df in tables.items()})
+    """A05 (Silver) / A06 (Gold): one parquet table per name, in one batch (concurrent jobs), which is
+    marked complete after the last one."""
+    out = run_concurrently({name: (lambda df=df, name=name: write_layer(df, root, layer, name, batch_id))
+                            for name, df in tables.items()})
+    commit_batch(next(iter(tables.values())).sparkSession, root, layer, batch_id)
+    return out
 
 
 def export_gold_csv(tables: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
@@ -183,24 +207,24 @@ def load_orders_with_fallback(spark: SparkSession, readers: list[tuple[str, call
                               ) -> tuple[DataFrame, str, str | None, list[str]]:
     """The first reader that works, in order (e.g. database, deployed CSV, latest Gold).
 
-    Each reader is ``(label, fn)``; ``fn()`` returns a DataFrame or ``(DataFrame, batch id)``. Its
-    schema is resolved inside the ``try`` so a missing table or file fails here. Returns
-    (data, source label, batch id or None, errors of the sources tried before)."""
+    Each reader is ``(label, fn)``; ``fn()`` returns a DataFrame or ``(DataFrame, batch id)``. One row
+    is read inside the ``try`` so that a source that is missing or can't be read fails here. Returns
+    (data, source label, batch id or None, the whole error texts of the sources tried before)."""
     errors = []
     for label, fn in readers:
         try:
             got = fn()
             df, batch = got if isinstance(got, tuple) else (got, None)
-            df.schema  # noqa: B018 - forces resolution of the source
+            df.head(1)  # reads a row: a source that is there but can't be read fails here
             return df, label, batch, errors
         except Exception as e:  # noqa: BLE001 - try the next source
-            errors.append(f"{label}: {type(e).__name__}: {str(e).splitlines()[0][:200]}")
+            errors.append(f"{label}: {type(e).__name__}: {e}")
     raise RuntimeError("no data source available: " + " | ".join(errors))
 
 
 def latest_gold_reader(spark: SparkSession, root: str, table: str = "orders_enriched"):
     """Reader for ``load_orders_with_fallback``: the latest Gold snapshot and its batch id."""
     def read():
-        batch = latest_batch(spark, root, "gold", table)
+        batch = latest_batch(spark, root, "gold", [table])
         return read_layer(spark, root, "gold", table, batch).drop("batch_id"), batch
     return read

@@ -19,6 +19,7 @@ LENGTH_NULL_MOD = 40          # product length null when p_partkey % 40 = 0
 CANCELED_MOD = 100            # open orders with o_orderkey % 100 = 0 are canceled
 UNDATED_MOD = 60              # delivered orders with o_orderkey % 60 = 0 lack a delivery date
 NO_PAYMENT_MOD = 30           # orders with l_orderkey % 30 = 0 have no payments
+ZIP_MOD = 100                 # geolocation zip prefix = c_custkey % 100
 PAYMENT_TYPES = {"A": "credit_card", "N": "boleto", "R": "voucher"}
 UNTRANSLATED_TYPE = "PROMO"   # part types containing this word have no translation
 
@@ -29,6 +30,11 @@ def read_test_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def text_id(kind: str, key: Column) -> Column:
+    """The source system's ids are 32-character texts: the md5 of the kind and the test table's key."""
+    return F.md5(F.concat(F.lit(f"{kind}-"), key.cast("string")))
+
+
 def _plus(ts: Column, unit: str, amount: Column) -> Column:
     return F.timestamp_add(unit, amount, ts)
 
@@ -37,7 +43,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_test_table(spark, sf_dir, "customer")
     n = read_test_table(spark, sf_dir, "nation")
     return c.join(n, c.c_nationkey == n.n_nationkey).select(
-        F.col("c_custkey").alias("customer_id"), F.col("n_name").alias("customer_state"))
+        text_id("customer", F.col("c_custkey")).alias("customer_id"), F.col("n_name").alias("customer_state"))
 
 
 def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +51,7 @@ def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_test_table(spark, sf_dir, "nation")
     return (s.where(F.col("s_suppkey") % SELLER_DROP_MOD != 0)
             .join(n, s.s_nationkey == n.n_nationkey)
-            .select(F.col("s_suppkey").alias("seller_id"),
+            .select(text_id("seller", F.col("s_suppkey")).alias("seller_id"),
                     F.concat(F.lit("CITY_"), (F.col("s_suppkey") % CITY_MOD).cast("string")).alias("seller_city"),
                     F.col("n_name").alias("seller_state")))
 
@@ -54,7 +60,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_test_table(spark, sf_dir, "part")
     k, size = F.col("p_partkey"), F.col("p_size")
     return p.select(
-        k.alias("product_id"),
+        text_id("product", k).alias("product_id"),
         F.when(k % CATEGORY_NULL_MOD != 0, F.col("p_type")).alias("product_category_name"),
         F.when(k % LENGTH_NULL_MOD != 0, size).cast("double").alias("product_length_cm"),
         (size % 7 + 1).cast("double").alias("product_height_cm"),
@@ -81,8 +87,8 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     purchase = _plus(day0, "SECOND", (k * 37) % 86400)
     priority_digit = F.substring("o_orderpriority", 1, 1).cast("int")
     return o.select(
-        k.alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
+        text_id("order", k).alias("order_id"),
+        text_id("customer", F.col("o_custkey")).alias("customer_id"),
         status.alias("order_status"),
         purchase.alias("order_purchase_timestamp"),
         _plus(purchase, "HOUR", k % 48).alias("order_approved_at"),
@@ -97,10 +103,10 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_test_table(spark, sf_dir, "lineitem")
     price = F.col("l_extendedprice").cast("decimal(18,2)")
     return li.select(
-        F.col("l_orderkey").alias("order_id"),
+        text_id("order", F.col("l_orderkey")).alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("seller_id"),
+        text_id("product", F.col("l_partkey")).alias("product_id"),
+        text_id("seller", F.col("l_suppkey")).alias("seller_id"),
         price.alias("price"),
         (price * F.col("l_tax").cast("decimal(18,2)")).cast("decimal(18,2)").alias("freight_value"),
         F.col("l_shipdate").cast("timestamp_ntz").alias("shipping_limit_date"),
@@ -113,7 +119,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     for flag, name in PAYMENT_TYPES.items():
         ptype = F.when(F.col("l_returnflag") == flag, F.lit(name)).otherwise(ptype)
     return li.where(F.col("l_orderkey") % NO_PAYMENT_MOD != 0).select(
-        F.col("l_orderkey").alias("order_id"),
+        text_id("order", F.col("l_orderkey")).alias("order_id"),
         F.col("l_linenumber").alias("payment_sequential"),
         ptype.alias("payment_type"),
         F.col("l_linenumber").alias("payment_installments"),
@@ -125,13 +131,22 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_test_table(spark, sf_dir, "events")
     eid, ts = F.col("event_id"), F.col("ts").cast("timestamp_ntz")
     return e.select(
-        (eid - eid % 2).alias("order_id"),
+        text_id("order", eid - eid % 2).alias("order_id"),
         (1 + F.floor("value") % 5).cast("int").alias("review_score"),
         ts.alias("review_creation_date"),
         _plus(ts, "HOUR", eid % 72).alias("review_answer_timestamp"),
     )
 
 
+def geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per customer: places repeat, so the table has full duplicates."""
+    c = read_test_table(spark, sf_dir, "customer")
+    n = read_test_table(spark, sf_dir, "nation")
+    return c.join(n, c.c_nationkey == n.n_nationkey).select(
+        F.lpad((F.col("c_custkey") % ZIP_MOD).cast("string"), 5, "0").alias("geolocation_zip_code_prefix"),
+        F.col("n_name").alias("geolocation_state"))
+
+
 DERIVATIONS = {
     "customers": customers,
     "orders": orders,
@@ -141,9 +156,10 @@ DERIVATIONS = {
     "products": products,
     "sellers": sellers,
     "category_translation": category_translation,
+    "geolocation": geolocation,
 }
 
 
 def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The eight used source tables as lazy, typed DataFrames (geolocation has no data)."""
+    """The nine source tables as lazy, typed DataFrames."""
     return {name: fn(spark, sf_dir) for name, fn in DERIVATIONS.items()}

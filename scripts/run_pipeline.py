@@ -1,7 +1,7 @@
 """Run the batch pipeline: raw CSV -> Bronze -> Silver -> Gold -> (database) -> model.
 
     spark-submit scripts/run_pipeline.py --source DIR --root DIR [--jdbc-url URL ...]
-    python scripts/run_pipeline.py --from-testdata /root/testdata/sf0.001 --root /tmp/lake
+    python scripts/run_pipeline.py --from-testdata /root/testdata/sf0.001 --root LAKE_DIR
 
 ``--root`` is the lake folder (shared storage on a cluster). ``--from-testdata`` first writes the
 raw CSV files derived from the test tables into ``<root>/landing`` and uses them as source.
@@ -22,6 +22,7 @@ def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--source", help="folder with the raw CSV files of the manifest")
     ap.add_argument("--from-testdata", help="derive the raw CSV files from this test-table folder")
+    ap.add_argument("--manifest", help="JSON file: table name -> file name in the source folder")
     ap.add_argument("--root", required=True, help="lake folder for all layers, models and metrics")
     ap.add_argument("--stamp", help="run stamp YYYYmmdd_HHMMSS (default: now)")
     ap.add_argument("--jdbc-url", help="database to load the Gold tables into (optional)")
@@ -47,6 +48,9 @@ def main(argv: list[str] | None = None) -> int:
                          .config("spark.ui.enabled", "true" if args.ui else "false").getOrCreate())
     checkpoint_root(spark)  # the session's shared checkpoint folder; a local one only if unset
     manifest = MANIFEST
+    if args.manifest:
+        with open(args.manifest, encoding="utf-8") as f:
+            manifest = json.load(f)
     source = args.source
     if args.from_testdata:
         tables = testdata.source_tables(spark, args.from_testdata)

@@ -21,7 +21,7 @@ def test_pipeline_end_to_end(spark, sf_small, tmp_path):
     assert rows[("bronze", "orders")] == n_orders
     assert rows[("gold", "orders_enriched")] == n_orders
     assert rows[("ml", "metrics")] == 7
-    assert files.latest_batch(spark, root, "gold", "orders_enriched") == "gold_20240101_000000"
+    assert files.latest_batch(spark, root, "gold", ["orders_enriched"]) == "gold_20240101_000000"
     # the written Gold table equals the in-memory plan
     written = files.read_layer(spark, root, "gold", "orders_enriched").drop("batch_id")
     mem = gold.wide_orders(spark, sf_small)
@@ -58,11 +58,11 @@ def test_fallback_chain_reports_source_batch_and_errors(spark, tmp_path):
     import pytest
 
     root = str(tmp_path / "lake")
-    files.write_layer(spark.createDataFrame([(1, "delivered")], "order_id bigint, order_status string"),
-                      root, "gold", "orders_enriched", "gold_20240101_000000")
+    files.write_tables({"orders_enriched": spark.createDataFrame([("1", "delivered")], "order_id string, order_status string")},
+                       root, "gold", "gold_20240101_000000")
 
     def database():
-        raise ConnectionError("refused")
+        raise ConnectionError()  # an error without text
 
     readers = [("database", database),
                ("deployed csv", lambda: files.read_raw_csv(spark, str(tmp_path / "missing.csv"))),
@@ -100,3 +100,94 @@ def test_pipeline_script(spark, sf_small, tmp_path, capsys):
     out = capsys.readouterr().out
     assert "orders_enriched" in out and "gold_20240101_000000" in out
     assert spark.range(1).count() == 1  # the shared session is still alive
+
+
+def test_half_written_batch_is_not_read(spark, tmp_path):
+    import pytest
+
+    root = str(tmp_path / "lake")
+    old = {t: spark.createDataFrame([("old",)], "v string") for t in ("orders", "payments")}
+    files.write_tables(old, root, "bronze", "ingestion_20240101_000000")
+    files.write_layer(spark.createDataFrame([("new",)], "v string"), root, "bronze", "orders", "ingestion_20240201_000000")
+    got = files.scan(spark, root, "bronze", ["orders", "payments"])
+    assert [got[t].first().v for t in ("orders", "payments")] == ["old", "old"]
+    files.write_layer(spark.createDataFrame([("new",)], "v string"), root, "bronze", "payments", "ingestion_20240201_000000")
+    files.commit_batch(spark, root, "bronze", "ingestion_20240201_000000")
+    got = files.scan(spark, root, "bronze", ["orders", "payments"])
+    assert [got[t].first().v for t in ("orders", "payments")] == ["new", "new"]
+    with pytest.raises(FileNotFoundError):
+        files.latest_batch(spark, root, "bronze", ["orders", "reviews"])
+
+
+def test_pipeline_on_text_ids(spark, tmp_path):
+    """32-character ids and a score written as 5.0 reach Gold; a duplicate seller stops the run."""
+    import json
+
+    import pytest
+
+    from scripts.run_pipeline import main
+
+    a, b, c, p, s = ("a" * 32, "b" * 32, "c" * 32, "d" * 32, "e" * 32)
+    t = "2018-01-02 10:00:00"
+    source = tmp_path / "src"
+    source.mkdir()
+    tables = {
+        "customers": f"customer_id,customer_state\n{c},SP\n",
+        "orders": ("order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,order_delivered_carrier_date,"
+                   f"order_delivered_customer_date,order_estimated_delivery_date\n{a},{c},delivered,{t},{t},{t},2018-01-20 10:00:00,"
+                   f"2018-01-10 00:00:00\n{b},{c},delivered,{t},{t},{t},2018-01-05 10:00:00,2018-01-10 00:00:00\n"),
+        "order_items": f"order_id,order_item_id,product_id,seller_id,price,freight_value,shipping_limit_date\n{a},1,{p},{s},10.50,1.25,{t}\n",
+        "payments": f"order_id,payment_sequential,payment_type,payment_installments,payment_value\n{a},1,boleto,1.0,11.75\n",
+        "reviews": f"order_id,review_score,review_creation_date,review_answer_timestamp\n{a},1.0,{t},{t}\n{b},5.0,{t},{t}\n",
+        "products": f"product_id,product_category_name,product_length_cm,product_height_cm,product_width_cm\n{p},x,1,2,3\n",
+        "sellers": f"seller_id,seller_city,seller_state\n{s},town,RJ\n",
+        "category_translation": "product_category_name,product_category_name_english\nx,thing\n",
+    }
+    for name, text in tables.items():
+        (source / f"in_{name}.csv").write_text(text)
+    (tmp_path / "manifest.json").write_text(json.dumps({n: f"in_{n}.csv" for n in tables}))
+    args = ["--source", str(source), "--manifest", str(tmp_path / "manifest.json"), "--no-train"]
+    assert main([*args, "--root", str(tmp_path / "lake"), "--stamp", "20240101_000000"]) == 0
+    rows = {r.order_id: r for r in files.read_layer(spark, str(tmp_path / "lake"), "gold", "orders_enriched").collect()}
+    assert (rows[a].customer_state, rows[a].main_seller_id, rows[a].main_seller_state, rows[a].main_product_category) == ("SP", s, "RJ", "thing")
+    assert (rows[a].total_price, rows[a].payment_installments, rows[a].late_delivery, rows[a].negative_review) == (10.5, 1, True, True)
+    assert (rows[b].review_score, rows[b].negative_review, rows[b].late_delivery, rows[b].main_seller_id) == (5.0, False, False, None)
+    kpi = files.read_layer(spark, str(tmp_path / "lake"), "gold", "delivery_kpis_by_seller").collect()
+    assert [(r.main_seller_id, r.orders_count) for r in kpi] == [(s, 1)]
+    with open(source / "in_sellers.csv", "a") as f:
+        f.write(f"{s},other town,RJ\n")
+    with pytest.raises(ValueError, match="duplicate seller_id"):
+        main([*args, "--root", str(tmp_path / "lake2"), "--stamp", "20240101_000000"])
+
+
+def test_metrics_rerun_and_broken_model(spark, tmp_path):
+    import pytest
+
+    pred = spark.createDataFrame([(1.0, 1.0), (0.0, 0.0)], "label double, prediction double")
+    for _ in range(2):
+        ml.save_metrics(ml.classification_report(pred), ml.confusion_matrix(pred), str(tmp_path / "m"), "r1")
+    assert spark.read.parquet(str(tmp_path / "m")).count() == 7
+    (tmp_path / "broken").mkdir()
+    with pytest.raises(Exception):
+        ml.load_model(str(tmp_path / "broken"))
+
+
+def test_checkpoint_folder_is_required_off_local_masters():
+    import pytest
+
+    from delivery_lake import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())

@@ -27,7 +27,7 @@ def test_date_filter_pushed_to_parquet(spark, sf_small, tmp_path):
     df = kpis.filter_dates(spark.read.parquet(path), "1996-01-01", "1996-12-31").select("order_id")
     text = plan_text(df)
     assert "PushedFilters: [IsNotNull(order_purchase_timestamp), GreaterThanOrEqual(order_purchase_timestamp" in text
-    assert "ReadSchema: struct<order_id:bigint,order_purchase_timestamp:timestamp_ntz>" in text
+    assert "ReadSchema: struct<order_id:string,order_purchase_timestamp:timestamp_ntz>" in text
 
 
 def test_kpi_plans_have_no_single_partition_exchange(spark, sf_small):
@@ -63,3 +63,11 @@ def test_alerts_one_aggregation_and_map_side_top_n(spark, sf_small):
     # one grouping-sets aggregation for the three dimensions; top-n limited in every task
     assert text.count("WindowGroupLimit") >= 2
     assert "Union" not in text
+
+
+def test_unused_lookups_are_dropped(spark, sf_small):
+    """Orders per month and the date range read the orders alone: the lookups are unique."""
+    for df in (kpis.monthly_orders(gold.wide_orders(spark, sf_small)), kpis.date_bounds(gold.wide_orders(spark, sf_small))):
+        text = plan_text(df)
+        assert "orders.parquet" in text
+        assert not any(f"{t}.parquet" in text for t in ("lineitem", "supplier", "events", "customer"))

@@ -1,8 +1,10 @@
 """One hand-made row set per semantic trap (FIXTURES.md §3)."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
+from pyspark.sql.types import IntegerType
 
 from delivery_lake.functions import bool_from_text, floor_days, late_flag, negative_review
 from delivery_lake.operators import cleaning, enrich, kpis, ml, profile
@@ -52,16 +54,16 @@ def test_floor_days_and_late_flag_one_hour(spark):
     orders = [_order(1, delivered="2018-01-09 23:00:00"), _order(2, delivered="2018-01-10 01:00:00")]
     o = _tables(spark, orders)["orders"]
     got = {r.order_id: (r.delay_days, r.late_delivery) for r in o.collect()}
-    assert got[1] == (-1, False)
-    assert got[2] == (0, True)
+    assert got["1"] == (-1, False)
+    assert got["2"] == (0, True)
     naive = {r.order_id: r.late_delivery for r in profile.naive_late(o).collect()}
-    assert naive[2] is False  # the naive flag needs a whole day of delay
+    assert naive["2"] is False  # the naive flag needs a whole day of delay
 
 
 def test_late_flag_unknown(spark):
     orders = [_order(1, delivered=None), _order(2, status="shipped", delivered="2018-01-12 00:00:00")]
     o = _tables(spark, orders)["orders"]
-    assert {r.order_id: r.late_delivery for r in o.collect()} == {1: None, 2: None}
+    assert {r.order_id: r.late_delivery for r in o.collect()} == {"1": None, "2": None}
 
 
 def test_bad_date_text(spark):
@@ -87,9 +89,9 @@ def test_all_null_prices_and_price_ties(spark):
     items = [tuple(Decimal(str(v)) if isinstance(v, float) else v for v in r) for r in items]
     t = _tables(spark, [_order(1), _order(2)], items=items)
     s = {r.order_id: r for r in enrich.items_by_order(t["order_items"]).collect()}
-    assert s[1].total_price == 0.0 and s[1].avg_price is None and s[1].item_count == 2
+    assert s["1"].total_price == 0.0 and s["1"].avg_price is None and s["1"].item_count == 2
     seller = {r.order_id: r.main_seller_id for r in enrich.main_seller(t["order_items"], t["sellers"]).collect()}
-    assert seller == {1: 8, 2: 5}
+    assert seller == {"1": "8", "2": "5"}
 
 
 def test_first_item_with_category(spark):
@@ -126,8 +128,43 @@ def test_null_state_dropped_or_kept(spark):
 
 def test_duplicate_customer_raises(spark):
     t = _tables(spark, [_order(1)], customers=[(1, "S1"), (1, "S2")])
-    with pytest.raises(Exception, match="duplicate customer_id"):
-        enrich.orders_enriched(t).collect()
+    with pytest.raises(ValueError, match="duplicate customer_id in customers: 1"):
+        enrich.check_lookups(t)
+    assert enrich.orders_enriched(t).count() == 1  # the lookup itself never multiplies orders
+
+
+def test_duplicate_seller_raises_and_null_ids_do_not(spark):
+    items = [(1, 1, 10, 7, None, None, None)]
+    t = _tables(spark, [_order(1)], items=items, sellers=[(7, "A", "S1"), (7, "B", "S1")])
+    with pytest.raises(ValueError, match="duplicate seller_id in sellers: 7"):
+        enrich.check_lookups(t)
+    assert enrich.orders_enriched(t).count() == 1
+    ok = _tables(spark, [_order(1)], items=items, customers=[(None, "S1"), (None, "S2"), (1, "S1")],
+                 sellers=[(None, "A", "S1"), (None, "B", "S1"), (7, "B", "S1")])
+    enrich.check_lookups(ok)
+    assert enrich.orders_enriched(ok).count() == 1
+
+
+def test_duplicate_product_does_not_multiply_items(spark):
+    items = [(1, 1, 10, 7, Decimal("5.00"), None, None)]
+    t = _tables(spark, [_order(1)], items=items, products=[(10, "Z", 1.0, 1.0, 1.0), (10, "Y", 1.0, 1.0, 1.0)],
+                translation=[("Z", "z"), ("Y", "y"), ("Z", "zz")])
+    row = enrich.orders_enriched(t).first()
+    assert (row.item_count, row.total_price, row.main_product_category) == (1, 5.0, "y")
+
+
+def test_integer_text(spark):
+    df = spark.createDataFrame([("5.0",), ("1e1",), ("3",), ("2.5",), ("NA",), ("x",), (None,)], "review_score string")
+    out = cleaning.cast_declared(df, {"review_score": IntegerType()})
+    assert [r[0] for r in out.collect()] == [5, 10, 3, None, None, None, None]
+
+
+def test_exact_median(spark):
+    values = [3.0, 1.0, 1.0, 1e9, 2.0, None, -5.0]
+    df = spark.createDataFrame([(v, 7.0, None) for v in values], "a double, b double, c double")
+    assert ml.exact_medians(df, ["a", "b", "c"], buckets=4) == {"a": 1.5, "b": 7.0, "c": None}
+    wide = spark.range(1001).selectExpr("cast(id * id * 0.1 as double) as a")
+    assert ml.exact_medians(wide, ["a"], buckets=8)["a"] == pytest.approx(25000.0)
 
 
 def test_empty_month(spark):
@@ -192,7 +229,7 @@ def test_filters(spark):
               _order(3, purchase="2018-02-01 00:00:00"), _order(4, purchase=None)]
     wide = enrich.orders_enriched(_tables(spark, orders))
     got = sorted(r.order_id for r in kpis.filter_dates(wide, "2018-01-01", "2018-01-31").collect())
-    assert got == [1, 2]
+    assert got == ["1", "2"]
     assert kpis.filter_states(wide, []).count() == 4
     assert kpis.filter_states(wide, ["S1"]).count() == 4
     assert kpis.filter_categories(wide, ["nothing"]).count() == 0

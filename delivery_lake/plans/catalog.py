@@ -958,8 +958,8 @@ def _pipeline_sql() -> str:
     counts = [f"SELECT '{layer}' AS layer, '{t}' AS table_name, count(*) AS rows FROM {prefix}{t}"
               for layer, prefix in (("bronze", "src_"), ("silver", "s_")) for t in testdata.DERIVATIONS]
     counts += [f"SELECT 'gold' AS layer, '{t}' AS table_name, count(*) AS rows FROM ({q})" for t, q in gold.items()]
-    counts.append("SELECT 'ml', 'test_rows', count(*) FROM f_split WHERE is_test")
-    rows = " UNION ALL ".join(f"SELECT layer, table_name, NULL AS row_key, 'rows' AS column_name, CAST(rows AS VARCHAR) AS text_value, CAST(NULL AS DOUBLE) AS number_value FROM ({c})"
+    counts.append("SELECT 'ml' AS layer, 'test_rows' AS table_name, count(*) AS rows FROM f_split WHERE is_test")
+    rows = " UNION ALL ".join(f"SELECT layer, table_name, CAST(NULL AS VARCHAR) AS row_key, 'rows' AS column_name, CAST(rows AS VARCHAR) AS text_value, CAST(NULL AS DOUBLE) AS number_value FROM ({c})"
                               for c in counts)
     return ("WITH " + _SPLIT_SQL + "\n" + rows + "\nUNION ALL\nSELECT 'gold', table_name, row_key, column_name, text_value, number_value FROM ("
             + _long_sql(gold) + ")")

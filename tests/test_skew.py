@@ -19,6 +19,8 @@ def _skewed_tables(spark, sf):
     src["payments"] = src["payments"].withColumn("order_id", hot("order_id"))
     src["orders"] = src["orders"].withColumn(
         "customer_id", F.when(third("order_id"), F.lit(HOT)).otherwise(F.col("customer_id")))
+    hot_customer = src["customers"].limit(1).withColumn("customer_id", F.lit(HOT))
+    src["customers"] = src["customers"].unionByName(hot_customer)
     first = src["orders"].orderBy("order_id").limit(1).withColumn("order_id", F.lit(HOT))
     src["orders"] = src["orders"].unionByName(first)
     return cleaning.clean_tables(src)
@@ -70,7 +72,7 @@ def test_hot_seller_is_reduced_before_the_lookup(spark, sf_small):
             plan = df._jdf.queryExecution().sparkPlan().toString().splitlines()
             join = next(i for i, x in enumerate(plan) if "Join [" in x and key in x)
             below = "\n".join(plan[join:])
-            assert re.search(rf"Aggregate\(key=\[{key}#", below.split("Join [", 2)[1])
+            assert re.search(rf"Aggregate\(keys=\[{key}#", below.split("Join [", 2)[1])
             assert "functions=[partial_" in below
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

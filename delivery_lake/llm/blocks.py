@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delivery_lake.llm.common import BLOCK_BYTES, PART_BYTES, as_bytes, count_for, doc_texts
+from delivery_lake.llm.common import BLOCK_BYTES, PART_BYTES, as_bytes, count_for, doc_texts, mix64
 
 ROW = "kind int, part int, block int, data binary, more binary"
 
@@ -51,8 +51,10 @@ def rows_table(rows: list[tuple]):
 
 
 def parts_of(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Part number (from the upper bits) and 32-bit rest of 64-bit hashes."""
-    return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64), hashes.astype(np.uint32)
+    """Part number and 32-bit rest of 64-bit hashes, from bits of their own: hashes that were chosen for
+    being small are dealt out as evenly as others."""
+    own = mix64(hashes ^ np.uint64(0x5851F42D4C957F2D))
+    return ((own >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64), own.astype(np.uint32)
 
 
 def by_part(part: np.ndarray):

@@ -37,6 +37,8 @@ LENGTH = 50
 GRAM = 16
 #: Text bytes handled by numpy at once (bounds the scratch space and fits the processor's cache).
 CHUNK = 1 << 17
+#: Rows of the suffix array that are held at once.
+RANGE = 1 << 16
 
 _M1 = np.uint64(0x9E3779B97F4A7C15)
 
@@ -95,19 +97,11 @@ def block_stretches(texts: list[bytes], length: int, gram: int):
 
 
 class SuffixArray:
-    """Enhanced suffix array of distinct stretches: suffixes with ``length`` bytes or more."""
+    """A range of the enhanced suffix array of distinct stretches: rows in order, with the stretch and
+    place of each suffix, the common prefix with the row before, and the byte on the left."""
 
-    def __init__(self, texts: list[bytes], length: int):
-        size = np.array([len(t) for t in texts])
-        width = int(size.max()) + 1
-        pad = np.zeros((len(texts), 2 * width), np.uint8)  # a stretch and zeros, to read suffixes from
-        flat = np.frombuffer(b"".join(texts), np.uint8)
-        row = np.repeat(np.arange(len(texts)), size)
-        start = np.concatenate(([0], np.cumsum(size)[:-1]))
-        pad[row, np.arange(len(flat)) - np.repeat(start, size)] = flat
-        count = size - length + 1
-        text = np.repeat(np.arange(len(texts)), count)
-        offset = np.arange(len(text)) - np.repeat(np.concatenate(([0], np.cumsum(count)[:-1])), count)
+    def __init__(self, pad: np.ndarray, size: np.ndarray, text: np.ndarray, offset: np.ndarray):
+        width = pad.shape[1] // 2
         view = np.lib.stride_tricks.sliding_window_view(pad, width, axis=1)
         suffix = np.ascontiguousarray(view[text, offset])
         order = np.argsort(suffix.view(f"V{width}").ravel(), kind="stable")
@@ -116,9 +110,35 @@ class SuffixArray:
         rest = size[self.text] - self.offset
         differ = suffix[1:] != suffix[:-1]
         lcp = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
-        self.lcp = np.minimum(lcp, np.minimum(rest[1:], rest[:-1]))  # of a suffix and the one before
+        self.lcp = np.minimum(lcp, np.minimum(rest[1:], rest[:-1]))
         self.left = np.where(self.offset > 0, pad[self.text, np.maximum(self.offset - 1, 0)].astype(np.int16), -1)
 
+    @staticmethod
+    def ranges(texts: list[bytes], length: int, most: int):
+        """The array over all suffixes of ``length`` bytes or more, in ranges of about ``most`` rows, cut
+        where the first eight bytes change (so no repeat is cut; equal beginnings stay together)."""
+        size = np.array([len(t) for t in texts])
+        width = int(size.max()) + 1
+        pad = np.zeros((len(texts), 2 * width), np.uint8)  # a stretch and zeros, to read suffixes from
+        start = np.concatenate(([0], np.cumsum(size)[:-1]))
+        row = np.repeat(np.arange(len(texts), dtype=np.int32), size)
+        pad[row, np.arange(len(row)) - np.repeat(start, size)] = np.frombuffer(b"".join(texts), np.uint8)
+        del row
+        count = size - length + 1
+        text = np.repeat(np.arange(len(texts), dtype=np.int32), count)
+        offset = (np.arange(len(text)) - np.repeat(np.concatenate(([0], np.cumsum(count)[:-1])), count)).astype(np.int32)
+        head = np.zeros(len(text), np.uint64)
+        for k in range(8):
+            head = (head << np.uint64(8)) | pad[text, offset + k]
+        order = np.argsort(head)
+        text, offset, head = text[order], offset[order], head[order]
+        cuts = np.concatenate(([0], np.flatnonzero(head[1:] != head[:-1]) + 1, [len(head)]))
+        i = 0
+        while i < len(cuts) - 1:
+            j = max(i + 1, int(np.searchsorted(cuts, cuts[i] + most, side="right")) - 1)
+            yield SuffixArray(pad, size, text[cuts[i]:cuts[j]], offset[cuts[i]:cuts[j]])
+            i = j
+
     def maximal_repeats(self, length: int):
         """(first row, end row, prefix length) of the intervals that are maximal repeats."""
         same = (self.left[1:] == self.left[:-1]) & (self.left[1:] >= 0)
@@ -214,13 +234,13 @@ def repeat_groups(texts: list[bytes], least: np.ndarray, length: int = LENGTH) -
     out = [[(0, len(t), m)] for t, m in zip(texts, least.tolist())]
     if len(texts) < 2:
         return out
-    sa = SuffixArray(texts, length)
-    text, offset, low = sa.text.tolist(), sa.offset.tolist(), least[sa.text]
-    for first, end, n in sa.maximal_repeats(length):
-        m = int(low[first:end].min())
-        for r in range(first, end):
-            if low[r] > m:
-                out[text[r]].append((offset[r], offset[r] + n, m))
+    for sa in SuffixArray.ranges(texts, length, RANGE):
+        text, offset, low = sa.text.tolist(), sa.offset.tolist(), least[sa.text].tolist()
+        for first, end, n in sa.maximal_repeats(length):
+            m = min(low[first:end])
+            for r in range(first, end):
+                if low[r] > m:
+                    out[text[r]].append((offset[r], offset[r] + n, m))
     return out
 
 

@@ -4,13 +4,13 @@ The words of every document are recompressed in rounds: maximal runs of one symb
 then pairs of a left and a right symbol (told apart by a hash bit of the symbol) become one symbol. A
 name is a hash of what it stands for, so equal substrings get the same interior symbols in every task.
 For each symbol the stretch of words that decides it (its context) is known. A window of 13 words is
-represented by the symbols of the highest round whose context lies inside it: any two equal windows
-have the same ones.
+represented by a symbol of the highest round that has one whose context lies inside the window: any
+two equal windows have the same one.
 
 Spark rounds then name globally:
 
 1. Each block of documents sends the symbols that represent its windows; those in more than one
-   document come back. A window with a representing symbol that does not recur cannot recur.
+   document come back. A window whose symbol does not recur cannot recur.
 2. The windows left are named by 128 bits of their word sequence, which verifies them: each block sends
    its distinct ones with its smallest document id, and gets back those that a smaller id has.
 3. Each block removes the words of those windows from its documents.
@@ -137,15 +137,16 @@ class Hashes:
         return mix64((self.sums[end] - self.sums[start]) * self.inverse[start] + (end - start).astype(np.uint64))
 
 
+_NO_HASH = np.uint64(0xFFFFFFFFFFFFFFFF)
 _B1, _B2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 
 
 def settled(names: np.ndarray, bounds: np.ndarray, window: int = WINDOW):
-    """From the highest round down: (hashes, first window, end window, windows settled here).
+    """From the highest round down: (windows settled by it, hash of the symbol that represents each).
 
-    A window is settled by the highest round that has a symbol whose context lies in it; it is then
-    represented by all such symbols of this round. A symbol is given as the hash of itself and the
-    words of its context."""
+    A window is settled by the highest round that has a symbol whose context lies in it. Of all such
+    symbols of this round the one with the smallest hash represents it, the same wherever the window
+    stands; a symbol is hashed with the words of its context."""
     open_ = window_mask(bounds, window)
     if not open_.any():
         return
@@ -158,9 +159,16 @@ def settled(names: np.ndarray, bounds: np.ndarray, window: int = WINDOW):
         count = np.concatenate(([0], np.cumsum(open_)))
         used = count[hi] > count[lo]
         sym, cs, ce, lo, hi = sym[used], cs[used], ce[used], lo[used], hi[used]
-        here = open_ & covered(lo, hi, n)
-        yield mix64(sym ^ hashes.of(cs, ce)), lo, hi, here
-        open_ &= ~here
+        if not len(sym):
+            continue
+        name = mix64(sym ^ hashes.of(cs, ce))
+        best = np.full(n, _NO_HASH)
+        for k in range(int((hi - lo).max())):
+            some = lo + k < hi
+            np.minimum.at(best, lo[some] + k, name[some])
+        at = np.flatnonzero(open_ & (best != _NO_HASH))
+        yield at, best[at]
+        open_[at] = False
         if not open_.any():
             return
 
@@ -172,14 +180,16 @@ def covered(lo: np.ndarray, hi: np.ndarray, n: int) -> np.ndarray:
 
 
 def representing(texts: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all symbols that represent windows, and the number of the text each is in."""
+    """Hashes of the symbols that represent windows, and the number of the text each is in."""
     names, _, bounds = word_names(texts)
     value, doc = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for i, j in chunks(bounds):
         own = bounds[i:j + 1] - bounds[i]
-        for h, lo, hi, _ in settled(names[bounds[i]:bounds[j]], own, window):
-            value.append(h)
-            doc.append(np.searchsorted(own, hi - 1, side="right") - 1 + i)
+        for at, h in settled(names[bounds[i]:bounds[j]], own, window):
+            d = np.searchsorted(own, at, side="right") - 1 + i
+            new = np.concatenate(([True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])))  # neighbours mostly share one
+            value.append(h[new])
+            doc.append(d[new])
     return np.concatenate(value), np.concatenate(doc)
 
 
@@ -189,18 +199,13 @@ def windows(names: np.ndarray, names2: np.ndarray, at: np.ndarray, window: int)
 
 
 def candidate_windows(texts: list[bytes], recurs: Recurring, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Names of the windows all of whose representing symbols recur, and the texts they are in."""
+    """Names of the windows whose representing symbol recurs, and the texts they are in."""
     names, names2, bounds = word_names(texts)
     found, doc = [np.zeros((0, 2), np.uint64)], [np.zeros(0, np.int64)]
     for i, j in chunks(bounds):
         own = bounds[i:j + 1] - bounds[i]
         part = slice(bounds[i], bounds[j])
-        n = int(own[-1])
-        live = np.zeros(n, bool)
-        for h, lo, hi, here in settled(names[part], own, window):
-            rare = ~recurs.has(h)
-            live |= here & ~covered(lo[rare], hi[rare], n)
-        at = np.flatnonzero(live)
+        at = np.sort(np.concatenate([np.zeros(0, np.int64), *[w[recurs.has(h)] for w, h in settled(names[part], own, window)]]))
         found.append(windows(names[part], names2[part], at, window))
         doc.append(np.searchsorted(own, at, side="right") - 1 + i)
     return np.concatenate(found), np.concatenate(doc)

@@ -245,14 +245,21 @@ def repeat_groups(texts: list[bytes], least: np.ndarray, length: int = LENGTH) -
 
 
 def _packed(texts: list[bytes], numbers: list) -> tuple[bytes, bytes]:
-    """Byte strings of under 64 KB and a tuple of numbers for each."""
+    """Byte strings of under 64 KB, compressed, and a tuple of numbers for each."""
+    import pyarrow as pa
+
     size = np.array([len(t) for t in texts], np.uint16)
-    return np.uint32(len(texts)).tobytes() + size.tobytes() + b"".join(texts), np.array(numbers, np.int64).T.tobytes()
+    data = size.tobytes() + b"".join(texts)
+    head = np.array([len(texts), len(data)], np.uint32).tobytes()
+    return head + pa.Codec("zstd", 1).compress(data, asbytes=True), np.array(numbers, np.int64).T.tobytes()
 
 
 def _unpacked(data: bytes, numbers: bytes) -> tuple[list[bytes], np.ndarray]:
-    n = int(np.frombuffer(data, np.uint32, 1)[0])
-    at = np.cumsum(np.concatenate(([4 + 2 * n], np.frombuffer(data, np.uint16, n, 4)))).tolist()
+    import pyarrow as pa
+
+    n, size = np.frombuffer(data, np.uint32, 2).tolist()
+    data = pa.Codec("zstd", 1).decompress(data[8:], size, asbytes=True)
+    at = np.cumsum(np.concatenate(([2 * n], np.frombuffer(data, np.uint16, n)))).tolist()
     return [data[a:b] for a, b in zip(at, at[1:])], np.frombuffer(numbers, np.int64).reshape(-1, n)
 
 

@@ -16,15 +16,48 @@ from delivery_lake.session import checkpoint_root
 BLOCK_BYTES = 4 << 20
 #: Input bytes per part when symbols, windows or fingerprints are dealt out by hash.
 PART_BYTES = 2 << 20
+#: Rows and bytes of an Arrow batch (see ``modest_batches``).
+BATCH_ROWS, BATCH_BYTES = 1024, 8 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def modest_batches(df: DataFrame) -> DataFrame:
+    """Arrow batches of at most BATCH_ROWS rows and BATCH_BYTES in this session, where the user has left
+    Spark's larger defaults: two tasks an executor then hold megabytes of rows, not hundreds."""
+    conf = df.sparkSession.conf
+    for key, usual, ours in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", str(BATCH_ROWS)),
+                             ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", f"{BATCH_BYTES}b")):
+        if conf.get(key, usual) == usual:
+            conf.set(key, ours)
+    return df
+
+
+def row_column(batch, name: str):
+    """A column of an Arrow batch, or the field of its column ``row``."""
+    import pyarrow.compute as pc
+
+    return batch.column(name) if name in batch.schema.names else pc.struct_field(batch.column("row"), name)
+
+
+def as_row(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """All columns in one struct ``row``, ``doc_id`` and ``text`` as long and string inside it where they
+    are there: operators add columns beside it without a clash of names, and no text is sent twice."""
+    kinds = {"doc_id": "long", "text": "string"}
+    field = lambda c: (F.col(f"`{c}`").cast(kinds[c]) if c in kinds else F.col(f"`{c}`")).alias(c)
+    return modest_batches(docs.select(F.struct(*[field(c) for c in columns or docs.columns]).alias("row")))
+
+
+def from_row(df: DataFrame, docs: DataFrame, **other: Column) -> list[Column]:
+    """The columns of ``docs`` out of ``row``, in their order and types; ``other`` replaces some."""
+    return [(other[c] if c in other else F.col(f"row.`{c}`")).cast(docs.schema[c].dataType).alias(c) for c in docs.columns]
+
+
 def doc_texts(docs: DataFrame) -> DataFrame:
     """``doc_id`` (long) and ``text`` only: other columns, whatever their names, go no further."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return modest_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
 
 
 def input_bytes(df: DataFrame) -> int:

@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding with seeded merge-dropout.
 
 The pieces and their scores come from a SentencePiece BPE model; nothing is trained. A text is cut where
-a space mark follows another character, as no piece of such a model spans that place, and each segment
-is merged by itself: an agenda holds the neighbouring pairs that form a piece, the best score first,
+a space mark follows another character and around line breaks, as no piece of such a model spans these
+places, and each segment is merged by itself: an agenda holds the neighbouring pairs that form a piece, the best score first,
 then the leftmost. With dropout, each candidate taken from the agenda is skipped if a keyed hash of
 (seed, variant, segment, place, piece) falls below the rate, so the same input always gives the same
 segmentation, on any executor, while other variants give others. Without dropout the result is that of
@@ -30,21 +30,25 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delivery_lake.llm.common import doc_texts, slices
+from delivery_lake.llm.common import as_row, doc_texts, modest_batches, row_column, slices
 
 #: Model file, dropout rate, seed, segmentations per segment.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT, SEED, VARIANTS = 0.1, 20240801, 4
 #: Most segmentations that a task keeps (a cache: cleared when full, not a limit on segments).
-CACHE = 300_000
+CACHE = 250_000
 
 MARK = "▁"
 #: A mark of the text itself as a segment (no other segment ends in a mark after another character).
 OWN_MARK = "\0" + MARK
 SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-#: Segments up to this length keep their agenda as a plain list, longer ones as a heap.
+SEGMENT_OF_LINE = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
+#: Segments up to this length are merged many at once, one agenda step of each per numpy step; longer
+#: ones, and those with characters of no piece, one by one with a heap.
 SHORT = 48
-_NONE = float("inf")
+#: Characters whose segments are looked up together.
+GROUP = 1 << 20
+_PAIR = 0x9E3779B97F4A7C15
 
 
 class Pieces:
@@ -65,8 +69,44 @@ class Pieces:
         self.out = [self.piece[i].replace(MARK, " ").encode() for i in range(self.size)]
         for b, i in enumerate(self.byte):
             self.out[i] = bytes([b])
-        self.cache: dict[tuple[str, int], tuple[int, ...]] = {}
+        self.cache: dict[tuple[str, int], bytes] = {}
         self.cached_for: tuple = ()
+        chars = sorted({c for p in self.id for c in p})
+        self.segment = SEGMENT if "\n" in chars else SEGMENT_OF_LINE
+        self._prepare(chars)
+
+    def _prepare(self, chars: list[str]) -> None:
+        """Tables for merging many segments: symbols are pieces, and characters that only occur in
+        pieces; each pair that forms a piece is in a hash table."""
+        symbol = self.id | {c: self.size + k for k, c in enumerate(c for c in chars if c not in self.id)}
+        self.symbol_of = np.full(0x110000, -1, np.int32)
+        for c in chars:
+            self.symbol_of[ord(c)] = symbol[c]
+        pairs = {(symbol[p[:k]] << 32) | symbol[p[k:]]: i for p, i in self.id.items() for k in range(1, len(p))
+                 if p[:k] in symbol and p[k:] in symbol}
+        self.bits = max(10, (4 * len(pairs)).bit_length())
+        self.keys, self.merged, self.chain = np.zeros(1 << self.bits, np.uint64), np.full(1 << self.bits, -1, np.int32), 1
+        for key, i in pairs.items():
+            at, steps = ((key ^ (key >> 17)) * _PAIR & 0xFFFFFFFFFFFFFFFF) >> (64 - self.bits), 1
+            while self.merged[at] >= 0:
+                at, steps = (at + 1) & ((1 << self.bits) - 1), steps + 1
+            self.keys[at], self.merged[at] = key, i
+            self.chain = max(self.chain, steps)
+        self.ranks = np.full(self.size + 1, np.inf)  # the last entry: no piece
+        for p, i in self.id.items():
+            self.ranks[i] = self.rank[p]
+
+    def _find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Piece that two symbols form, -1 for none."""
+        key = (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
+        at = ((key ^ (key >> np.uint64(17))) * np.uint64(_PAIR) >> np.uint64(64 - self.bits)).astype(np.int64)
+        out = np.where(self.keys[at] == key, self.merged[at], -1)
+        for _ in range(self.chain - 1):
+            at = (at + 1) & ((1 << self.bits) - 1)
+            more = self.keys[at] == key
+            if more.any():
+                out[more] = self.merged[at[more]]
+        return out
 
     def segments(self, text: str) -> list[str]:
         """The marked text in segments: each begins with marks, if any, and has no mark after another
@@ -75,7 +115,10 @@ class Pieces:
             return []
         if MARK in text:
             return self._odd_segments(text)
-        return SEGMENT.findall(MARK + text.replace(" ", MARK))
+        if "  " in text or text[0] == " " or self.segment is SEGMENT:
+            return self.segment.findall(MARK + text.replace(" ", MARK))
+        # One space between words: the same segments, without a pattern.
+        return list(filter(None, (MARK + text.replace(" ", " " + MARK)).replace("\n", " \n ").split(" ")))
 
     def _odd_segments(self, text: str) -> list[str]:
         """As ``segments`` for a text with marks of its own: each becomes a segment apart."""
@@ -83,7 +126,7 @@ class Pieces:
         for i, part in enumerate(text.split(MARK)):
             if i:
                 out.append(OWN_MARK)
-            out += SEGMENT.findall((MARK if i == 0 else "") + part.replace(" ", MARK))
+            out += self.segment.findall((MARK if i == 0 else "") + part.replace(" ", MARK))
         return out
 
     def merge(self, segment: str, dropout: float = 0.0, seed: int = 0, variant: int = 0) -> tuple[int, ...]:
@@ -91,8 +134,7 @@ class Pieces:
         if segment == OWN_MARK:
             return tuple(self.byte[b] for b in MARK.encode())
         limit = int(dropout * 4294967296)
-        key = zlib.crc32(segment.encode("utf-8", "surrogatepass"), zlib.crc32(struct.pack("<qq", seed, variant))) if limit else 0
-        symbols = (self._merge_list if len(segment) <= SHORT else self._merge_heap)(segment, limit, key)
+        symbols = self._merge_heap(segment, limit, _key_of(segment, seed, variant) if limit else 0)
         ids = self.id
         out: list[int] = []
         for s in symbols:
@@ -103,31 +145,6 @@ class Pieces:
                 out.append(i)
         return tuple(out)
 
-    def _merge_list(self, segment: str, limit: int, key: int) -> list[str]:
-        symbols = list(segment)
-        place = list(range(len(symbols)))
-        rank = self.rank.get
-        both = [a + b for a, b in zip(symbols, symbols[1:])]
-        agenda = [rank(x, _NONE) for x in both]
-        while agenda:
-            best = min(agenda)
-            if best == _NONE:
-                break
-            i = agenda.index(best)
-            new = both[i]
-            if limit and _keyed(key, place[i], self.id[new]) < limit:
-                agenda[i] = _NONE
-                continue
-            symbols[i] = new
-            del symbols[i + 1], place[i + 1], agenda[i], both[i]
-            if i:
-                both[i - 1] = x = symbols[i - 1] + new
-                agenda[i - 1] = rank(x, _NONE)
-            if i < len(agenda):
-                both[i] = x = new + symbols[i + 1]
-                agenda[i] = rank(x, _NONE)
-        return symbols
-
     def _merge_heap(self, segment: str, limit: int, key: int) -> list[str]:
         rank = self.rank
         symbols = list(segment)
@@ -140,7 +157,7 @@ class Pieces:
             _, i, j, new = heapq.heappop(agenda)
             if after[i] != j or not symbols[i] or symbols[i] + symbols[j] != new:
                 continue  # one side has been merged meanwhile
-            if limit and _keyed(key, i, self.id[new]) < limit:
+            if limit and _skipped(key, i, self.id[new], limit):
                 continue
             symbols[i], symbols[j] = new, ""
             k = after[i] = after[j]
@@ -153,26 +170,94 @@ class Pieces:
                 heapq.heappush(agenda, (rank[x], h, i, x))
         return [s for s in symbols if s]
 
-    def encode(self, text: str, doc_id: int = 0, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> list[int]:
-        """Ids of a text."""
-        segments = self.segments(text)
-        if dropout <= 0 or variants < 2:
-            which = [0] * len(segments)
-        else:
-            which = variant_of(doc_id, len(segments), seed, variants).tolist()
+    def merge_many(self, wanted: list[tuple[str, int]], dropout: float, seed: int) -> list[bytes]:
+        """``merge`` of many (segment, variant), ids as little-endian 32-bit numbers: per step, every segment takes one candidate from its
+        agenda, the one with the best score, then the leftmost."""
+        out: list = [None] * len(wanted)
+        short = [k for k, (s, _) in enumerate(wanted) if len(s) <= SHORT]
+        points = np.frombuffer("".join([wanted[k][0] for k in short]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        size = np.array([len(wanted[k][0]) for k in short], np.int64)
+        word = np.repeat(np.arange(len(short)), size)
+        symbol = self.symbol_of[points]
+        odd = np.zeros(len(short), bool)
+        odd[word[symbol < 0]] = True
+        for k in [*(k for k, x in zip(short, odd.tolist()) if x), *(k for k, (s, _) in enumerate(wanted) if len(s) > SHORT)]:
+            out[k] = np.array(self.merge(wanted[k][0], dropout, seed, wanted[k][1]), "<i4").tobytes()
+        place = np.arange(len(word)) - np.repeat(np.cumsum(size) - size, size)
+        keep = ~odd[word]
+        word, symbol, place = word[keep], symbol[keep].astype(np.int64), place[keep]
+        limit = int(dropout * 4294967296)
+        keys = np.array([_key_of(wanted[k][0], seed, wanted[k][1]) for k in short] if limit else [0] * len(short), np.uint64)
+        done_word, done_symbol = [], []
+        piece = np.append(np.where(word[1:] == word[:-1], self._find(symbol[:-1], symbol[1:]), -1), -1)[: len(word)]
+        while len(word):
+            rank = self.ranks[piece]
+            start = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+            best = np.minimum.reduceat(rank, start)
+            length = np.diff(np.append(start, len(word)))
+            over = np.repeat(best == np.inf, length)
+            if over.any():  # agendas that are empty
+                done_word.append(word[over])
+                done_symbol.append(symbol[over])
+                left = ~over
+                word, symbol, place, piece, rank = word[left], symbol[left], place[left], piece[left], rank[left]
+                live = best != np.inf
+                best, length = best[live], length[live]
+                if not len(word):
+                    break
+            at = np.flatnonzero(rank == np.repeat(best, length))
+            at = at[np.concatenate(([True], word[at[1:]] != word[at[:-1]]))]  # the leftmost of each segment
+            new = piece[at]
+            if limit:
+                skip = _keyed(keys[word[at]], place[at].astype(np.uint64), new.astype(np.uint64)) < limit
+                piece[at[skip]] = -1
+                at, new = at[~skip], new[~skip]
+            symbol[at] = new
+            keep = np.ones(len(word), bool)
+            keep[at + 1] = False
+            word, symbol, place, piece = word[keep], symbol[keep], place[keep], piece[keep]
+            at = at - np.arange(len(at))  # one symbol fewer for each merge on the left
+            for k in (at - 1, at):  # new neighbours, new candidates
+                k = k[(k >= 0) & (k < len(word))]
+                inside = np.zeros(len(k), bool)
+                inside[k < len(word) - 1] = word[k[k < len(word) - 1]] == word[k[k < len(word) - 1] + 1]
+                piece[k[~inside]] = -1
+                k = k[inside]
+                piece[k] = self._find(symbol[k], symbol[k + 1])
+        if done_word:
+            word, symbol = np.concatenate(done_word), np.concatenate(done_symbol)
+            order = np.argsort(word, kind="stable")
+            word, symbol = word[order], symbol[order]
+            bounds = (4 * np.searchsorted(word, np.arange(len(short) + 1))).tolist()
+            ids = symbol.astype("<i4").tobytes()
+            for n, k in enumerate(short):
+                if out[k] is None:
+                    out[k] = ids[bounds[n]:bounds[n + 1]]
+        return out
+
+    def encode_many(self, texts: list[str], docs: list[int], dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> list[np.ndarray]:
+        """Ids of some texts, as arrays of 32-bit numbers."""
         if self.cached_for != (dropout, seed):
             self.cache.clear()
             self.cached_for = (dropout, seed)
-        out: list[int] = []
-        get, cache = self.cache.get, self.cache
-        for pair in zip(segments, which):
-            found = get(pair)
-            if found is None:
-                if len(cache) >= CACHE:
-                    cache.clear()
-                found = cache[pair] = self.merge(pair[0], dropout, seed, pair[1])
-            out += found
-        return out
+        cache = self.cache
+        pairs = []
+        for t, d in zip(texts, docs):
+            segments = self.segments(t)
+            which = variant_of(d, len(segments), seed, variants).tolist() if dropout > 0 and variants > 1 else [0] * len(segments)
+            pairs.append(list(zip(segments, which)))
+        met: set = set()
+        met.update(*pairs)
+        missing = list(met.difference(cache))
+        if len(cache) + len(missing) > CACHE:
+            cache.clear()
+            missing = list(met)
+        cache.update(zip(missing, self.merge_many(missing, dropout, seed)))
+        return [np.frombuffer(b"".join(map(cache.__getitem__, p)), "<i4") for p in pairs]
+
+    def encode(self, text: str, doc_id: int = 0, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> list[int]:
+        """Ids of a text."""
+        return self.encode_many([text], [doc_id], dropout, seed, variants)[0].tolist()
 
     def decode(self, ids) -> str:
         """The text of some ids, without the added leading space."""
@@ -181,10 +266,26 @@ class Pieces:
         return (data[1:] if data[:1] == b" " else data).decode("utf-8", "surrogatepass")
 
 
-def _keyed(key: int, place: int, piece: int) -> int:
-    """32-bit hash of a candidate merge under a key."""
-    x = ((key ^ (place << 16) ^ piece) * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF
-    return ((x ^ (x >> 29)) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF) >> 32
+def _key_of(segment: str, seed: int, variant: int) -> int:
+    """Key of a segment's candidates."""
+    return zlib.crc32(segment.encode("utf-8", "surrogatepass"), _start_of(seed, variant))
+
+
+@lru_cache(maxsize=1024)
+def _start_of(seed: int, variant: int) -> int:
+    return zlib.crc32(struct.pack("<qq", seed, variant))
+
+
+def _keyed(key, place, piece):
+    """32-bit hash of candidate merges under their keys (arrays of 64-bit numbers)."""
+    x = (key ^ (place << np.uint64(16)) ^ piece) * np.uint64(0x9E3779B97F4A7C15)
+    return ((x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)
+
+
+def _skipped(key: int, place: int, piece: int, limit: int) -> bool:
+    """Whether one candidate is skipped: ``_keyed`` in plain numbers."""
+    x = (key ^ (place << 16) ^ piece) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
+    return ((x ^ (x >> 29)) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF) >> 32 < limit
 
 
 @lru_cache(maxsize=2)
@@ -208,14 +309,28 @@ def load_model(path: str = MODEL) -> bytes:
         return f.read()
 
 
+def groups(texts: list) -> Iterator[tuple[int, int]]:
+    """Numbers of consecutive texts of about GROUP characters together."""
+    i = 0
+    while i < len(texts):
+        j, size = i, 0
+        while j < len(texts) and (j == i or size + len(texts[j] or "") <= GROUP):
+            size += len(texts[j] or "")
+            j += 1
+        yield i, j
+        i = j
+
+
 def _run(held, dropout: float, seed: int, variants: int, emit):
     def run(batches: Iterator):
         pieces = pieces_of(held.value)
         for batch in batches:
-            for part in slices(batch, 64):
-                docs, texts = part.column("doc_id").to_pylist(), part.column("text").to_pylist()
-                ids = [None if t is None else pieces.encode(t, d or 0, dropout, seed, variants) for d, t in zip(docs, texts)]
-                yield emit(part, pieces, texts, ids)
+            for part in slices(batch, 128):
+                docs, texts = row_column(part, "doc_id").to_pylist(), row_column(part, "text").to_pylist()
+                ids: list = []
+                for i, j in groups(texts):
+                    ids += pieces.encode_many([t or "" for t in texts[i:j]], [d or 0 for d in docs[i:j]], dropout, seed, variants)
+                yield emit(part, pieces, texts, [None if t is None else x for t, x in zip(texts, ids)])
     return run
 
 
@@ -225,19 +340,18 @@ def encode(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed:
     replaced."""
     held = docs.sparkSession.sparkContext.broadcast(load_model(model))
     columns = [c for c in docs.columns if c not in ("token_ids", "n_tokens", "lossless")]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
-                       F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = rows.select("row").withColumns({"token_ids": F.lit(None).cast("array<int>"), "lossless": F.lit(True)}).schema
+    rows = as_row(docs, columns)
+    schema = rows.withColumns({"token_ids": F.lit(None).cast("array<int>"), "lossless": F.lit(True)}).schema
 
     def emit(part, pieces, texts, ids):
         import pyarrow as pa
 
-        same = [t is None or pieces.decode(x) == t for t, x in zip(texts, ids)]
+        same = [t is None or pieces.decode(x.tolist()) == t for t, x in zip(texts, ids)]
         return pa.RecordBatch.from_arrays([part.column("row"), pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())],
                                           names=["row", "token_ids", "lossless"])
 
     out = rows.mapInArrow(_run(held, dropout, seed, variants, emit), schema)
-    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in columns], "token_ids",
+    return out.select(*[F.col(f"row.`{c}`").cast(docs.schema[c].dataType).alias(c) for c in columns], "token_ids",
                       F.coalesce(F.size("token_ids"), F.lit(0)).cast("long").alias("n_tokens"), "lossless")
 
 
@@ -254,7 +368,7 @@ def decode(tokens: DataFrame, model: str = MODEL) -> DataFrame:
                 texts = [None if x is None else pieces.decode(x) for x in part.column("token_ids").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return tokens.select(F.col("doc_id").cast("long").alias("doc_id"), "token_ids").mapInArrow(run, "doc_id long, text string")
+    return modest_batches(tokens.select(F.col("doc_id").cast("long").alias("doc_id"), "token_ids")).mapInArrow(run, "doc_id long, text string")
 
 
 def digest(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
@@ -266,12 +380,13 @@ def digest(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed:
         import pyarrow as pa
 
         texts = [t or "" for t in texts]
-        decoded = [pieces.decode(x or ()) for x in ids]
+        ids = [np.zeros(0, "<i4") if x is None else x for x in ids]
+        decoded = [pieces.decode(x.tolist()) for x in ids]
         sha = lambda b: hashlib.sha256(b).hexdigest()
         return pa.RecordBatch.from_pydict({
             "doc_id": part.column("doc_id"), "n_chars": pa.array([len(t) for t in texts], pa.int64()),
-            "n_tokens": pa.array([len(x or ()) for x in ids], pa.int64()),
-            "ids_sha256": [sha(np.array(x or (), "<i4").tobytes()) for x in ids],
+            "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
+            "ids_sha256": [sha(x.tobytes()) for x in ids],
             "decoded_sha256": [sha(d.encode("utf-8", "surrogatepass")) for d in decoded],
             "lossless": pa.array([d == t for d, t in zip(decoded, texts)], pa.bool_())})
 

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delivery_lake.llm.common import doc_texts, slices
+from delivery_lake.llm.common import doc_texts, modest_batches, slices
 
 #: The pattern of each kind and the least length of what must match.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
@@ -167,7 +167,7 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
                 i = part.schema.get_field_index("text")
                 yield part.set_column(i, part.schema.field(i), pa.array(new, part.schema.field(i).type))
 
-    out = docs.mapInArrow(run, docs.schema)
+    out = modest_batches(docs).mapInArrow(run, docs.schema)
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))

@@ -29,13 +29,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delivery_lake.llm.common import as_bytes, doc_texts
+from delivery_lake.llm.common import as_bytes, as_row, doc_texts, from_row, row_column
 
 #: Words of a phrase.
 PHRASE = 10
 #: Symbols of one shard's index, text bytes that a task holds for it at most.
 SHARD_SYMBOLS = 1 << 20
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 12 << 20
 #: Most benchmark words in one broadcast.
 PHRASE_WORDS = 2_000_000
 #: Every so many symbols a suffix position is kept.
@@ -263,7 +263,7 @@ def _search(phrases, batches: Iterator):
     for batch in batches:
         for i in range(0, batch.num_rows, 128):
             part = batch.slice(i, 128)
-            for text in as_bytes(part.column("text")):
+            for text in as_bytes(row_column(part, "text")):
                 shard.add(text)
             held.append(part)
             if shard.symbols >= SHARD_SYMBOLS or shard.bytes >= SHARD_BYTES:
@@ -288,7 +288,7 @@ def phrase_groups(benchmark: DataFrame, length: int = PHRASE, most_words: int =
 
 
 def search(docs: DataFrame, benchmark: DataFrame, length: int = PHRASE, most_words: int = PHRASE_WORDS) -> DataFrame:
-    """All columns of ``docs`` (one named ``text``) with n_words, spans, items added."""
+    """All columns of ``docs`` (``text``, or ``row`` with a field of this name) with n_words, spans, items."""
     sc = docs.sparkSession.sparkContext
     out = docs.withColumns({"n_words": F.lit(0).cast("long"), "spans": F.expr("cast(array() as array<struct<start:int,end:int>>)"),
                             "items": F.expr("cast(array() as array<string>)")})
@@ -321,23 +321,20 @@ def remove_hits(docs: DataFrame, benchmark: DataFrame, length: int = PHRASE) ->
     it exists. No row is dropped; texts without a hit are unchanged, null texts stay null."""
     import pyarrow as pa
 
-    columns = docs.columns
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("text").cast("string").alias("text"))
+    packed = as_row(docs)
 
     def cut(batches):
         for batch in batches:
-            texts, spans = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
+            texts, spans = row_column(batch, "text").to_pylist(), batch.column("spans").to_pylist()
             new = [without_words(t, s) if s else t for t, s in zip(texts, spans)]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(new, pa.string())], names=["row", "text"])
-
-    found = search(packed, benchmark, length)
-    out = found.select("row", "text", "spans").mapInArrow(cut, packed.schema)
-    fields = {c: F.col(f"row.`{c}`").alias(c) for c in columns}
-    fields["text"] = F.col("text").cast(docs.schema["text"].dataType).alias("text")
-    if "n_chars" in columns:
-        kind = docs.schema["n_chars"].dataType
-        fields["n_chars"] = F.when(F.col("text").isNull(), F.col("row.n_chars")).otherwise(F.length("text").cast(kind)).alias("n_chars")
-    return out.select(*fields.values())
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(new, pa.string())], names=["row", "new"])
+
+    found = search(packed, benchmark, length).select("row", "spans")
+    out = found.mapInArrow(cut, packed.withColumn("new", F.lit(None).cast("string")).schema)
+    new = {"text": F.col("new")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col("new").isNull(), F.col("row.n_chars")).otherwise(F.length("new"))
+    return out.select(*from_row(out, docs, **new))
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

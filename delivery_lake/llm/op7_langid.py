@@ -18,25 +18,28 @@ first in order. Equal rows get equal results; extra columns are ignored by ``pre
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delivery_lake.llm.common import held_out, remainder, slices
+from delivery_lake.llm.common import as_row, from_row, held_out, modest_batches, remainder, row_column, slices
 
 #: Dimensions of the vectors, seed of the letters' vectors.
 DIMENSIONS = 512
 SEED = 20240607
 #: Most trigram vectors a task keeps; beyond, it starts again (a cache, not a limit on trigrams).
-CACHE = 60_000
+CACHE = 30_000
 #: Most documents, characters and count cells in one numpy step.
-ROWS, CHARS, CELLS = 128, 1 << 20, 1 << 22
+ROWS, CHARS, CELLS = 128, 1 << 18, 1 << 20
 #: A document whose best cosine is below this is rejected by the filter.
 LEAST_SCORE = 0.1
 
 
+@lru_cache(maxsize=1)
 def is_letter() -> np.ndarray:
+    """For every code point, whether it is a letter."""
     return np.array([chr(i).isalpha() for i in range(0x110000)])
 
 
@@ -152,7 +155,7 @@ def steps(texts: list[str]) -> Iterator[slice]:
 
 def train(docs: DataFrame, training: Column, dimensions: int = DIMENSIONS, seed: int = SEED) -> tuple[list[str], np.ndarray]:
     """Languages, in order, and their unit prototype vectors, from the rows where ``training`` holds."""
-    rows = docs.where(training & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
+    rows = modest_batches(docs).where(training & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
 
     def run(batches):
@@ -186,11 +189,10 @@ def train(docs: DataFrame, training: Column, dimensions: int = DIMENSIONS, seed:
     return langs, np.stack([vectors[x] / np.linalg.norm(vectors[x]) for x in langs])
 
 
-def predict(docs: DataFrame, langs: list[str], prototypes: np.ndarray, keep: list[str] | None = None, seed: int = SEED) -> DataFrame:
-    """The columns ``keep`` (all by default) with ``lang_pred`` and ``score`` (cosine, 0 to 1)."""
-    keep = docs.columns if keep is None else keep
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col("text").cast("string").alias("text"))
-    schema = rows.select("row").withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
+def _predicted(docs: DataFrame, langs: list[str], prototypes: np.ndarray, keep: list[str], seed: int = SEED) -> DataFrame:
+    """``row`` (the columns ``keep`` and the text), ``lang_pred``, ``score``."""
+    rows = as_row(docs, list(dict.fromkeys([*keep, "text"])))
+    schema = rows.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
 
     def run(batches):
         import pyarrow as pa
@@ -198,7 +200,7 @@ def predict(docs: DataFrame, langs: list[str], prototypes: np.ndarray, keep: lis
         model = Trigrams(prototypes.shape[1], seed)
         for batch in batches:
             for part in slices(batch):
-                texts = [t or "" for t in part.column("text").to_pylist()]
+                texts = [t or "" for t in row_column(part, "text").to_pylist()]
                 pred, score = [], []
                 for s in steps(texts):
                     v = model.documents(texts[s])
@@ -210,8 +212,14 @@ def predict(docs: DataFrame, langs: list[str], prototypes: np.ndarray, keep: lis
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                                                  names=["row", "lang_pred", "score"])
 
-    out = rows.mapInArrow(run, schema)
-    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in keep], "lang_pred", "score")
+    return rows.mapInArrow(run, schema)
+
+
+def predict(docs: DataFrame, langs: list[str], prototypes: np.ndarray, keep: list[str] | None = None, seed: int = SEED) -> DataFrame:
+    """The columns ``keep`` (all by default) with ``lang_pred`` and ``score`` (cosine, 0 to 1)."""
+    keep = docs.columns if keep is None else keep
+    found = _predicted(docs, langs, prototypes, keep, seed)
+    return found.select(*[F.col(f"row.`{c}`").cast(docs.schema[c].dataType).alias(c) for c in keep], "lang_pred", "score")
 
 
 def training_rows(doc_id: str = "doc_id") -> Column:
@@ -223,9 +231,9 @@ def keep_identified(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFr
     """The documents, all columns, without those whose language is not recognised: no letter, or a best
     cosine under ``least_score``."""
     langs, prototypes = train(docs, training_rows())
-    found = predict(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_given"), "text"), langs, prototypes, ["_given"])
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= least_score)).select(
-        *[F.col(f"_given.`{c}`").alias(c) for c in docs.columns])
+    found = _predicted(docs, langs, prototypes, docs.columns)
+    kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= least_score))
+    return kept.select(*from_row(kept, docs))
 
 
 def digest(docs: DataFrame) -> DataFrame:

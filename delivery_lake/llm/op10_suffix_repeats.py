@@ -5,19 +5,25 @@ string in it (leftmost of equals); consecutive windows with one minimizer form a
 bytes. Equal windows have equal minimizers, so dealing stretches out by minimizer brings all
 occurrences of every 50-byte string into one part.
 
-1. Blocks of documents send their minimizer hashes; those in more than one document come back (only
-   their stretches can hold a string that repeats between documents).
+1. Blocks of documents send their minimizer hashes and in how many different stretches each is; those
+   in more than one document come back (only their stretches can hold a string that repeats between
+   documents). A minimizer with more than SPREAD different stretches, as of a line that many documents
+   share with different text around it, is too much for one part: its windows are dealt out one by
+   one, by a hash of their own 50 bytes. Those hashes are counted first, and only windows whose hash
+   recurs between documents are sent.
 2. Blocks send their distinct stretches with their smallest document id. A part builds an enhanced
    suffix array over its distinct stretches: the suffixes with at least 50 bytes left, in order, and
    the lengths of the common prefixes of neighbours. A stack scan walks the intervals of the
    common-prefix tree with prefixes of 50 bytes or more; an interval whose occurrences have different
    bytes on the left (or a stretch's start) is a maximal repeat group, with all its occurrences. An
-   interval with one byte on the left is part of a longer group and is passed over.
+   interval with one byte on the left is part of a longer group and is passed over. Windows that were
+   dealt out by themselves are all of one length, so a distinct one is a group.
 3. Each group's smallest document id goes back to the blocks that hold an occurrence in a larger one,
    which remove the bytes.
 
 A block sends each distinct stretch once, so a passage in a third of all documents is one entry per
-block. Nothing is capped or sampled; the texts are shuffled once.
+block. The removed bytes are those of all windows that a smaller document id has, however the windows
+are dealt out. Nothing is capped or sampled; the texts are shuffled once.
 
 Matches never cross documents. A null text is empty. A document with a null id keeps all its bytes and
 removes none elsewhere. Equal rows, and rows that repeat an id, do not remove each other's bytes. Extra
@@ -29,7 +35,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delivery_lake.llm.blocks import ROW, Layout, Recurring, block_docs, by_part, in_blocks, parts_of, recurring, rows_table
+from delivery_lake.llm.blocks import (
+    ROW, Layout, Recurring, block_docs, hash_rows, in_blocks, keys_of, member, parts_of, recurring, recurring_rows, rows_table,
+)
 from delivery_lake.llm.common import mix64
 
 #: Bytes of a repeat at least; bytes of the minimizing strings.
@@ -39,6 +47,8 @@ GRAM = 16
 CHUNK = 1 << 17
 #: Rows of the suffix array that are held at once.
 RANGE = 1 << 16
+#: Different stretches of a minimizer, summed over blocks, up to which they go to one part.
+SPREAD = 1 << 12
 
 _M1 = np.uint64(0x9E3779B97F4A7C15)
 
@@ -96,6 +106,23 @@ def block_stretches(texts: list[bytes], length: int, gram: int):
         yield i, joined, bounds, *stretches(np.frombuffer(joined, np.uint8), bounds, length, gram)
 
 
+def window_hashes(joined: bytes, at: np.ndarray, length: int) -> np.ndarray:
+    """64-bit hashes of the windows of ``length`` bytes (8 at least) that start at ``at``."""
+    h = np.zeros(len(at), np.uint64)
+    if len(at):
+        eight = np.ndarray((len(joined) - 7,), "<u8", joined, strides=(1,))
+        for k in (*range(0, length - 8, 8), length - 8):
+            h = mix64(h * _M1 + eight[at + k])
+    return h
+
+
+def windows(start: np.ndarray, end: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of all windows of some stretches, and the number of the stretch each is of."""
+    count = end - length + 1 - start
+    of = np.repeat(np.arange(len(start)), count)
+    return np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count) + start[of], of
+
+
 class SuffixArray:
     """A range of the enhanced suffix array of distinct stretches: rows in order, with the stretch and
     place of each suffix, the common prefix with the row before, and the byte on the left."""
@@ -173,11 +200,13 @@ def dedup_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, layou
         return [t if i is not None else b"" for i, t in zip(ids, data)]
 
     def hashes(ids, data):
-        value, doc = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for i, _, bounds, start, _, h in block_stretches(with_id(ids, data), length, gram):
+        value, doc, content = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for i, joined, bounds, start, end, h in block_stretches(with_id(ids, data), length, gram):
             value.append(h)
             doc.append(np.searchsorted(bounds, start, side="right") - 1 + i)
-        return np.concatenate(value), np.concatenate(doc)
+            # The first and the last window cover the stretch.
+            content.append(mix64(window_hashes(joined, start, length) * _M1 + window_hashes(joined, end - length, length)) + (end - start).astype(np.uint64))
+        return np.concatenate(value), np.concatenate(doc), np.concatenate(content)
 
     def send(table, sent):
         if not table.num_rows or not sent.num_rows:
@@ -186,23 +215,61 @@ def dedup_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, layou
         block = table["block"][0].as_py()
         recurs = Recurring(sent, parts)
         held: dict[int, dict[bytes, list]] = {}
+        value, of = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for i, joined, bounds, start, end, h in block_stretches(with_id(ids, data), length, gram):
-            live = recurs.has(h)
-            start, end = start[live], end[live]
-            part, _ = parts_of(h[live], parts)
+            key = keys_of(h, parts)
             doc = np.searchsorted(bounds, start, side="right") - 1 + i
-            for p, a, b, d in zip(part.tolist(), start.tolist(), end.tolist(), doc.tolist()):
-                seen = held.setdefault(p, {}).setdefault(joined[a:b], [ids[d], ids[d]])
-                if ids[d] > seen[1]:  # documents come in the order of their ids
-                    seen[1] = ids[d]
-        return rows_table([(1, p, block, *_packed(list(x), list(x.values()))) for p, x in sorted(held.items())])
+            hot = member(key, recurs.hot)
+            if hot.any():
+                at, k = windows(start[hot], end[hot], length)
+                value.append(window_hashes(joined, at, length))
+                of.append(doc[hot][k])
+            live = member(key, recurs.keys) & ~hot
+            hold(held, ids, joined, (key[live] >> np.uint64(32)).tolist(), start[live].tolist(), end[live].tolist(), doc[live].tolist())
+        rows = packed_rows(1, block, held) + hash_rows(2, block, parts, np.concatenate(value), np.concatenate(of))
+        if len(recurs.hot):  # comes back with the windows' hashes
+            rows.append((4, block % parts, block, recurs.hot.tobytes(), b""))
+        return rows_table(rows)
+
+    def count_windows(table):
+        back = [(4, p, b, d, b"") for k, p, b, d in zip(*(table[c].to_pylist() for c in ("kind", "part", "block", "data"))) if k == 4]
+        return rows_table(recurring_rows(2, table) + back)
+
+    def send_windows(table, sent):
+        kinds = sent["kind"].to_pylist() if sent.num_rows else []
+        if not table.num_rows or 2 not in kinds:
+            return rows_table([])
+        ids, data = block_docs(table)
+        recurs = Recurring(sent, parts, 2)
+        grams = np.sort(np.concatenate([np.frombuffer(d, np.uint64) for k, d in zip(kinds, sent["data"].to_pylist()) if k == 4]))
+        held: dict[int, dict[bytes, list]] = {}
+        for i, joined, bounds, start, end, h in block_stretches(with_id(ids, data), length, gram):
+            hot = member(keys_of(h, parts), grams)
+            at, _ = windows(start[hot], end[hot], length)
+            key = keys_of(window_hashes(joined, at, length), parts)
+            live = member(key, recurs.keys)
+            at, doc = at[live], np.searchsorted(bounds, at[live], side="right") - 1 + i
+            hold(held, ids, joined, (key[live] >> np.uint64(32)).tolist(), at.tolist(), (at + length).tolist(), doc.tolist())
+        return rows_table(packed_rows(3, table["block"][0].as_py(), held))
+
+    def hold(held, ids, joined, part, start, end, doc):
+        for p, a, b, d in zip(part, start, end, doc):
+            seen = held.setdefault(p, {}).setdefault(joined[a:b], [ids[d], ids[d]])
+            if ids[d] > seen[1]:  # documents come in the order of their ids
+                seen[1] = ids[d]
+
+    def packed_rows(kind, block, held):
+        return [(kind, p, block, *_packed(list(x), list(x.values()))) for p, x in sorted(held.items())]
 
     def decide(table):
         part = table["part"][0].as_py()
+        kinds = table["kind"].to_pylist()
         number: dict[bytes, int] = {}
         least: list[int] = []
         held = []
-        for block, d, m in zip(table["block"].to_pylist(), table["data"].to_pylist(), table["more"].to_pylist()):
+        for kind, block, d, m in zip(kinds, table["block"].to_pylist(), table["data"].to_pylist(), table["more"].to_pylist()):
+            if kind not in (1, 3):
+                continue
             own, (low, high) = _unpacked(d, m)
             at = [number.setdefault(t, len(number)) for t in own]
             least += [1 << 62] * (len(number) - len(least))
@@ -210,20 +277,29 @@ def dedup_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, layou
                 if v < least[k]:
                     least[k] = v
             held.append((block, at, high))
-        groups = repeat_groups(list(number), np.array(least, np.int64), length)
+        if not held:
+            return rows_table([])
+        kind = 3 if 3 in kinds else 1
+        if kind == 3:
+            groups = [[(0, length, m)] for m in least]
+        else:
+            groups = repeat_groups(list(number), np.array(least, np.int64), length)
         names, out = list(number), []
         for block, at, high in held:
             rows = [(t, a, b, m) for t, h in zip(at, high.tolist()) for a, b, m in groups[t] if m < h]
             if rows:
-                out.append((1, part, block, *_packed([names[t] for t, *_ in rows], [r[1:] for r in rows])))
+                out.append((kind, part, block, *_packed([names[t] for t, *_ in rows], [r[1:] for r in rows])))
         return rows_table(out)
 
     def remove(table, sent):
         return _removed(table, sent, length, gram, parts, with_id)
 
-    found = recurring(texts, layout, hashes)
+    found = recurring(texts, layout, hashes, SPREAD)
     sent = texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(send, ROW)
     decided = sent.groupBy("part").applyInArrow(decide, ROW)
+    counted = sent.groupBy("part").applyInArrow(count_windows, ROW)
+    alone = texts.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(send_windows, ROW)
+    decided = decided.union(alone.groupBy("part").applyInArrow(decide, ROW))
     return texts.groupBy("block").cogroup(decided.groupBy("block")).applyInArrow(
         remove, "doc_id long, n_bytes long, spans array<struct<start:int,end:int>>, kept binary")
 
@@ -268,19 +344,32 @@ def _removed(table, sent, length, gram, parts, with_id):
 
     ids, data = block_docs(table) if table.num_rows else ([], [])
     groups: dict[bytes, list] = {}
-    for d, m in zip(sent["data"].to_pylist(), sent["more"].to_pylist()) if sent.num_rows else ():
+    alone: dict[bytes, list] = {}  # windows that were dealt out by themselves
+    for k, d, m in zip(*(sent[c].to_pylist() for c in ("kind", "data", "more"))) if sent.num_rows else ():
         own, numbers = _unpacked(d, m)
         for t, x in zip(own, numbers.T.tolist()):
-            groups.setdefault(t, []).append(x)
+            (alone if k == 3 else groups).setdefault(t, []).append(x)
+    grams, known = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    if alone:
+        grams = np.unique(np.concatenate([h for *_, h in block_stretches(list(alone), length, gram)]))
+        joined = b"".join(alone)
+        known = np.sort(window_hashes(joined, np.arange(0, len(joined), length), length))
     spans: list[list] = [[] for _ in data]
-    if groups:
-        for i, joined, bounds, start, end, _ in block_stretches(with_id(ids, data), length, gram):
-            for a, b in zip(start.tolist(), end.tolist()):
-                found = groups.get(joined[a:b])
-                if found:
-                    k = int(np.searchsorted(bounds, a, side="right")) - 1
-                    at = a - int(bounds[k])
-                    spans[i + k] += [(at + x, at + y) for x, y, m in found if m < ids[i + k]]
+    if groups or alone:
+        for i, joined, bounds, start, end, h in block_stretches(with_id(ids, data), length, gram):
+            places = [(groups, start, end)] if groups else []
+            hot = member(h, grams)
+            if hot.any():
+                at, _ = windows(start[hot], end[hot], length)
+                at = at[member(window_hashes(joined, at, length), known)]
+                places.append((alone, at, at + length))
+            for among, start, end in places:
+                for a, b in zip(start.tolist(), end.tolist()):
+                    found = among.get(joined[a:b])
+                    if found:
+                        k = int(np.searchsorted(bounds, a, side="right")) - 1
+                        at = a - int(bounds[k])
+                        spans[i + k] += [(at + x, at + y) for x, y, m in found if m < ids[i + k]]
     kept = []
     for k, text in enumerate(data):
         merged: list = []

@@ -207,6 +207,46 @@ def test_suffix_repeats(docs, rows, none):
     assert op10_suffix_repeats.digest(none).count() == 0
 
 
+def shared_line_rows():
+    """A line that all documents share, with text around it that is different or shared by two."""
+    rng = random.Random(13)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(90))
+    around = ["".join(rng.choice("klmnopqrst ") for _ in range(60)) for _ in range(120)]
+    return [(i + 1, around[i % 90] + line + around[(7 * i) % 120]) for i in range(150)]
+
+
+def test_suffix_repeats_of_a_line_with_different_context(spark, monkeypatch):
+    shared = shared_line_rows()
+    want = []
+    for d, p, gone in brute_repeats(shared, lambda t: list(t.encode()), 50):
+        runs = sum(1 for i in gone if i - 1 not in gone)
+        want.append((d, len(p), len(gone), runs, sha(bytes(b for i, b in enumerate(p) if i not in gone))))
+    df = spark.createDataFrame(shared, "doc_id long, text string").repartition(3)
+    same_rows(op10_suffix_repeats.digest(df), want)
+    monkeypatch.setattr(op10_suffix_repeats, "SPREAD", 8)
+    same_rows(op10_suffix_repeats.digest(df), want)
+
+
+def test_no_part_gets_all_stretches_of_a_shared_line(spark, monkeypatch, tmp_path):
+    """The stretches that parts get for one minimizer are bounded; more are dealt out window by window."""
+    from pathlib import Path
+
+    limit, log = 8, str(tmp_path)
+    monkeypatch.setattr(op10_suffix_repeats, "SPREAD", limit, raising=False)
+    real = op10_suffix_repeats.repeat_groups
+
+    def watched(texts, *rest):
+        n = max(Counter(h.tolist()[0] for t in texts for *_, h in op10_suffix_repeats.block_stretches([t], 50, 16)).values(), default=0)
+        Path(log, f"{n}-{random.random()}").touch()
+        return real(texts, *rest)
+
+    monkeypatch.setattr(op10_suffix_repeats, "repeat_groups", watched)
+    df = spark.createDataFrame(shared_line_rows(), "doc_id long, text string").repartition(3)
+    spans = op10_suffix_repeats.dedup_repeats(df).collect()
+    assert sum(len(r.spans) for r in spans) >= 149
+    assert all(int(f.name.split("-")[0]) <= limit for f in Path(log).iterdir())
+
+
 def test_maximal_repeats_have_all_occurrences():
     import numpy as np
 

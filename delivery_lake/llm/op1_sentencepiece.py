@@ -4,16 +4,19 @@ The pieces and their scores come from a SentencePiece BPE model; nothing is trai
 a space mark follows another character and around line breaks, as no piece of such a model spans these
 places, and each segment is merged by itself: an agenda holds the neighbouring pairs that form a piece, the best score first,
 then the leftmost. With dropout, each candidate taken from the agenda is skipped if a keyed hash of
-(seed, variant, segment, place, piece) falls below the rate, so the same input always gives the same
-segmentation, on any executor, while other variants give others. Without dropout the result is that of
-the SentencePiece library.
+(seed, document id, the segment's place in the document, place in the segment, piece) falls below the
+rate: every occurrence is segmented by itself, and the same input always gives the same segmentation, on
+any executor. Without dropout the result is that of the SentencePiece library.
 
-An occurrence's variant is a keyed hash of the seed, the document's id and its place among the document's
-segments, modulo ``variants``: so segmentations vary within and between documents, and a task can keep
-the ones it has met. Bytes fall back for characters without a piece. A space mark that is part of the
+What a segment becomes depends only on which of its candidates are skipped. So a task keeps, for the
+segments it has met, the candidates in the order they are taken, with none skipped and with those skips
+that it has met; an occurrence tests its own hashes along them, and only a pattern of skips that is new
+is merged. Nothing is shared between occurrences but this.
+
+Bytes fall back for characters without a piece. A space mark that is part of the
 text itself is written as bytes, so decoding gives back exactly the text, whatever it holds.
 
-A null text has null ids; an empty one has none. A null doc_id uses the variants of id 0. Equal rows
+A null text has null ids; an empty one has none. A null doc_id counts as id 0. Equal rows
 get equal ids. Extra columns are ignored by ``digest`` and kept by ``encode``."""
 
 from __future__ import annotations
@@ -22,9 +25,9 @@ import hashlib
 import heapq
 import re
 import struct
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -32,10 +35,10 @@ from pyspark.sql import functions as F
 
 from delivery_lake.llm.common import as_row, doc_texts, modest_batches, row_column, slices
 
-#: Model file, dropout rate, seed, segmentations per segment.
+#: Model file, dropout rate, seed.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-DROPOUT, SEED, VARIANTS = 0.1, 20240801, 4
-#: Most segmentations that a task keeps (a cache: cleared when full, not a limit on segments).
+DROPOUT, SEED = 0.1, 20240801
+#: Merge paths that a task keeps about (a cache: cleared when full, not a limit on segments).
 CACHE = 250_000
 
 MARK = "▁"
@@ -48,6 +51,9 @@ SEGMENT_OF_LINE = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 SHORT = 48
 #: Characters whose segments are looked up together.
 GROUP = 1 << 20
+#: Occurrences of a segment with more candidates than this are merged by themselves where one is
+#: skipped: the same skips hardly ever come again.
+DEEP = 16
 _PAIR = 0x9E3779B97F4A7C15
 
 
@@ -69,12 +75,20 @@ class Pieces:
         self.out = [self.piece[i].replace(MARK, " ").encode() for i in range(self.size)]
         for b, i in enumerate(self.byte):
             self.out[i] = bytes([b])
-        self.cache: dict[tuple[str, int], bytes] = {}
-        self.cached_for: tuple = ()
+        self._forget()
         chars = sorted({c for p in self.id for c in p})
         self.segment = SEGMENT if "\n" in chars else SEGMENT_OF_LINE
         self._prepare(chars)
 
+    def _forget(self) -> None:
+        """Empties the cache of merge paths: each has the candidates in the order they are taken (place
+        and piece in one number, from ``start`` on) and the ids that result."""
+        self.roots: dict[str, int] = {}  # nothing skipped
+        self.branches: dict[tuple[int, int], int] = {}  # by root and the bits of the skipped candidates
+        self.ids_of: list[bytes] = []
+        self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.taken = np.zeros(0, np.uint64)
+
     def _prepare(self, chars: list[str]) -> None:
         """Tables for merging many segments: symbols are pieces, and characters that only occur in
         pieces; each pair that forms a piece is in a hash table."""
@@ -129,15 +143,17 @@ class Pieces:
             out += self.segment.findall((MARK if i == 0 else "") + part.replace(" ", MARK))
         return out
 
-    def merge(self, segment: str, dropout: float = 0.0, seed: int = 0, variant: int = 0) -> tuple[int, ...]:
-        """Ids of one segment by agenda merging."""
+    def merge(self, segment: str, dropout: float = 0.0, seed: int = 0, doc_id: int = 0, place: int = 0) -> tuple[int, ...]:
+        """Ids of one segment, the one at ``place`` in a document, by agenda merging."""
+        limit = int(dropout * 4294967296)
+        return self._merge_one(segment, limit, _key_of(seed, doc_id, place) if limit else 0)
+
+    def _merge_one(self, segment: str, limit: int, key: int, mask: int = 0, trace: list | None = None) -> tuple[int, ...]:
         if segment == OWN_MARK:
             return tuple(self.byte[b] for b in MARK.encode())
-        limit = int(dropout * 4294967296)
-        symbols = self._merge_heap(segment, limit, _key_of(segment, seed, variant) if limit else 0)
         ids = self.id
         out: list[int] = []
-        for s in symbols:
+        for s in self._merge_heap(segment, limit, key, mask, trace):
             i = ids.get(s)
             if i is None:
                 out += [self.byte[b] for b in s.encode("utf-8", "surrogatepass")]
@@ -145,7 +161,9 @@ class Pieces:
                 out.append(i)
         return tuple(out)
 
-    def _merge_heap(self, segment: str, limit: int, key: int) -> list[str]:
+    def _merge_heap(self, segment: str, limit: int, key: int, mask: int, trace: list | None) -> list[str]:
+        """Symbols of a segment. With ``trace``, the candidates taken are added to it, and those with a bit
+        in ``mask`` are skipped instead of those below the limit."""
         rank = self.rank
         symbols = list(segment)
         n = len(symbols)
@@ -157,7 +175,11 @@ class Pieces:
             _, i, j, new = heapq.heappop(agenda)
             if after[i] != j or not symbols[i] or symbols[i] + symbols[j] != new:
                 continue  # one side has been merged meanwhile
-            if limit and _skipped(key, i, self.id[new], limit):
+            if trace is not None:
+                trace.append((i << 16) ^ self.id[new])
+                if mask >> (len(trace) - 1) & 1:
+                    continue
+            elif limit and _skipped(key, i, self.id[new], limit):
                 continue
             symbols[i], symbols[j] = new, ""
             k = after[i] = after[j]
@@ -170,24 +192,35 @@ class Pieces:
                 heapq.heappush(agenda, (rank[x], h, i, x))
         return [s for s in symbols if s]
 
-    def merge_many(self, wanted: list[tuple[str, int]], dropout: float, seed: int) -> list[bytes]:
-        """``merge`` of many (segment, variant), ids as little-endian 32-bit numbers: per step, every segment takes one candidate from its
-        agenda, the one with the best score, then the leftmost."""
-        out: list = [None] * len(wanted)
-        short = [k for k, (s, _) in enumerate(wanted) if len(s) <= SHORT]
-        points = np.frombuffer("".join([wanted[k][0] for k in short]).encode("utf-32-le", "surrogatepass"), np.uint32)
-        size = np.array([len(wanted[k][0]) for k in short], np.int64)
+    def merge_many(self, wanted: list[tuple], dropout: float, seed: int) -> list[bytes]:
+        """``merge`` of many (segment, doc_id) or (segment, doc_id, place), ids as little-endian 32-bit
+        numbers."""
+        limit = int(dropout * 4294967296)
+        keys = np.array([_key_of(seed, *w[1:]) if limit else 0 for w in wanted], np.uint64)
+        return self._merge_many([w[0] for w in wanted], limit, keys)[0]
+
+    def _merge_many(self, segments: list[str], limit: int, keys: np.ndarray, masks: np.ndarray | None = None):
+        """Ids of many segments: per step, every segment takes one candidate from its agenda, the one with
+        the best score, then the leftmost. With ``masks``, the candidates with a bit there are skipped (the
+        n-th bit for the n-th step), and the candidates taken, their starts and numbers are given as well."""
+        out: list = [None] * len(segments)
+        short = [k for k, s in enumerate(segments) if len(s) <= SHORT]
+        points = np.frombuffer("".join([segments[k] for k in short]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        size = np.array([len(segments[k]) for k in short], np.int64)
         word = np.repeat(np.arange(len(short)), size)
         symbol = self.symbol_of[points]
         odd = np.zeros(len(short), bool)
         odd[word[symbol < 0]] = True
-        for k in [*(k for k, x in zip(short, odd.tolist()) if x), *(k for k, (s, _) in enumerate(wanted) if len(s) > SHORT)]:
-            out[k] = np.array(self.merge(wanted[k][0], dropout, seed, wanted[k][1]), "<i4").tobytes()
+        traces: dict[int, list] = {}
+        for k in [*(k for k, x in zip(short, odd.tolist()) if x), *(k for k, s in enumerate(segments) if len(s) > SHORT)]:
+            trace = None if masks is None else traces.setdefault(k, [])
+            out[k] = np.array(self._merge_one(segments[k], limit, int(keys[k]), 0 if masks is None else int(masks[k]), trace), "<i4").tobytes()
         place = np.arange(len(word)) - np.repeat(np.cumsum(size) - size, size)
         keep = ~odd[word]
         word, symbol, place = word[keep], symbol[keep].astype(np.int64), place[keep]
-        limit = int(dropout * 4294967296)
-        keys = np.array([_key_of(wanted[k][0], seed, wanted[k][1]) for k in short] if limit else [0] * len(short), np.uint64)
+        number = np.array(short, np.int64)
+        keys = keys[number]
+        taken_word, taken, step = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
         done_word, done_symbol = [], []
         piece = np.append(np.where(word[1:] == word[:-1], self._find(symbol[:-1], symbol[1:]), -1), -1)[: len(word)]
         while len(word):
@@ -208,8 +241,15 @@ class Pieces:
             at = np.flatnonzero(rank == np.repeat(best, length))
             at = at[np.concatenate(([True], word[at[1:]] != word[at[:-1]]))]  # the leftmost of each segment
             new = piece[at]
-            if limit:
-                skip = _keyed(keys[word[at]], place[at].astype(np.uint64), new.astype(np.uint64)) < limit
+            if masks is not None or limit:
+                candidate = (place[at].astype(np.uint64) << np.uint64(16)) ^ new.astype(np.uint64)
+                if masks is None:
+                    skip = _keyed(keys[word[at]], candidate) < limit
+                else:
+                    taken_word.append(number[word[at]])
+                    taken.append(candidate)
+                    skip = (masks[number[word[at]]] >> np.uint64(step)) & np.uint64(1) > 0 if step < 64 else np.zeros(len(at), bool)
+                    step += 1
                 piece[at[skip]] = -1
                 at, new = at[~skip], new[~skip]
             symbol[at] = new
@@ -233,31 +273,80 @@ class Pieces:
             for n, k in enumerate(short):
                 if out[k] is None:
                     out[k] = ids[bounds[n]:bounds[n + 1]]
+        if masks is None:
+            return out, None, None, None
+        for k, trace in traces.items():
+            taken_word.append(np.full(len(trace), k))
+            taken.append(np.array(trace, np.uint64))
+        taken_word = np.concatenate(taken_word)
+        order = np.argsort(taken_word, kind="stable")  # by segment, then step
+        count = np.bincount(taken_word, minlength=len(segments))
+        return out, np.concatenate(taken)[order], np.cumsum(count) - count, count
+
+    def _learn(self, segments: list[str], masks: np.ndarray) -> range:
+        """Adds the paths of some segments with some skips; their numbers."""
+        ids, taken, start, count = self._merge_many(segments, 0, np.zeros(len(segments), np.uint64), masks)
+        first = len(self.ids_of)
+        self.ids_of += ids
+        self.start = np.concatenate((self.start, start + len(self.taken)))
+        self.count = np.concatenate((self.count, count))
+        self.taken = np.concatenate((self.taken, taken))
+        return range(first, len(self.ids_of))
+
+    def encode_many(self, texts: list[str], docs: list[int], dropout: float = DROPOUT, seed: int = SEED) -> list[np.ndarray]:
+        """Ids of some texts, as arrays of 32-bit numbers."""
+        limit = int(dropout * 4294967296)
+        split = [self.segments(t) for t in texts]
+        flat = [s for x in split for s in x]
+        missing = [s for s in set(flat) if s not in self.roots and (not limit or len(s) <= SHORT)]
+        if len(self.ids_of) + len(missing) > CACHE:
+            self._forget()
+            missing = [s for s in set(flat) if not limit or len(s) <= SHORT]
+        if missing:
+            self.roots.update(zip(missing, self._learn(missing, np.zeros(len(missing), np.uint64))))
+        root = np.fromiter(map(self.roots.get, flat, repeat(-1)), np.int64, len(flat))
+        path, own = root.copy(), {}
+        if limit and flat:
+            keys = np.concatenate([occurrence_keys(d, len(x), seed) for d, x in zip(docs, split)])
+            mask = np.zeros(len(flat), np.uint64)
+            alone = [np.flatnonzero(root < 0)]
+            at = np.flatnonzero(root >= 0)
+            done = np.zeros(len(at), np.int64)  # candidates that have been tested
+            while len(at):
+                size = self.count[path[at]] - done
+                begin = np.cumsum(size) - size
+                of = np.repeat(np.arange(len(at)), size)
+                candidate = self.taken[np.arange(len(of)) + (self.start[path[at]] + done - begin)[of]]
+                hit = np.flatnonzero(_keyed(keys[at][of], candidate) < limit)
+                of = of[hit]
+                first = np.ones(len(of), bool)
+                first[1:] = of[1:] != of[:-1]
+                of = of[first]
+                step = hit[first] - begin[of] + done[of]  # the first that is skipped
+                at, done = at[of], step + 1
+                deep = (self.count[root[at]] > DEEP) | (step > 62)
+                alone.append(at[deep])
+                at, done, step = at[~deep], done[~deep], step[~deep]
+                mask[at] |= np.uint64(1) << step.astype(np.uint64)
+                names = list(zip(root[at].tolist(), mask[at].tolist()))
+                new = {n: flat[k] for n, k in zip(names, at.tolist()) if n not in self.branches}
+                if new:
+                    self.branches.update(zip(new, self._learn(list(new.values()), np.array([m for _, m in new], np.uint64))))
+                path[at] = [self.branches[n] for n in names]
+            alone = np.concatenate(alone)
+            own = dict(zip(alone.tolist(), self._merge_many([flat[k] for k in alone.tolist()], limit, keys[alone])[0]))
+        ids = list(map(self.ids_of.__getitem__, path.tolist())) if self.ids_of else [b""] * len(flat)
+        for k, x in own.items():
+            ids[k] = x
+        out, i = [], 0
+        for x in split:
+            out.append(np.frombuffer(b"".join(ids[i:i + len(x)]), "<i4"))
+            i += len(x)
         return out
 
-    def encode_many(self, texts: list[str], docs: list[int], dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> list[np.ndarray]:
-        """Ids of some texts, as arrays of 32-bit numbers."""
-        if self.cached_for != (dropout, seed):
-            self.cache.clear()
-            self.cached_for = (dropout, seed)
-        cache = self.cache
-        pairs = []
-        for t, d in zip(texts, docs):
-            segments = self.segments(t)
-            which = variant_of(d, len(segments), seed, variants).tolist() if dropout > 0 and variants > 1 else [0] * len(segments)
-            pairs.append(list(zip(segments, which)))
-        met: set = set()
-        met.update(*pairs)
-        missing = list(met.difference(cache))
-        if len(cache) + len(missing) > CACHE:
-            cache.clear()
-            missing = list(met)
-        cache.update(zip(missing, self.merge_many(missing, dropout, seed)))
-        return [np.frombuffer(b"".join(map(cache.__getitem__, p)), "<i4") for p in pairs]
-
-    def encode(self, text: str, doc_id: int = 0, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> list[int]:
+    def encode(self, text: str, doc_id: int = 0, dropout: float = DROPOUT, seed: int = SEED) -> list[int]:
         """Ids of a text."""
-        return self.encode_many([text], [doc_id], dropout, seed, variants)[0].tolist()
+        return self.encode_many([text], [doc_id], dropout, seed)[0].tolist()
 
     def decode(self, ids) -> str:
         """The text of some ids, without the added leading space."""
@@ -266,19 +355,14 @@ class Pieces:
         return (data[1:] if data[:1] == b" " else data).decode("utf-8", "surrogatepass")
 
 
-def _key_of(segment: str, seed: int, variant: int) -> int:
-    """Key of a segment's candidates."""
-    return zlib.crc32(segment.encode("utf-8", "surrogatepass"), _start_of(seed, variant))
-
-
-@lru_cache(maxsize=1024)
-def _start_of(seed: int, variant: int) -> int:
-    return zlib.crc32(struct.pack("<qq", seed, variant))
+def _key_of(seed: int, doc_id: int, place: int = 0) -> int:
+    """Key of the candidates of one occurrence: the segment at a place in a document."""
+    return int(occurrence_keys(doc_id, place + 1, seed)[place])
 
 
-def _keyed(key, place, piece):
+def _keyed(key, candidate):
     """32-bit hash of candidate merges under their keys (arrays of 64-bit numbers)."""
-    x = (key ^ (place << np.uint64(16)) ^ piece) * np.uint64(0x9E3779B97F4A7C15)
+    x = (key ^ candidate) * np.uint64(0x9E3779B97F4A7C15)
     return ((x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)
 
 
@@ -294,13 +378,13 @@ def pieces_of(model: bytes) -> Pieces:
     return Pieces(model)
 
 
-def variant_of(doc_id: int, n: int, seed: int, variants: int) -> np.ndarray:
-    """Variant of each of the n segments of a document."""
+def occurrence_keys(doc_id: int, n: int, seed: int) -> np.ndarray:
+    """64-bit key of each of the n segments of a document."""
     key = int.from_bytes(hashlib.blake2b(struct.pack("<qq", seed, doc_id), digest_size=8).digest(), "little")
     x = np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(key)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return (x >> np.uint64(33)) % np.uint64(variants)
+    return x ^ (x >> np.uint64(31))
 
 
 def load_model(path: str = MODEL) -> bytes:
@@ -321,7 +405,7 @@ def groups(texts: list) -> Iterator[tuple[int, int]]:
         i = j
 
 
-def _run(held, dropout: float, seed: int, variants: int, emit):
+def _run(held, dropout: float, seed: int, emit):
     def run(batches: Iterator):
         pieces = pieces_of(held.value)
         for batch in batches:
@@ -329,12 +413,12 @@ def _run(held, dropout: float, seed: int, variants: int, emit):
                 docs, texts = row_column(part, "doc_id").to_pylist(), row_column(part, "text").to_pylist()
                 ids: list = []
                 for i, j in groups(texts):
-                    ids += pieces.encode_many([t or "" for t in texts[i:j]], [d or 0 for d in docs[i:j]], dropout, seed, variants)
+                    ids += pieces.encode_many([t or "" for t in texts[i:j]], [d or 0 for d in docs[i:j]], dropout, seed)
                 yield emit(part, pieces, texts, [None if t is None else x for t, x in zip(texts, ids)])
     return run
 
 
-def encode(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def encode(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """All columns of the documents with ``token_ids`` (array of int), ``n_tokens`` and ``lossless`` (the
     ids decode to the text; true for a null text) added. An input column with one of these names is
     replaced."""
@@ -350,7 +434,7 @@ def encode(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed:
         return pa.RecordBatch.from_arrays([part.column("row"), pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())],
                                           names=["row", "token_ids", "lossless"])
 
-    out = rows.mapInArrow(_run(held, dropout, seed, variants, emit), schema)
+    out = rows.mapInArrow(_run(held, dropout, seed, emit), schema)
     return out.select(*[F.col(f"row.`{c}`").cast(docs.schema[c].dataType).alias(c) for c in columns], "token_ids",
                       F.coalesce(F.size("token_ids"), F.lit(0)).cast("long").alias("n_tokens"), "lossless")
 
@@ -371,7 +455,7 @@ def decode(tokens: DataFrame, model: str = MODEL) -> DataFrame:
     return modest_batches(tokens.select(F.col("doc_id").cast("long").alias("doc_id"), "token_ids")).mapInArrow(run, "doc_id long, text string")
 
 
-def digest(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def digest(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """``doc_id, n_chars, n_tokens, ids_sha256`` (of the ids as little-endian 32-bit numbers),
     ``decoded_sha256`` (of the decoded text) and ``lossless`` (decoding gives the text back)."""
     held = docs.sparkSession.sparkContext.broadcast(load_model(model))
@@ -390,5 +474,5 @@ def digest(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed:
             "decoded_sha256": [sha(d.encode("utf-8", "surrogatepass")) for d in decoded],
             "lossless": pa.array([d == t for d, t in zip(decoded, texts)], pa.bool_())})
 
-    return doc_texts(docs).mapInArrow(_run(held, dropout, seed, variants, emit),
+    return doc_texts(docs).mapInArrow(_run(held, dropout, seed, emit),
                                       "doc_id long, n_chars long, n_tokens long, ids_sha256 string, decoded_sha256 string, lossless boolean")

@@ -89,6 +89,20 @@ def test_sentencepiece_equals_library_without_dropout_and_is_lossless_with(rows)
     assert len({pieces.merge("▁internationalization", 0.3, 1, v) for v in range(40)}) > 3
 
 
+def test_every_occurrence_has_a_dropout_of_its_own(rows):
+    pieces = op1_sentencepiece.Pieces(op1_sentencepiece.load_model())
+    text = "international river " * 2000
+    segments, cut = pieces.segments(text), Counter()
+    for k, s in enumerate(segments):
+        cut[s, pieces.merge(s, 0.1, 1, 5, k)] += 1
+    coded = pieces.encode(text, 5, 0.1, 1)
+    assert coded == [i for k, s in enumerate(segments) for i in pieces.merge(s, 0.1, 1, 5, k)] and pieces.decode(coded) == text
+    assert min(len([1 for t, _ in cut if t == s]) for s in set(segments) if len(s) > 3) > 4
+    for d, t in pairs(rows):
+        for dropout in (0.1, 0.5):
+            assert pieces.encode(t, d or 0, dropout, 2) == [i for k, s in enumerate(pieces.segments(t)) for i in pieces.merge(s, dropout, 2, d or 0, k)]
+
+
 def test_sentencepiece_query(spark, docs, rows, none):
     pieces = op1_sentencepiece.Pieces(op1_sentencepiece.load_model())
     want = []

@@ -58,8 +58,11 @@ def parts_of(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def by_part(part: np.ndarray):
-    """(part, slice) of an array that is sorted by part."""
-    at = np.flatnonzero(np.diff(part)) + 1
+    """(part, slice) of an array that is sorted by part: one slice a part."""
+    step = np.diff(part)
+    if (step < 0).any():
+        raise ValueError("by_part needs parts in order")
+    at = np.flatnonzero(step) + 1
     bounds = [0, *at.tolist(), len(part)]
     return [(int(part[a]), slice(a, b)) for a, b in zip(bounds, bounds[1:]) if b > a]
 

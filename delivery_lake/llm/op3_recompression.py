@@ -215,6 +215,19 @@ def _number(ids: list, docs: np.ndarray) -> np.ndarray:
     return np.array([0 if i is None else i for i in ids], np.int64)[docs]
 
 
+def window_rows(block: int, name: np.ndarray, own: np.ndarray, parts: int) -> list[tuple]:
+    """What a block sends of its windows (``own``: the id of the document each is in): a row a part, with
+    the distinct names, the smallest id of each and whether several ids have it."""
+    part, _ = parts_of(name[:, 0], parts)
+    order = np.lexsort((own, name[:, 1], name[:, 0], part))
+    name, own, part = name[order], own[order], part[order]
+    new = np.flatnonzero(np.concatenate(([True], (name[1:] != name[:-1]).any(axis=1)))) if len(name) else np.zeros(0, np.int64)
+    least = own[new]
+    several = own[np.append(new[1:], len(own)) - 1] != least if len(new) else np.zeros(0, bool)
+    name, part = name[new], part[new]
+    return [(1, p, block, name[s].tobytes(), least[s].tobytes() + np.packbits(several[s]).tobytes()) for p, s in by_part(part)]
+
+
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, layout: Layout | None = None) -> DataFrame:
     """``doc_id, n_words, spans, kept`` for every row: merged spans of removed words (word numbers, end
     exclusive) and the text of the words kept, joined by one space."""
@@ -232,15 +245,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, layout: Layout | Non
         ids, data = block_docs(table)
         block = table["block"][0].as_py()
         name, doc = candidate_windows(with_id(ids, data), Recurring(sent, parts), window)
-        own = _number(ids, doc)
-        order = np.lexsort((own, name[:, 1], name[:, 0]))
-        name, own = name[order], own[order]
-        new = np.flatnonzero(np.concatenate(([True], (name[1:] != name[:-1]).any(axis=1)))) if len(name) else np.zeros(0, np.int64)
-        least = own[new]
-        several = own[np.append(new[1:], len(own)) - 1] != least if len(new) else np.zeros(0, bool)
-        name = name[new]
-        part, _ = parts_of(name[:, 0], parts)
-        return rows_table([(1, p, block, name[s].tobytes(), least[s].tobytes() + np.packbits(several[s]).tobytes()) for p, s in by_part(part)])
+        return rows_table(window_rows(block, name, _number(ids, doc), parts))
 
     def decide(table):
         part = table["part"][0].as_py()

@@ -211,6 +211,20 @@ def test_recompression_symbols_agree_wherever_a_window_stands():
         assert len(found) == 3 and found[0] == found[1] == found[2]
 
 
+def test_a_block_sends_one_row_a_part():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    name = rng.integers(0, 1 << 63, (5000, 2)).astype(np.uint64)
+    name = np.concatenate((name, name[:700]))
+    own = rng.integers(0, 40, len(name))
+    rows = op3_recompression.window_rows(3, name, own, 64)
+    assert len(rows) == len({r[1] for r in rows}) <= 64
+    assert sum(len(r[3]) for r in rows) == 5000 * 16  # each window once
+    with pytest.raises(ValueError):
+        op3_recompression.by_part(np.array([2, 1]))
+
+
 def test_suffix_repeats(docs, rows, none):
     want = []
     for d, p, gone in brute_repeats(rows, lambda t: list(t.encode()), 50):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delivery_lake.llm import op1_sentencepiece, op2_secrets, op3_recompression, op4_fm_index, op5_simhash, op6_lattice_lm, op7_langid, op8_subword_classifier, op9_weak_supervision, op10_suffix_repeats
+from delivery_lake.llm import op1_sentencepiece, op11_spelling, op12_conversations, op13_templates, op2_secrets, op3_recompression, op4_fm_index, op5_simhash, op6_lattice_lm, op7_langid, op8_subword_classifier, op9_weak_supervision, op10_suffix_repeats
 from delivery_lake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,3 +116,18 @@ FROM d LEFT JOIN cut USING (k)
 @register("op10_suffix_repeats", OP10_SQL)
 def op10_suffix_repeats_query(spark, sf_dir):
     return op10_suffix_repeats.digest(documents(spark, sf_dir))
+
+
+@register("op11_spelling")
+def op11_spelling_query(spark, sf_dir):
+    return op11_spelling.digest(documents(spark, sf_dir))
+
+
+@register("op12_conversations")
+def op12_conversations_query(spark, sf_dir):
+    return op12_conversations.digest(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@register("op13_templates")
+def op13_templates_query(spark, sf_dir):
+    return op13_templates.digest(spark.read.parquet(f"{sf_dir}/pages.parquet"))

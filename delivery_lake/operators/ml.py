@@ -26,16 +26,16 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from delivery_lake.functions import bool_from_text
+from delivery_lake.operators.infer import cast_inferred
 from delivery_lake.schemas import (
-    CATEGORICAL_FEATURES,
     FOREST_PARAMS,
     LOGISTIC_MAX_ITER,
     LOGISTIC_TOL,
     ML_ID,
     ML_TARGET,
-    NUMERIC_FEATURES,
     SPLIT_SEED,
     TEST_SHARE,
 )
@@ -65,17 +65,25 @@ def coerce_target(df: DataFrame, target: str = ML_TARGET) -> DataFrame:
     return df.withColumn(LABEL, flag.cast("double")).where(F.col(LABEL).isNotNull())
 
 
+# Columns that are never features: the id, the target and what training adds.
+NO_FEATURES = {ML_ID, ML_TARGET, LABEL, WEIGHT, "is_test"}
+_NUMERIC_TYPES = (T.IntegralType, T.FractionalType)
+_CATEGORICAL_TYPES = (T.StringType, T.BooleanType)
+
+
 def feature_columns(df: DataFrame) -> tuple[list[str], list[str]]:
-    """numeric and categorical feature lists (declared, restricted to present columns;
-    the id and the target are never features)."""
-    present = set(df.columns)
-    return ([c for c in NUMERIC_FEATURES if c in present], [c for c in CATEGORICAL_FEATURES if c in present])
+    """numeric and categorical features by the types found: numbers, and texts and truth values, in
+    the order of the columns. The id and the target are never features. A table read as text goes
+    through ``infer.cast_inferred`` first."""
+    kinds = [(f.name, f.dataType) for f in df.schema if f.name not in NO_FEATURES]
+    return [c for c, t in kinds if isinstance(t, _NUMERIC_TYPES)], [c for c, t in kinds if isinstance(t, _CATEGORICAL_TYPES)]
 
 
-def feature_table(spark: SparkSession, df: DataFrame) -> DataFrame:
-    num, cat = feature_columns(df)
+def feature_table(df: DataFrame) -> DataFrame:
+    """F02 as a table: ``feature, kind, position``. Text columns are typed by their values first."""
+    num, cat = feature_columns(cast_inferred(df))
     rows = [(c, "numeric", i) for i, c in enumerate(num)] + [(c, "categorical", i) for i, c in enumerate(cat)]
-    return spark.createDataFrame(rows, "feature string, kind string, position int")
+    return df.sparkSession.createDataFrame(rows, "feature string, kind string, position int")
 
 
 # --- F04 stratified split ----------------------------------------------------------------------

@@ -32,12 +32,6 @@ def table_summary(tables: dict[str, DataFrame]) -> DataFrame:
     ]).orderBy(F.col("rows").desc(), "table_name")
 
 
-def column_types(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
-    """Spark type name of every column (schema metadata, no data scan)."""
-    rows = [(name, i, col, dtype) for name, df in tables.items() for i, (col, dtype) in enumerate(df.dtypes)]
-    return spark.createDataFrame(rows, "table_name string, position int, column_name string, dtype string")
-
-
 def missing_values(tables: dict[str, DataFrame]) -> DataFrame:
     """Per table and column with any null: missing count and rate (%, 2 decimals), highest first.
 

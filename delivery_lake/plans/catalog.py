@@ -12,17 +12,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delivery_lake.operators import cleaning, enrich, kpis, ml, profile
+from delivery_lake.operators import certificates, cleaning, enrich, infer, kpis, ml, profile
 from delivery_lake.plans import gold
 from delivery_lake.plans.oracle import analysis_sql, segment_sql, with_ctes
-from delivery_lake.plans.pipeline import run_pipeline
+from delivery_lake.plans.pipeline import run_pipeline, write_silver
 from delivery_lake.schemas import (
     CATEGORICAL_FEATURES,
     DATE_COLUMNS,
     DECLARED,
+    FOREST_PARAMS,
+    GOLD_INPUTS,
     GOLD_TABLES,
+    KINDS,
     MANIFEST,
+    ML_COLUMNS,
+    NULL_TOKENS,
+    NUMBER_PATTERN,
     NUMERIC_FEATURES,
+    TIMESTAMP_PATTERN,
+    TYPES_OF_KINDS,
+    WHOLE_PATTERN,
 )
 from delivery_lake.session import checkpoint_root, scratch_dir
 from delivery_lake.sources import files, testdata
@@ -51,6 +60,23 @@ def _wide(spark, sf):
 
 ORDER_DATES = DATE_COLUMNS["orders"]
 
+
+def _types_sql(table: str, columns: list[str], tag: str) -> str:
+    """Position, name, type and number of values of each column of ``table``, read as text."""
+    tokens = ", ".join(f"'{t}'" for t in NULL_TOKENS)
+    parts = []
+    for i, c in enumerate(columns):
+        text = f"strftime({c}, '%Y-%m-%d %H:%M:%S')" if any(c in d for d in DATE_COLUMNS.values()) else f"CAST({c} AS VARCHAR)"
+        parts.append(f"""SELECT {tag}, {i} AS position, '{c}' AS column_name, k, n_values FROM (
+  SELECT coalesce(bit_or(k), 0) AS k, count(*) FILTER (WHERE k > 0) AS n_values FROM (
+    SELECT CASE WHEN v IS NULL OR v IN ({tokens}) THEN 0 WHEN lower(v) IN ('true', 'false') THEN {KINDS['boolean']}
+                WHEN regexp_matches(v, '{WHOLE_PATTERN}') AND TRY_CAST(v AS BIGINT) IS NOT NULL THEN {KINDS['bigint']}
+                WHEN regexp_matches(v, '{NUMBER_PATTERN}') THEN {KINDS['double']}
+                WHEN regexp_matches(v, '{TIMESTAMP_PATTERN}') AND TRY_CAST(v AS TIMESTAMP) IS NOT NULL THEN {KINDS['timestamp']}
+                ELSE {KINDS['string']} END AS k FROM (SELECT {text} AS v FROM {table})))""")
+    name = " ".join(f"WHEN {bits} THEN '{t}'" for bits, t in TYPES_OF_KINDS.items())
+    return f"SELECT * EXCLUDE (k), CASE k {name} ELSE 'string' END AS dtype FROM (" + "\nUNION ALL\n".join(parts) + ")"
+
 # Parameters of the filter queries (fixed values of the checked queries).
 DATE_RANGE = ("1996-01-01", "1997-12-31")
 STATES = ["NATION_1", "NATION_7", "NATION_13"]
@@ -179,7 +205,17 @@ def c08_reviews_by_order(spark, sf):
 
 @register("c09_orders_enriched", "SELECT * FROM g_wide")
 def c09_orders_enriched(spark, sf):
-    return _wide(spark, sf)
+    tables = _silver(spark, sf)
+    return enrich.orders_enriched(tables, enrich.check_lookups(tables))
+
+
+@register("c09_colocated", "SELECT * FROM g_wide")
+def c09_colocated(spark, sf):
+    """The wide table over written Silver tables in buckets of the order id: no exchange on it."""
+    root, batch = scratch_dir(spark, "lake"), "cleaning_20240101_000000"
+    buckets = write_silver(_sources(spark, sf), root, batch)
+    silver = files.silver_scan(spark, root, GOLD_INPUTS, batch)
+    return enrich.orders_enriched(silver, enrich.check_lookups(silver), bool(buckets))
 
 
 @register("c10_month", "SELECT order_id, purchase_month FROM g_wide")
@@ -386,9 +422,11 @@ def e01_summary(spark, sf):
     return profile.table_summary(_sources(spark, sf))
 
 
-@register("e02_dtypes")
+@register("e02_dtypes", "\nUNION ALL\n".join(_types_sql("src_" + t, list(DECLARED[t]), f"'{t}' AS table_name") for t in testdata.DERIVATIONS))
 def e02_dtypes(spark, sf):
-    return profile.column_types(spark, _sources(spark, sf))
+    """Types inferred from every value of the Bronze text."""
+    root, manifest = _bronze(spark, sf)
+    return infer.table_types(files.scan(spark, root, "bronze", list(manifest)))
 
 
 @register("e03_missing", _missing_sql())
@@ -739,9 +777,14 @@ def f01_target(spark, sf):
     return _ml_data(spark, sf)
 
 
-@register("f02_features")
+@register("f02_features", f"""
+SELECT feature, kind, CAST(row_number() OVER (PARTITION BY kind ORDER BY position) - 1 AS INTEGER) AS position FROM (
+  SELECT column_name AS feature, position, CASE WHEN dtype IN ('bigint', 'double') THEN 'numeric' ELSE 'categorical' END AS kind
+  FROM ({_types_sql("g_ml", ML_COLUMNS, "'ml' AS table_name")}) WHERE column_name NOT IN ('order_id', 'late_delivery'))""")
 def f02_features(spark, sf):
-    return ml.feature_table(spark, enrich.ml_dataset(_wide(spark, sf)))
+    """Features of the ML table read as text, typed by its values."""
+    data = enrich.ml_dataset(_wide(spark, sf))
+    return ml.feature_table(data.select(*[F.col(c).cast("string").alias(c) for c in data.columns]))
 
 
 @register("f03_class_share", """
@@ -834,18 +877,25 @@ def f07_assemble(spark, sf):
     return out.select("order_id", *columns, (F.size("v") - n).cast("long").alias("slots"))
 
 
-@register("f08_forest")
+@register("f08_forest", "WITH " + _SPLIT_SQL + """
+SELECT order_id, label, true AS same, true AS leaves_kept, true AS depth_kept FROM f_split WHERE is_test""")
 def f08_forest(spark, sf):
-    forest = _model(spark, sf, "forest").stages[-1]
-    imp = forest.featureImportances.toArray().tolist()
-    rows = [(i, float(v)) for i, v in enumerate(imp)]
-    return spark.createDataFrame(rows, "feature_index int, importance double") \
-        .withColumn("num_trees", F.lit(forest.getNumTrees))
-
-
-@register("f09_logistic")
+    """Every test row routed through the exported trees gets the model's probability; leaves and depth
+    are within the forest's settings."""
+    return certificates.forest_certificate(
+        _model(spark, sf, "forest"), _split(spark, sf).where(F.col("is_test")), ["order_id", "label"],
+        FOREST_PARAMS["minInstancesPerNode"], FOREST_PARAMS["maxDepth"])
+
+
+@register("f09_logistic", _slots_sql() + ",\nf_names AS (" + " UNION ALL ".join(
+    [f"SELECT {i} AS a, 0 AS b, '{c}' AS feature" for i, c in enumerate(NUMERIC_FEATURES)]
+    + [f"SELECT {len(NUMERIC_FEATURES) + i}, slot, '{c}=' || v FROM i_{c}" for i, c in enumerate(CATEGORICAL_FEATURES)]
+    + ["SELECT 1000, 0, 'intercept'"]) + """)
+SELECT CAST(row_number() OVER (ORDER BY a, b) - 1 AS INTEGER) AS position, feature, true AS stationary FROM f_names""")
 def f09_logistic(spark, sf):
-    return _test_predictions(spark, sf, "logistic")
+    """The first-order condition of every coefficient over the training rows."""
+    return certificates.optimality(
+        _model(spark, sf, "logistic"), _split(spark, sf).where(~F.col("is_test")), NUMERIC_FEATURES, CATEGORICAL_FEATURES).drop("slope")
 
 
 def _in_range():

@@ -190,3 +190,17 @@ GOLD_INPUTS = [
     "customers", "orders", "order_items", "payments", "reviews", "products", "sellers",
     "category_translation",
 ]
+
+# Silver tables that the Gold build joins on the order id: written in buckets of this key.
+BUCKET_KEY = "order_id"
+BUCKETED_TABLES = ["orders", "order_items", "payments", "reviews"]
+
+# ---------------------------------------------------------------------------------------------
+# Types from the data: kinds of text values as bits, the patterns that tell them, and the types of
+# joined kinds (any other mixture is text).
+# ---------------------------------------------------------------------------------------------
+KINDS = {"boolean": 1, "bigint": 2, "double": 4, "timestamp": 8, "string": 16}
+WHOLE_PATTERN = r"^[+-]?[0-9]+$"
+NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+TIMESTAMP_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?)?$"
+TYPES_OF_KINDS = {0: "double", 1: "boolean", 2: "bigint", 4: "double", 6: "double", 8: "timestamp"}

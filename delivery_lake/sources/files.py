@@ -8,20 +8,28 @@ mix snapshots. Paths may be any Hadoop file system URI (shared storage on a clus
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
+import math
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delivery_lake.operators.cleaning import cast_declared
-from delivery_lake.schemas import DECLARED, GOLD_TABLES, LAYER_PREFIX, MANIFEST, MULTILINE_TABLES
+from delivery_lake.schemas import BUCKET_KEY, DECLARED, GOLD_TABLES, LAYER_PREFIX, MANIFEST, MULTILINE_TABLES
 
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # Independent per-table writes are submitted as concurrent Spark jobs: small dimension tables
 # then run alongside the large fact tables instead of leaving executors idle between jobs.
 WRITE_CONCURRENCY = 4
-# Folder of a layer with one empty file per complete batch (Spark's readers skip names with "_").
+# Folder of a layer with one file per complete batch (Spark's readers skip names with "_"): empty, or
+# the bucket numbers of its bucketed tables as JSON.
 COMMITS = "_batches"
+# Stored bytes that a bucket stands for, and the most rows that one key may have: a bucket is read by one
+# task, so tables with a hotter key are not bucketed (Gold then shuffles partial aggregates instead).
+BUCKET_BYTES = 128 << 20
+HOT_ROWS = 2_000_000
 
 
 def run_concurrently(tasks: dict[str, callable], workers: int = WRITE_CONCURRENCY) -> dict:
@@ -130,11 +138,67 @@ def ingest_bronze(spark: SparkSession, source_dir: str, root: str, batch_id: str
     return batch_id
 
 
-def commit_batch(spark: SparkSession, root: str, layer: str, batch_id: str) -> None:
+def commit_batch(spark: SparkSession, root: str, layer: str, batch_id: str, buckets: dict[str, int] | None = None) -> None:
     """Mark a batch as complete, after its last table. Readers take complete batches only, so a run
-    that stopped half-way is never mixed with an older one."""
+    that stopped half-way is never mixed with an older one. The mark keeps the numbers of buckets."""
     fs, p = _fs(spark, f"{root.rstrip('/')}/{layer}/{COMMITS}/{batch_id}")
-    fs.create(p, True).close()
+    out = fs.create(p, True)
+    out.write(bytearray(json.dumps(buckets).encode() if buckets else b""))
+    out.close()
+
+
+def batch_buckets(spark: SparkSession, root: str, layer: str, batch_id: str) -> dict[str, int]:
+    """Numbers of buckets of the bucketed tables of a complete batch."""
+    fs, p = _fs(spark, f"{root.rstrip('/')}/{layer}/{COMMITS}/{batch_id}")
+    if not fs.exists(p):
+        return {}
+    stream = fs.open(p)
+    try:
+        text = bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+    return json.loads(text) if text else {}
+
+
+# --- bucketed Silver tables --------------------------------------------------------------------------
+
+def bucket_count(tables: list[DataFrame], key: str = BUCKET_KEY, bucket_bytes: int = BUCKET_BYTES, hot_rows: int = HOT_ROWS) -> int:
+    """One number of buckets for tables that are joined on ``key``: by the size of the largest, at
+    least as many as a shuffle makes (or Spark would shuffle again). 0 (no buckets) where one value of the key has more than ``hot_rows`` rows in a
+    table: counted before a shuffle, one row comes back."""
+    spark = tables[0].sparkSession
+    biggest = None
+    for df in tables:
+        part = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"))
+        biggest = part if biggest is None else biggest.unionByName(part)
+    if (biggest.agg(F.max("n")).first()[0] or 0) > hot_rows:
+        return 0
+    size = max(int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) for df in tables)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(min(size, 1 << 60) / bucket_bytes) if size < 1 << 55 else 0)
+
+
+def _bucket_table(path: str) -> str:
+    return "lake_" + hashlib.md5(path.encode()).hexdigest()
+
+
+def write_bucketed(df: DataFrame, root: str, layer: str, table: str, batch_id: str, buckets: int, key: str = BUCKET_KEY) -> str:
+    """One snapshot of ``table`` as ``write_layer`` writes it, in ``buckets`` buckets sorted by ``key``.
+    ``df`` should come hash-partitioned on the key into as many partitions: then each bucket is one
+    file and nothing more is shuffled. Plain readers see an ordinary Parquet folder."""
+    path = f"{layer_path(root, layer, table)}/batch_id={batch_id}"
+    (df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(_bucket_table(path)))
+    return path
+
+
+def read_bucketed(spark: SparkSession, root: str, layer: str, table: str, batch_id: str, buckets: int, key: str = BUCKET_KEY) -> DataFrame:
+    """A bucketed snapshot with its layout: joins and aggregations on the key need no exchange."""
+    path = f"{layer_path(root, layer, table)}/batch_id={batch_id}"
+    name = _bucket_table(path)
+    if not spark.catalog.tableExists(name):  # written by another session: declare it again
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
 
 
 def committed_batches(spark: SparkSession, root: str, layer: str) -> list[str]:
@@ -181,15 +245,30 @@ def typed_scan(spark: SparkSession, root: str, layer: str, tables: list[str], ba
     return {t: cast_declared(df, DECLARED.get(t, {})) for t, df in raw.items()}
 
 
-def write_tables(tables: dict[str, DataFrame], root: str, layer: str, batch_id: str) -> dict[str, str]:
+def write_tables(tables: dict[str, DataFrame], root: str, layer: str, batch_id: str,
+                 buckets: dict[str, int] | None = None) -> dict[str, str]:
     """A05 (Silver) / A06 (Gold): one parquet table per name, in one batch (concurrent jobs), which is
-    marked complete after the last one."""
-    out = run_concurrently({name: (lambda df=df, name=name: write_layer(df, root, layer, name, batch_id))
-                            for name, df in tables.items()})
-    commit_batch(next(iter(tables.values())).sparkSession, root, layer, batch_id)
+    marked complete after the last one. Tables named in ``buckets`` are bucketed."""
+    buckets = buckets or {}
+
+    def write(name: str, df: DataFrame) -> str:
+        if buckets.get(name):
+            return write_bucketed(df, root, layer, name, batch_id, buckets[name])
+        return write_layer(df, root, layer, name, batch_id)
+
+    out = run_concurrently({name: (lambda df=df, name=name: write(name, df)) for name, df in tables.items()})
+    commit_batch(next(iter(tables.values())).sparkSession, root, layer, batch_id, buckets)
     return out
 
 
+def silver_scan(spark: SparkSession, root: str, tables: list[str], batch_id: str | None = None) -> dict[str, DataFrame]:
+    """The Silver tables of one snapshot as stored (they are typed), bucketed ones with their layout."""
+    batch_id = batch_id or latest_batch(spark, root, "silver", tables)
+    buckets = batch_buckets(spark, root, "silver", batch_id)
+    return {t: read_bucketed(spark, root, "silver", t, batch_id, buckets[t]) if buckets.get(t)
+            else read_layer(spark, root, "silver", t, batch_id).drop("batch_id") for t in tables}
+
+
 def export_gold_csv(tables: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
     """A06 CSV export: header, KPI tables sorted by ``orders_count`` descending (the file order
     is the only place a sort is kept)."""

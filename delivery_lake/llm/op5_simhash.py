@@ -142,30 +142,28 @@ def tile_links(a: np.ndarray, b: np.ndarray | None, radius: int = RADIUS) -> tup
 
 
 def links(nodes: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """Forest links (u, v) between the distinct fingerprints of ``nodes`` (column ``fp``)."""
+    """Forest links (u, v) between the distinct fingerprints of ``nodes`` (column ``fp``).
+
+    Tiles are numbered by population count, so the tiles that a tile is compared with are a range of
+    numbers: each tile is sent once for each of them, and the pairs of tiles are listed nowhere."""
     spark = nodes.sparkSession
     nodes = nodes.select("fp", F.bit_count("fp").cast("int").alias("pop"))
     sizes = {r["pop"]: r["count"] for r in nodes.groupBy("pop").count().collect()}  # 65 rows at most
-    tiles, number = [], {}
-    for pop in sorted(sizes):
-        number[pop] = (len(tiles), -(-sizes[pop] // tile))
-        tiles += [pop] * number[pop][1]
-    if not tiles:
+    if not sizes:
         return spark.createDataFrame([], "u long, v long")
-    pairs = [(i, j) for i in range(len(tiles)) for j in range(i, len(tiles)) if tiles[j] - tiles[i] <= radius]
-    of_tile: list[list[tuple]] = [[] for _ in tiles]
-    for n, (i, j) in enumerate(pairs):
-        of_tile[i].append((n, 0, i == j))
-        if j != i:
-            of_tile[j].append((n, 1, False))
-    layout = spark.createDataFrame([(p, a, n) for p, (a, n) in number.items()], "pop int, tile0 int, tiles int")
-    parts = spark.createDataFrame([(t, x) for t, x in enumerate(of_tile)],
-                                  "tile int, pairs array<struct<pair:int,side:int,alone:boolean>>")
-    placed = nodes.join(F.broadcast(layout), "pop").select(
-        (F.col("tile0") + F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")).alias("tile"), "fp")
+    layout, first = [], 0
+    for pop in sorted(sizes):
+        layout.append((pop, first, -(-sizes[pop] // tile)))
+        first += layout[-1][2]
+    ranged = [(pop, at, n, min(a for q, a, _ in layout if q >= pop - radius), max(a + m - 1 for q, a, m in layout if q <= pop + radius))
+              for pop, at, n in layout]
+    tiles = F.broadcast(spark.createDataFrame(ranged, "pop int, tile0 int, tiles int, low int, high int"))
+    number = (F.col("tile0") + F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")).alias("tile")
     # A tile holds about TILE nodes by construction, so its list is bounded; a pair of tiles is one group.
-    packed = placed.groupBy("tile").agg(F.collect_list("fp").alias("fps"))
-    dealt = packed.join(parts, "tile").select(F.explode("pairs").alias("p"), "fps").select("p.pair", "p.side", "p.alone", "fps")
+    packed = nodes.join(tiles, "pop").select(number, "low", "high", "fp").groupBy("tile", "low", "high").agg(F.collect_list("fp").alias("fps"))
+    dealt = packed.select("tile", "fps", F.explode(F.sequence("low", "high")).alias("other")).select(
+        F.least("tile", "other").alias("one"), F.greatest("tile", "other").alias("two"), "fps",
+        (F.col("tile") > F.col("other")).cast("int").alias("side"), (F.col("tile") == F.col("other")).alias("alone"))
 
     def compare(table):
         import pyarrow as pa
@@ -178,7 +176,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame
         ids = one if two is None else np.concatenate((one, two))
         return pa.table({"u": pa.array(ids[node]), "v": pa.array(ids[root])})
 
-    return dealt.groupBy("pair").applyInArrow(compare, "u long, v long")
+    return dealt.groupBy("one", "two").applyInArrow(compare, "u long, v long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -200,22 +198,25 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, tile: int = TILE) -> DataFrame:
-    """``doc_id, text_hash, fp, component_id`` for every row."""
+    """``doc_id, text_hash, fp, component_id, root`` for every row (``root``: a fingerprint that names the
+    component, null where no document with an id has the row's fingerprint)."""
     prints = written(fingerprints(docs, shingle), "fingerprints")
     nodes = written(prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("id")), "nodes")
     found = components(links(nodes, radius, tile)).withColumnsRenamed({"id": "fp", "component": "root"})
     rooted = nodes.join(found, "fp", "left").select("fp", "id", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp", "left").select("doc_id", "text_hash", "fp", "component_id")
+    named = rooted.join(least, "root").select("fp", "component_id", "root")
+    return prints.join(named, "fp", "left").select("doc_id", "text_hash", "fp", "component_id", "root")
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
-    """The documents, all columns, with one row of each group: that of the smallest doc_id (where rows
-    repeat this doc_id, one of them). Rows without a doc_id stay."""
+    """The documents, all columns, with one row of each component of linked fingerprints: that of the
+    smallest doc_id and, where rows repeat it, text hash. Rows with one doc_id whose texts are in
+    different components each stay. Rows without a doc_id stay."""
     columns = docs.columns
-    found = near_duplicates(docs, radius, shingle).where("doc_id = component_id")
-    keep = found.groupBy(F.col("doc_id").alias("kept_id")).agg(F.min("text_hash").alias("kept_hash"))
+    found = near_duplicates(docs, radius, shingle).where("doc_id is not null")
+    best = found.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("best"))
+    keep = best.select(F.col("best.doc_id").alias("kept_id"), F.col("best.text_hash").alias("kept_hash"))
     row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
     have = docs.where(F.col("doc_id").isNotNull()).select(
         row, F.col("doc_id").cast("long").alias("kept_id"), F.xxhash64(F.col("text").cast("string")).alias("kept_hash"))

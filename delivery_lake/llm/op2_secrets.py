@@ -8,8 +8,11 @@ matches that are too short are dropped after matching, as they still use up thei
 Entropy spans (``entropy_hex``, ``entropy_b64``) come from candidate strings, the maximal runs of a
 character class. A window of fixed width slides over the candidate; its Shannon entropy is kept up to
 date from the counts of the two characters that leave and enter. Windows at or above the class's
-threshold are merged to spans. An allow list suppresses candidates that look random but are not
-secrets (UUIDs, ordered alphabets, paths and hyphenated words) and spans inside a pattern span.
+threshold are merged to spans. A span must mix kinds of characters (lower case, upper case, digits): two
+of them, and all three in candidates of under 24 characters, which have a shorter window. An allow list
+suppresses candidates that look random but are not secrets (UUIDs, ordered alphabets, numbers, and runs of
+letters with the case pattern of words) and spans inside a pattern span. Random letters of one case only
+are not told from words and have no span, nor have candidates of under 16 characters.
 
 Offsets are code points, the end exclusive. Null text counts as empty and has no span; a null doc_id
 is kept as it is; equal rows are scanned separately and give equal results. Extra columns are ignored
@@ -35,18 +38,25 @@ KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_b64")
 #: Every assignment has one of these in it, in some case (checked before the slower pattern runs).
 KEYWORDS = ("passw", "secret", "token", "api")
 
-#: Character classes of candidate strings: pattern of a maximal run, window width, entropy in bits.
-CLASSES = {
-    "entropy_hex": (re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{32,}(?![0-9A-Fa-f])"), 32, 3.0),
-    "entropy_b64": (re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}"), 24, 3.9),
-}
+#: Character classes of candidate strings: kind, pattern of a maximal run, window width, least entropy in
+#: bits, least kinds of characters (lower case, upper case, digits) in a span. Short candidates must have all.
+CLASSES = (
+    ("entropy_hex", re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{32,}(?![0-9A-Fa-f])"), 32, 3.0, 2),
+    ("entropy_b64", re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}"), 24, 3.9, 2),
+    ("entropy_b64", re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,23}(?![A-Za-z0-9+/_=-])"), 16, 3.5, 3),
+)
+KINDS_OF_CHARACTERS = tuple(re.compile(p) for p in ("[a-z]", "[A-Z]", "[0-9]"))
 #: Allow list: candidates that match one of these whole are no secrets.
 ALLOWED = [
     re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"),  # UUID
-    re.compile(r"[A-Za-z]+([-_/][A-Za-z]+)*[-_/]?"),  # words joined by hyphens, underscores or slashes
     re.compile(r"[=_+/-]+"),  # rules and separators
     re.compile(r"[0-9]+([-/_][0-9]+)*"),  # numbers, dates, phone numbers
 ]
+#: Allow list: letters only, perhaps joined by hyphens, underscores or slashes, are words if their case
+#: changes at no more than this share of places (it does at half of them in random letters).
+LETTERS = re.compile(r"[A-Za-z]+([-_/][A-Za-z]+)*[-_/]?")
+CASE_CHANGE = re.compile("(?<=[a-z])[A-Z]|(?<=[A-Z])[a-z]")
+MOST_CHANGES = 0.3
 #: Allow list: ordered alphabets; a candidate that is made of pieces of these is no secret.
 ORDERED = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789")
 
@@ -85,6 +95,8 @@ def allowed(s: str) -> bool:
     """Whether the allow list suppresses this candidate string."""
     if any(p.fullmatch(s) for p in ALLOWED):
         return True
+    if LETTERS.fullmatch(s) and len(CASE_CHANGE.findall(s)) <= MOST_CHANGES * len(s):
+        return True
     steps = sum(1 for a, b in zip(s, s[1:]) if any(a + b in o for o in ORDERED))
     return steps >= 0.8 * (len(s) - 1)
 
@@ -105,19 +117,15 @@ def find_spans(text: str) -> list[tuple[int, int, int]]:
     """All spans of one text by start, then kind as listed in ``KINDS``."""
     out = base_spans(text)
     base = sorted((a, b) for _, a, b in out)
-    for k, name in enumerate(KINDS):
-        if name not in CLASSES:
-            continue
-        pattern, width, threshold = CLASSES[name]
+    for name, pattern, width, threshold, least_kinds in CLASSES:
         for m in pattern.finditer(text):
             if allowed(m[0]):
                 continue
             for a, b in entropy_windows(m[0], width, threshold):
                 a, b = a + m.start(), b + m.start()
-                window = text[a:b]
-                mixed = sum(map(bool, (re.search("[a-z]", window), re.search("[A-Z]", window), re.search("[0-9]", window))))
-                if mixed >= 2 and not any(x <= a and b <= y for x, y in base):
-                    out.append((k, a, b))
+                kinds = sum(1 for p in KINDS_OF_CHARACTERS if p.search(text, a, b))
+                if kinds >= least_kinds and not any(x <= a and b <= y for x, y in base):
+                    out.append((KINDS.index(name), a, b))
     return sorted(out, key=lambda x: (x[1], x[0], x[2]))
 
 

@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delivery_lake.llm.common import as_bytes, as_row, doc_texts, from_row, row_column
+from delivery_lake.llm.common import as_bytes, as_row, doc_texts, from_row, row_column, written
 
 #: Words of a phrase.
 PHRASE = 10
@@ -273,27 +273,34 @@ def _search(phrases, batches: Iterator):
         yield from done(held, shard)
 
 
-def phrase_groups(benchmark: DataFrame, length: int = PHRASE, most_words: int = PHRASE_WORDS) -> list[Phrases]:
-    """The benchmark's phrases in groups of items, each within ``most_words`` (a lone larger item is a
-    group of its own). Each group is read by itself, so the driver holds one at a time."""
+def phrase_groups(benchmark: DataFrame, length: int = PHRASE, most_words: int = PHRASE_WORDS) -> Iterator[Phrases]:
+    """The benchmark's phrases in groups of items, each of about ``most_words`` (a lone larger item is a
+    group of its own), one after the other: the driver holds one. Equal rows are one item; the items are
+    written with their groups, so each group is read by itself."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
-                             F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+                             F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct()
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     groups = max(1, -(-int(chars) // (4 * most_words)))
-    out = []
+    if groups > 1:
+        items = written(items.withColumn("group", F.pmod(F.xxhash64("item", "text"), F.lit(groups))), "phrases")
     for g in range(groups):
-        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(groups)) == g).toLocalIterator()
-        out.append(Phrases([(r["item"], r["text"].encode()) for r in rows], length))
-    return out
+        rows = (items.where(F.col("group") == g) if groups > 1 else items).toLocalIterator()
+        yield Phrases(sorted((r["item"], r["text"].encode()) for r in rows), length)
 
 
 def search(docs: DataFrame, benchmark: DataFrame, length: int = PHRASE, most_words: int = PHRASE_WORDS) -> DataFrame:
-    """All columns of ``docs`` (``text``, or ``row`` with a field of this name) with n_words, spans, items."""
-    sc = docs.sparkSession.sparkContext
+    """All columns of ``docs`` (``text``, or ``row`` with a field of this name) with n_words, spans, items.
+
+    Between groups of phrases the rows with their hits so far are written to the shared folder, so a task
+    holds one group too; the benchmark usually is one group, and nothing is written."""
     out = docs.withColumns({"n_words": F.lit(0).cast("long"), "spans": F.expr("cast(array() as array<struct<start:int,end:int>>)"),
                             "items": F.expr("cast(array() as array<string>)")})
+    held = None
     for phrases in phrase_groups(benchmark, length, most_words):
-        held = sc.broadcast(phrases)
+        if held is not None:
+            out = written(out, "hits")
+            held.unpersist()
+        held = docs.sparkSession.sparkContext.broadcast(phrases)
         out = out.mapInArrow(lambda batches, held=held: _search(held, batches), out.schema)
     return out
 

@@ -41,6 +41,9 @@ STEPS, KEEP = 2, 32_000.0
 MARK = "▁"
 #: Words of one usual length handled at once.
 BATCH = 1 << 13
+#: Words longer than this are taken one by one where fewer than ROWS have about their length, and their
+#: edges for a STRETCH of places at a time: bounded scratch space, a few microseconds a character.
+LONG, ROWS, STRETCH = 64, 64, 1 << 14
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BLOCKS = "kind int, part int, block long, first long, data binary, more binary, extra binary"
@@ -94,16 +97,20 @@ class Lattice:
         with np.errstate(divide="ignore"):
             return np.log(p / p.sum())
 
+    def powers(self) -> list[np.uint64]:
+        out = [np.uint64(1)]
+        for _ in range(self.longest):
+            out.append(np.uint64(int(out[-1]) * int(_BASE) & 0xFFFFFFFFFFFFFFFF))
+        return out
+
     def edges(self, chars: np.ndarray):
-        """For equally long words (one a row, code points): (start, length, piece ids) of the edges;
-        length 1 also stands for a character without a piece (-1)."""
+        """For words of about one length (one a row, code points, zeros behind the end): (start, length,
+        piece ids) of the edges; length 1 also stands for a character without a piece (-1)."""
         n, size = chars.shape
         sums = [np.zeros(n, np.uint64)]
         for k in range(size):
             sums.append(sums[-1] * _BASE + chars[:, k].astype(np.uint64) + np.uint64(1))
-        power = [np.uint64(1)]
-        for _ in range(self.longest):
-            power.append(np.uint64(int(power[-1]) * int(_BASE) & 0xFFFFFFFFFFFFFFFF))
+        power = self.powers()
         for i in range(size):
             for k in range(1, min(self.longest, size - i) + 1):
                 yield i, k, (self.alone[chars[:, i]] if k == 1 else self.find(sums[i + k] - sums[i] * power[k]))
@@ -112,20 +119,25 @@ class Lattice:
         """Log probability of characters by their bytes."""
         return np.array([sum(logp[self.byte[b]] for b in chr(c).encode("utf-8", "surrogatepass")) for c in points.tolist()])
 
-    def _weights(self, chars: np.ndarray, logp: np.ndarray) -> list:
+    def _weights(self, chars: np.ndarray, sizes: np.ndarray, logp: np.ndarray) -> list:
         out = []
         for i, k, piece in self.edges(chars):
+            inside = i + k <= sizes
+            piece = np.where(inside, piece, -1)
             w = np.where(piece >= 0, logp[piece], -np.inf)
-            if k == 1 and (none := piece < 0).any():
+            if k == 1 and (none := (piece < 0) & inside).any():
                 w[none] = self.fallback(chars[none, i], logp)
             elif k > 1 and not (piece >= 0).any():
                 continue
             out.append((i, k, piece, w))
         return out
 
-    def forward(self, chars: np.ndarray, logp: np.ndarray) -> np.ndarray:
+    def forward(self, chars: np.ndarray, sizes: np.ndarray, logp: np.ndarray) -> np.ndarray:
         """Log marginal probability of each word."""
-        return self._forward(self._weights(chars, logp), chars.shape)[-1]
+        if self.is_long(chars):
+            return np.array([self._long_forward(c[:n], logp)[-1] for c, n in zip(chars, sizes.tolist())])
+        alpha = np.stack(self._forward(self._weights(chars, sizes, logp), chars.shape))
+        return alpha[sizes, np.arange(len(sizes))]
 
     @staticmethod
     def _forward(edges: list, shape: tuple) -> list:
@@ -134,40 +146,141 @@ class Lattice:
             alpha[i + k] = np.logaddexp(alpha[i + k], alpha[i] + w)
         return alpha
 
-    def expected(self, chars: np.ndarray, counts: np.ndarray, logp: np.ndarray, total: np.ndarray) -> None:
+    def expected(self, chars: np.ndarray, sizes: np.ndarray, counts: np.ndarray, logp: np.ndarray, total: np.ndarray) -> None:
         """Add the expected piece counts of the words, each taken ``counts`` times, to ``total``."""
-        edges = self._weights(chars, logp)
+        if self.is_long(chars):
+            for c, size, n in zip(chars, sizes.tolist(), counts.tolist()):
+                self._long_expected(c[:size], n, logp, total)
+            return
+        edges = self._weights(chars, sizes, logp)
         alpha = self._forward(edges, chars.shape)
         n, size = chars.shape
-        beta = [np.full(n, -np.inf) for _ in range(size)] + [np.zeros(n)]
+        whole = np.stack(alpha)[sizes, np.arange(n)]
+        beta = [np.where(sizes == i, 0.0, -np.inf) for i in range(size + 1)]
         for i, k, _, w in reversed(edges):
             beta[i] = np.logaddexp(beta[i], w + beta[i + k])
         for i, k, piece, w in edges:
-            p = counts * np.exp(alpha[i] + w + beta[i + k] - alpha[size])
+            p = counts * np.exp(alpha[i] + w + beta[i + k] - whole)
+            here = piece >= 0
+            total += np.bincount(piece[here], p[here], len(total))
+            lost = ~here & (i < sizes)
+            for c, x in zip(chars[lost, i].tolist(), p[lost].tolist()) if k == 1 and lost.any() else ():
+                for b in chr(c).encode("utf-8", "surrogatepass"):
+                    total[self.byte[b]] += x
+
+    # Long words one by one: the edges of a stretch of places at once, the recursion place by place.
+
+    @staticmethod
+    def is_long(chars: np.ndarray) -> bool:
+        """Whether words are better taken one by one than place by place for all of them."""
+        return chars.shape[1] > LONG and chars.shape[0] < ROWS
+
+    def _stretches(self, chars: np.ndarray, logp: np.ndarray, backwards: bool = False):
+        """(first end, edges) of stretches of at most STRETCH ends: the edges' starts, ends, pieces and
+        weights by end, as arrays."""
+        size, power = len(chars), self.powers()
+        firsts = range(0, size, STRETCH)
+        for first in reversed(firsts) if backwards else firsts:
+            last = min(first + STRETCH, size)  # ends first + 1 to last
+            low = max(0, first + 1 - self.longest)
+            own = chars[low:last]
+            steps = np.full(len(own) + 1, _BASE, np.uint64)
+            steps[0] = 1
+            steps = np.cumprod(steps)
+            back = np.full(len(own) + 1, np.uint64(pow(int(_BASE), -1, 1 << 64)), np.uint64)
+            back[0] = 1
+            back = np.cumprod(back)
+            # sums[j] = sum over i < j of (c + 1) * base^(j - 1 - i), as for short words
+            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((own.astype(np.uint64) + np.uint64(1)) * back[:-1]))) * steps * np.uint64(pow(int(_BASE), -1, 1 << 64))
+            starts, ends, pieces = [], [], []
+            for k in range(1, min(self.longest, last) + 1):
+                at = np.arange(max(first + 1 - k, 0), last - k + 1)
+                piece = self.alone[chars[at]] if k == 1 else self.find(sums[at - low + k] - sums[at - low] * power[k])
+                here = np.flatnonzero(piece >= 0) if k > 1 else np.arange(len(at))
+                starts.append(at[here])
+                ends.append(at[here] + k)
+                pieces.append(piece[here])
+            start, end, piece = map(np.concatenate, (starts, ends, pieces))
+            order = np.lexsort((start, end))
+            start, end, piece = start[order], end[order], piece[order]
+            w = np.where(piece >= 0, logp[piece], 0.0)
+            none = piece < 0
+            if none.any():
+                points, number = np.unique(chars[start[none]], return_inverse=True)
+                w[none] = self.fallback(points, logp)[number]
+            yield first, start, end, piece, w
+
+    def _long_forward(self, chars: np.ndarray, logp: np.ndarray, keep: bool = False) -> np.ndarray:
+        """Log probability of every beginning (with ``keep``), else of the last ones, of a word."""
+        size = len(chars)
+        every = np.zeros(size + 1) if keep else None
+        last = [0.0]  # of the ends before a stretch, as many as a piece is long
+        exp, log = math.exp, math.log
+        for first, start, end, _, w in self._stretches(chars, logp):
+            low = first - len(last) + 1
+            alpha = [*last, *[-math.inf] * (min(first + STRETCH, size) - first)]
+            cut = np.flatnonzero(np.diff(end)) + 1
+            start, w, bounds = start.tolist(), w.tolist(), [0, *cut.tolist(), len(end)]
+            for place, (a, b) in enumerate(zip(bounds, bounds[1:]), first + 1):
+                x = [alpha[start[e] - low] + w[e] for e in range(a, b)]
+                top = max(x)
+                alpha[place - low] = top + log(sum([exp(v - top) for v in x])) if b > a + 1 and top > -math.inf else top
+            if keep:
+                every[low:low + len(alpha)] = alpha
+            last = alpha[-self.longest:]
+        return every if keep else np.array(last)
+
+    def _long_expected(self, chars: np.ndarray, count: float, logp: np.ndarray, total: np.ndarray) -> None:
+        alpha = self._long_forward(chars, logp, keep=True)
+        size = len(chars)
+        beta = np.full(size + 1, -np.inf)
+        beta[size] = 0.0
+        exp, log = math.exp, math.log
+        for first, start, end, piece, w in self._stretches(chars, logp, backwards=True):
+            # An end's value is whole when its stretch begins: what it gets comes from later ends only.
+            low = int(start.min())
+            own = beta[low:min(first + STRETCH, size) + 1].tolist()
+            s, v = start.tolist(), w.tolist()
+            place = end.tolist()
+            for e in range(len(s) - 1, -1, -1):
+                x, y = own[s[e] - low], v[e] + own[place[e] - low]
+                if y > -math.inf:
+                    own[s[e] - low] = y if x == -math.inf else max(x, y) + log(1 + exp(-abs(x - y)))
+            beta[low:low + len(own)] = own
+            p = count * np.exp(alpha[start] + w + beta[end] - alpha[size])
             here = piece >= 0
             total += np.bincount(piece[here], p[here], len(total))
-            for c, x in zip(chars[~here, i].tolist(), p[~here].tolist()) if k == 1 and not here.all() else ():
+            for c, x in zip(chars[start[~here]].tolist(), p[~here].tolist()):
                 for b in chr(c).encode("utf-8", "surrogatepass"):
                     total[self.byte[b]] += x
 
     def groups(self, words: list[bytes]):
-        """(numbers of words, their characters as rows) by word length."""
+        """(numbers of words, their characters as rows, their lengths): words of one length, or of about
+        one where few have it."""
         marked = [MARK + w.decode("utf-8", "replace") for w in words]
-        size = np.array([len(w) for w in marked])
+        size = np.array([len(w) for w in marked], np.int64)
         order = np.argsort(size, kind="stable")
-        cuts = np.flatnonzero(np.diff(size[order])) + 1
-        for group in np.split(order, cuts):
-            each = max(1, BATCH * 16 // (int(size[group[0]]) + 1)) if len(group) else 1
+        lengths, first = np.unique(size[order], return_index=True)
+        bounds = [*first.tolist(), len(order)]
+        k = 0
+        while k < len(lengths):
+            j = k + 1
+            # As many lengths as make ROWS words, within a fourth of the shortest.
+            while j < len(lengths) and bounds[j] - bounds[k] < ROWS and lengths[j] * 4 <= lengths[k] * 5 + 4:
+                j += 1
+            group, widest = order[bounds[k]:bounds[j]], int(lengths[j - 1])
+            each = max(1, BATCH * 16 // (widest + 1))
             for a in range(0, len(group), each):
                 part = group[a:a + each]
-                joined = "".join([marked[k] for k in part.tolist()]).encode("utf-32-le", "surrogatepass")
-                yield part, np.frombuffer(joined, np.uint32).reshape(len(part), -1)
+                joined = "".join([marked[x].ljust(widest, "\0") for x in part.tolist()]).encode("utf-32-le", "surrogatepass")
+                yield part, np.frombuffer(joined, np.uint32).reshape(len(part), widest), size[part]
+            k = j
 
     def score(self, words: list[bytes], logp: np.ndarray) -> np.ndarray:
         """Log marginal probability of each word, its mark included."""
         out = np.zeros(len(words))
-        for part, chars in self.groups(words):
-            out[part] = self.forward(chars, logp)
+        for part, chars, sizes in self.groups(words):
+            out[part] = self.forward(chars, sizes, logp)
         return out
 
 
@@ -279,8 +392,8 @@ def piece_counts(words: DataFrame, model: bytes, logp: np.ndarray) -> np.ndarray
                 own, counts = d.split(b" "), np.frombuffer(c, np.int64)
                 seen = np.flatnonzero(counts > 0)
                 own, counts = [own[k] for k in seen.tolist()], counts[seen].astype(float)
-                for part, chars in lattice.groups(own) if own else ():
-                    lattice.expected(chars, counts[part], logp, total)
+                for part, chars, sizes in lattice.groups(own) if own else ():
+                    lattice.expected(chars, sizes, counts[part], logp, total)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], names=["piece", "n"])
 

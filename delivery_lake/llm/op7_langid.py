@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delivery_lake.llm.common import as_row, from_row, held_out, modest_batches, remainder, row_column, slices
+from delivery_lake.llm.common import as_row, from_row, held_out, mix64, modest_batches, remainder, row_column, slices
 
 #: Dimensions of the vectors, seed of the letters' vectors.
 DIMENSIONS = 512
@@ -49,27 +49,48 @@ class Trigrams:
     def __init__(self, dimensions: int = DIMENSIONS, seed: int = SEED):
         self.dimensions, self.seed = dimensions, seed
         self.letters = is_letter()
-        self.letter_vectors: dict[int, np.ndarray] = {}
+        self.points = np.zeros(0, np.int64)  # letters met so far, sorted
+        self.letter_vectors = np.zeros((0, dimensions), np.float32)
         self.clear()
 
     def clear(self) -> None:
         self.known = np.zeros(0, np.uint64)  # trigrams, sorted
         self.vectors = np.zeros((0, self.dimensions), np.float32)
 
+    def drawn(self, points: np.ndarray) -> np.ndarray:
+        """Vectors of letters: 64 dimensions from each number of a generator keyed by seed and letter."""
+        words = np.arange(-(-self.dimensions // 64), dtype=np.uint64)
+        key = mix64(points.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(self.seed))
+        drawn = mix64(key[:, None] + words * np.uint64(0xC2B2AE3D27D4EB4F))
+        bits = np.unpackbits(drawn.view(np.uint8), axis=1, bitorder="little")[:, :self.dimensions]
+        return bits.astype(np.float32) * 2 - 1
+
     def letter(self, point: int) -> np.ndarray:
-        if point not in self.letter_vectors:
-            bits = np.random.Generator(np.random.Philox(key=[self.seed, point])).integers(0, 2, self.dimensions)
-            self.letter_vectors[point] = (bits * 2 - 1).astype(np.float32)
-        return self.letter_vectors[point]
+        return self.drawn(np.array([point]))[0]
+
+    def _places(self, points: np.ndarray) -> np.ndarray:
+        """Rows of ``letter_vectors`` for letters; new ones are drawn."""
+        new = np.setdiff1d(points, self.points)
+        if len(new) and len(self.points) + len(new) > CACHE:  # a cache as well
+            self.points, self.letter_vectors, new = np.zeros(0, np.int64), np.zeros((0, self.dimensions), np.float32), np.unique(points)
+        if len(new):
+            both = np.concatenate((self.points, new))
+            order = np.argsort(both)
+            self.letter_vectors = np.concatenate((self.letter_vectors, self.drawn(new)))[order]
+            self.points = both[order]
+        return np.searchsorted(self.points, points)
 
     def bound(self, grams: np.ndarray) -> np.ndarray:
         """Vectors of some trigrams (three code points of 21 bits in one number)."""
-        out = np.empty((len(grams), self.dimensions), np.float32)
         mask = np.uint64((1 << 21) - 1)
-        a, b, c = (grams >> np.uint64(42)).tolist(), (grams >> np.uint64(21) & mask).tolist(), (grams & mask).tolist()
-        for i, (x, y, z) in enumerate(zip(a, b, c)):
-            np.multiply(np.roll(self.letter(x), 2), np.roll(self.letter(y), 1), out=out[i])
-            out[i] *= self.letter(z)
+        three = [(grams >> np.uint64(s) & mask).astype(np.int64) for s in (42, 21, 0)]
+        letters, number = np.unique(np.concatenate(three), return_inverse=True)
+        at = self._places(letters)
+        vectors = self.letter_vectors[at]
+        x, y, z = number.reshape(3, -1)
+        out = np.roll(vectors, 2, axis=1)[x]
+        out *= np.roll(vectors, 1, axis=1)[y]
+        out *= vectors[z]
         return out
 
     def learn(self, grams: np.ndarray) -> None:

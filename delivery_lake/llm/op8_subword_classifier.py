@@ -156,8 +156,10 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SAMP
     marked = marked.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     chosen = spark.createDataFrame([(r["doc_id"], r["quality"]) for r in chosen.collect()], "doc_id long, quality int")
-    # At most ``sample`` ids and labels: a bounded broadcast.
-    rows = doc_texts(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality")
+    # At most ``sample`` ids and labels: a bounded broadcast. One text an id, that of the least hash: an id
+    # that is repeated counts once, and the driver gets ``sample`` examples at most.
+    rows = doc_texts(docs).join(F.broadcast(chosen), "doc_id")
+    rows = rows.groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text"))
 
     def run(batches: Iterator):
         import pyarrow as pa

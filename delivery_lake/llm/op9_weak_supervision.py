@@ -35,6 +35,10 @@ PRIOR = (8.0, 2.0)
 KEEP = 0.5
 
 
+#: Hash of the window at i (only selects what is compared by words).
+HASH = "xxhash64(get(w, i), get(w, i + 1), get(w, i + 2))"
+
+
 def measures(docs: DataFrame) -> DataFrame:
     """``doc_id`` and the counts the rules look at, for every row."""
     text = doc_texts(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -50,17 +54,26 @@ def measures(docs: DataFrame) -> DataFrame:
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"))
     # A window's hash, without its upper bits, above the place of its first word.
-    sorted_ = counted.withColumn("packed", F.expr("""
+    sorted_ = counted.withColumn("packed", F.expr(f"""
         CASE WHEN n < 3 THEN cast(array() AS array<bigint>) ELSE sort_array(transform(sequence(0, n - 3),
-            i -> (xxhash64(get(w, i), get(w, i + 1), get(w, i + 2)) << bits) | i)) END"""))
-    same = """(get(packed, {a}) >> bits) = (get(packed, {b}) >> bits) AND {words}"""
+            i -> ({HASH} << bits) | i)) END"""))
     place = "cast(get(packed, {k}) & ((1L << bits) - 1) AS int)"
+    hash_ = "shiftright(get(packed, {a}), bits) = shiftright(get(packed, {b}), bits)"
     words = " AND ".join(f"get(w, {place.format(k='{a}')} + {i}) = get(w, {place.format(k='{b}')} + {i})" for i in range(3))
-    before = "(k > 0 AND " + same.format(a="k", b="k - 1", words=words.format(a="k", b="k - 1")) + ")"
-    after = "(k < size(packed) - 1 AND " + same.format(a="k", b="k + 1", words=words.format(a="k", b="k + 1")) + ")"
+    pair = lambda part, a, b: part.format(a=a, b=b)
+    before = f"(k > 0 AND {pair(hash_, 'k', 'k - 1')} AND {pair(words, 'k', 'k - 1')})"
+    after = f"(k < size(packed) - 1 AND {pair(hash_, 'k', 'k + 1')} AND {pair(words, 'k', 'k + 1')})"
+    # Neighbours with one hash and different words: hashes collide, and equal windows may not be neighbours.
+    # Such a text's windows are sorted by their words instead.
+    collide = f"exists(sequence(1, size(packed) - 1), k -> {pair(hash_, 'k', 'k - 1')} AND NOT ({pair(words, 'k', 'k - 1')}))"
+    spelled = "sort_array(transform(sequence(0, n - 3), i -> struct(get(w, i) AS a, get(w, i + 1) AS b, get(w, i + 2) AS c, i AS i)))"
+    equal = "(get(x, {a}).a = get(x, {b}).a AND get(x, {a}).b = get(x, {b}).b AND get(x, {a}).c = get(x, {b}).c)"
+    by_words = f"""aggregate(array({spelled}), cast(array() AS array<int>), (none, x) -> transform(
+        filter(sequence(0, size(x) - 1), k -> (k > 0 AND {pair(equal, 'k', 'k - 1')}) OR (k < size(x) - 1 AND {pair(equal, 'k', 'k + 1')})),
+        k -> get(x, k).i))"""
     repeated = sorted_.withColumn("places", F.expr(f"""
-        CASE WHEN size(packed) < 2 THEN cast(array() AS array<int>) ELSE sort_array(transform(
-            filter(sequence(0, size(packed) - 1), k -> {before} OR {after}), k -> {place.format(k='k')})) END"""))
+        CASE WHEN size(packed) < 2 THEN cast(array() AS array<int>) WHEN {collide} THEN sort_array({by_words})
+        ELSE sort_array(transform(filter(sequence(0, size(packed) - 1), k -> {before} OR {after}), k -> {place.format(k='k')})) END"""))
     return repeated.select(
         "doc_id", F.col("n").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_upper", "n_marks", "n_distinct", "n_lines", "n_dup_lines",
         F.expr("""aggregate(places, named_struct('words', 0L, 'end', 0),

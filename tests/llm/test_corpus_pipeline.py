@@ -44,3 +44,34 @@ def test_empty_documents(spark, sf_small, tmp_path):
     docs.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     spark.read.parquet(f"{sf_small}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_odd_rows_by_what_was_planted(spark, tmp_path):
+    """Null, repeated and clashing ids, null and long texts, ties, extra columns with clashing names: what
+    must go and what must stay is known from how the rows are made, not from the operators."""
+    import random
+
+    rng = random.Random(17)
+    words = "the river and a stone of green water walks over under never again to every house in town".split()
+    prose = lambda n=70: " ".join(rng.choice(words) + rng.choice(["", "", "s", "ly", "ing"]) for _ in range(n))
+    plain = [prose() for _ in range(40)]
+    phrase = "which benchmark phrase of exactly twelve words is hidden in this text"
+    secret = "token = Zk3Jq9Xw7Lr2Tn8Vb4Hc"
+    rows = [(i, t, "en") for i, t in enumerate(plain)]
+    rows += [(1000 + i, plain[i], "en") for i in range(5)]  # copies with larger ids go
+    rows += [(7, prose(), "en"), (8, None, "en"), (50, "", None), (51, "123 456 !?", "en")]  # a clashing id stays, letterless go
+    rows += [(None, plain[3], "en"), (None, plain[3], "en"), (None, None, "en")]  # without an id, with a letter: stay
+    rows += [(60, f"{plain[20][:120]} {phrase} {prose(40)}", "en"), (61, f"{prose(30)} {secret} {prose(30)}", "en"), (62, prose(40_000), "en")]
+    rows += [rows[0], rows[0]]  # repeated rows are copies
+    docs = spark.createDataFrame([r + ("s", len(r[1] or ""), "x", "y", "z", 1.0) for r in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, row string, spans string, fp string, score double")
+    docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, phrase), (2, None), (3, "")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    got = sorted(((r.doc_id, r.text) for r in found), key=repr)
+    cut = {60: rows[-5][1].replace(" " + phrase, ""), 61: rows[-4][1].replace(secret, "[SECRET]")}
+    assert rows[-5][0] == 60 and rows[-4][0] == 61
+    want = [(i, t) for i, t in enumerate(plain)] + [(7, rows[45][1]), (60, cut[60]), (61, cut[61]), (62, rows[-3][1]), (None, plain[3]), (None, plain[3])]
+    clean = lambda x: sorted(((d, " ".join(t.split())) for d, t in x), key=repr)
+    assert clean(got) == clean(want)
+    assert all(r.lossless and r.n_chars == len(r.text) and r.row == "x" and r.score == 1.0 for r in found)

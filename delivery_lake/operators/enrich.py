@@ -279,12 +279,14 @@ def orders_with_facts(tables: dict[str, DataFrame], unique: frozenset[str] = fro
     """orders ⟕ item summary ⟕ payment summary ⟕ review summary ⟕ customers, with the calendar
     columns: the wide table without the main seller's city and state.
 
-    The joins on the order id come first: over bucketed Silver tables they need no exchange at all."""
-    wide = (tables["orders"]
-            .join(item_summary(tables["order_items"], tables["products"], tables["category_translation"], unique, colocated), "order_id", "left")
+    ``colocated``: the joins on the order id come first, as they need no exchange over bucketed tables;
+    else the customers', on the narrow orders (measured 15 s against 18 s at sf0.1)."""
+    orders, customers = tables["orders"], unique_customers(tables["customers"], unique)
+    wide = orders if colocated else orders.join(customers, "customer_id", "left")
+    wide = (wide.join(item_summary(tables["order_items"], tables["products"], tables["category_translation"], unique, colocated), "order_id", "left")
             .join(payment_summary(tables["payments"]), "order_id", "left")
-            .join(reviews_by_order(tables["reviews"]), "order_id", "left")
-            .join(unique_customers(tables["customers"], unique), "customer_id", "left"))
+            .join(reviews_by_order(tables["reviews"]), "order_id", "left"))
+    wide = wide.join(customers, "customer_id", "left") if colocated else wide
     return fill_unknown_category(add_calendar_columns(wide))
 
 

@@ -21,8 +21,8 @@ MANIFEST = {
     "category_translation": "category_translation.csv",
 }
 
-# Tables with free text that may hold quoted line breaks (review comments): read with
-# multi-line CSV parsing, which cannot split a file. All other tables are read splittable.
+# Tables with free text that may hold quoted line breaks (review comments): their files are cut into
+# splits by ``sources.quoted_csv``, the others' by Spark's CSV reader.
 MULTILINE_TABLES = {"reviews"}
 
 # Columns parsed as timestamps per table.

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from delivery_lake.operators.cleaning import cast_declared
 from delivery_lake.schemas import BUCKET_KEY, DECLARED, GOLD_TABLES, LAYER_PREFIX, MANIFEST, MULTILINE_TABLES
+from delivery_lake.sources.quoted_csv import read_quoted_csv
 
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # Independent per-table writes are submitted as concurrent Spark jobs: small dimension tables
@@ -101,7 +102,7 @@ def write_landing(tables: dict[str, DataFrame], landing_dir: str) -> str:
 
 def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Raw CSV as all-STRING columns (no inference), doubled quotes kept. ``multi_line`` keeps
-    quoted line breaks but makes each file one task; use it only for free-text tables."""
+    quoted line breaks but makes each file one task; ``read_quoted_csv`` reads such files in splits."""
     return (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
             .option("inferSchema", False).csv(path))
 
@@ -130,7 +131,8 @@ def ingest_bronze(spark: SparkSession, source_dir: str, root: str, batch_id: str
     batch_id = batch_id or new_batch_id("bronze")
 
     def ingest(table: str, file_name: str) -> str:
-        raw = read_raw_csv(spark, f"{source_dir.rstrip('/')}/{file_name}", multi_line=table in MULTILINE_TABLES)
+        path = f"{source_dir.rstrip('/')}/{file_name}"
+        raw = read_quoted_csv(spark, path) if table in MULTILINE_TABLES else read_raw_csv(spark, path, multi_line=False)
         return write_layer(raw.withColumn("source_file", F.lit(file_name)), root, "bronze", table, batch_id)
 
     run_concurrently({t: (lambda t=t, f=f: ingest(t, f)) for t, f in manifest.items()})

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,7 @@ from delivery_lake.functions import (
     parse_timestamp,
 )
 from delivery_lake.schemas import DATE_COLUMNS, DECLARED
+from delivery_lake.session import scratch_dir
 
 # Provenance columns added by the ingest; never part of a duplicate key.
 PROVENANCE = ("batch_id", "source_file")
@@ -46,6 +47,29 @@ def drop_full_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates(keys)
 
 
+def drop_duplicates_by_hash(df: DataFrame, most_copies: float = 0.1) -> DataFrame:
+    """B02 for wide rows of which few have copies: the rows of ``drop_full_duplicates``, in two phases.
+
+    First 128 bits of every row are counted, which shuffles 16 bytes a row, and the hashes that repeat are
+    written (a small table). Then only rows with such a hash are shuffled and compared whole: copies are
+    verified, never trusted to a hash; all other rows go through as they are. The repeated hashes reach
+    the rows by a join, broadcast only if Spark finds them small enough. Where more than
+    ``most_copies`` of the rows have a repeated hash there is nothing to save, and all are compared."""
+    keys = [c for c in df.columns if c not in PROVENANCE]
+    hashes = {"_h1": F.xxhash64(*keys), "_h2": F.xxhash64(F.lit(1), *reversed(keys))}
+    path = f"{scratch_dir(df.sparkSession, 'repeated')}/hashes"
+    counted = df.select(*[h.alias(c) for c, h in hashes.items()]).groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("n"))
+    seen = Observation("repeated")
+    (counted.observe(seen, F.sum("n").alias("rows"), F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("copies"))
+     .where("n > 1").select("_h1", "_h2", F.lit(True).alias("_again")).write.parquet(path))
+    found = dict(seen.get)
+    if (found["copies"] or 0) > most_copies * (found["rows"] or 0):
+        return drop_full_duplicates(df)
+    marked = df.withColumns(hashes).join(df.sparkSession.read.parquet(path), ["_h1", "_h2"], "left")
+    alone = marked.where(F.col("_again").isNull()).select(*df.columns)
+    return alone.unionByName(marked.where("_again").select(*df.columns).dropDuplicates(keys))
+
+
 def convert_dates(df: DataFrame, table: str) -> DataFrame:
     """Lenient parse of the known timestamp columns of ``table`` that exist.
 
@@ -108,22 +132,61 @@ TABLE_RULES: dict[str, list[Callable[[DataFrame], DataFrame]]] = {
 }
 
 
-def clean_table(table: str, df: DataFrame) -> DataFrame:
+def clean_table(table: str, df: DataFrame, losses: dict[str, Observation] | None = None) -> DataFrame:
     """B01 -> B02 -> declared types -> B03 -> the table's own rules. Duplicates are removed
     on the raw values, before anything is parsed (two spellings of one instant stay two rows).
-    On already typed input the casts are no-ops."""
+    On already typed input the casts are no-ops.
+
+    With ``losses``, the values that parsing turns into null are counted while the table is written
+    (see ``parse_observed``)."""
     df = standardize_columns(df)
     df = drop_full_duplicates(df)
-    dates = set(DATE_COLUMNS.get(table, []))
-    df = cast_declared(df, {c: t for c, t in DECLARED.get(table, {}).items() if c not in dates})
-    df = convert_dates(df, table)
+
+    def parse(raw: DataFrame) -> DataFrame:
+        dates = set(DATE_COLUMNS.get(table, []))
+        return convert_dates(cast_declared(raw, {c: t for c, t in DECLARED.get(table, {}).items() if c not in dates}), table)
+
+    df = parse(df) if losses is None else parse_observed(table, df, parse, losses)
     for rule in TABLE_RULES.get(table, []):
         df = rule(df)
     return df
 
 
-def clean_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: clean_table(name, df) for name, df in tables.items()}
+def clean_tables(tables: dict[str, DataFrame], losses: dict[str, Observation] | None = None) -> dict[str, DataFrame]:
+    return {name: clean_table(name, df, losses) for name, df in tables.items()}
+
+
+def parse_observed(table: str, df: DataFrame, parse: Callable[[DataFrame], DataFrame], losses: dict[str, Observation]) -> DataFrame:
+    """``parse(df)``, and in ``losses[table]`` an observation of it: per text column how many values were
+    there (no missing-value token) and are null now. The counts come with the job that writes the
+    table: no second pass, no shuffle. A task that is run again after a lost executor may count twice, so
+    they are at least the true ones."""
+    text = [c for c, t in df.dtypes if t == "string" and c in DECLARED.get(table, {}) and c not in PROVENANCE]
+    if not text:
+        return parse(df)
+    kept = parse(df.withColumns({f"_raw_{c}": null_tokens_to_null(c) for c in text}))
+    losses[table] = Observation(f"losses-{table}")
+    lost = [F.count_if(F.col(f"_raw_{c}").isNotNull() & F.col(c).isNull()).alias(c) for c in text]
+    return kept.observe(losses[table], F.count(F.lit(1)).alias("_rows"), *lost).drop(*[f"_raw_{c}" for c in text])
+
+
+def lost_values(losses: dict[str, Observation]) -> dict[tuple[str, str], tuple[int, int]]:
+    """(values lost, rows) of every (table, column) that lost some. The tables must have been written."""
+    out = {}
+    for table, seen in losses.items():
+        counts = dict(seen.get)
+        rows = counts.pop("_rows", 0)
+        out |= {(table, c): (n, rows) for c, n in counts.items() if n}
+    return out
+
+
+def check_losses(losses: dict[str, Observation], most: float) -> dict[tuple[str, str], tuple[int, int]]:
+    """``lost_values``; raises if a column lost more than the share ``most`` of its rows."""
+    found = lost_values(losses)
+    bad = [f"{t}.{c}: {n} of {rows}" for (t, c), (n, rows) in sorted(found.items()) if n > most * rows]
+    if bad:
+        raise ValueError(f"values that cannot be read: {'; '.join(bad)}")
+    return found
 
 
 def normalize_booleans(df: DataFrame, columns: Iterable[str] = ("late_delivery", "negative_review")) -> DataFrame:

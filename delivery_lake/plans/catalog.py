@@ -101,6 +101,13 @@ def b02_dedup(spark, sf):
     return cleaning.drop_full_duplicates(items.unionByName(items))
 
 
+@register("b02_by_hash", "SELECT DISTINCT * FROM src_reviews")
+def b02_by_hash(spark, sf):
+    """Reviews and a few copies of them: only rows whose hash repeats are compared whole."""
+    reviews = testdata.reviews(spark, sf)
+    return cleaning.drop_duplicates_by_hash(reviews.unionByName(reviews.where(F.col("order_id") < "05")))
+
+
 @register("b03_dates", """
 SELECT order_id, order_purchase_timestamp,
        CASE WHEN order_id NOT LIKE '0%' THEN order_approved_at END AS order_approved_at,
@@ -212,7 +219,7 @@ def c09_orders_enriched(spark, sf):
 def c09_colocated(spark, sf):
     """The wide table over written Silver tables in buckets of the order id: no exchange on it."""
     root, batch = scratch_dir(spark, "lake"), "cleaning_20240101_000000"
-    buckets = write_silver(_sources(spark, sf), root, batch)
+    buckets, _ = write_silver(_sources(spark, sf), root, batch)
     silver = files.silver_scan(spark, root, GOLD_INPUTS, batch)
     return enrich.orders_enriched(silver, enrich.check_lookups(silver), bool(buckets))
 

@@ -11,6 +11,7 @@ import datetime as dt
 import hashlib
 import json
 import math
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -248,9 +249,10 @@ def typed_scan(spark: SparkSession, root: str, layer: str, tables: list[str], ba
 
 
 def write_tables(tables: dict[str, DataFrame], root: str, layer: str, batch_id: str,
-                 buckets: dict[str, int] | None = None) -> dict[str, str]:
+                 buckets: dict[str, int] | None = None, check: Callable[[], object] | None = None) -> dict[str, str]:
     """A05 (Silver) / A06 (Gold): one parquet table per name, in one batch (concurrent jobs), which is
-    marked complete after the last one. Tables named in ``buckets`` are bucketed."""
+    marked complete after the last one. Tables named in ``buckets`` are bucketed; if ``check`` raises,
+    the batch stays incomplete."""
     buckets = buckets or {}
 
     def write(name: str, df: DataFrame) -> str:
@@ -259,6 +261,8 @@ def write_tables(tables: dict[str, DataFrame], root: str, layer: str, batch_id:
         return write_layer(df, root, layer, name, batch_id)
 
     out = run_concurrently({name: (lambda df=df, name=name: write(name, df)) for name, df in tables.items()})
+    if check:
+        check()
     commit_batch(next(iter(tables.values())).sparkSession, root, layer, batch_id, buckets)
     return out
 

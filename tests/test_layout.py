@@ -22,7 +22,7 @@ def lake(spark, sf_small, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("lake"))
     sources = testdata.source_tables(spark, sf_small)
     twice = {t: df.unionByName(df) if t == "order_items" else df for t, df in sources.items()}  # full duplicates go
-    return root, sources, write_silver(twice, root, BATCH)
+    return root, sources, write_silver(twice, root, BATCH)[0]
 
 
 def test_buckets_hold_the_same_rows(spark, lake):
@@ -75,7 +75,7 @@ def test_a_hot_order_is_not_put_in_one_bucket(spark, sf_small, tmp_path):
     sources = testdata.source_tables(spark, sf_small)
     hot = F.when(F.col("order_id") < "5", F.lit("0" * 32)).otherwise(F.col("order_id"))
     sources["order_items"] = sources["order_items"].withColumn("order_id", hot)
-    assert write_silver(sources, root, BATCH, hot_rows=500) == {}
+    assert write_silver(sources, root, BATCH, hot_rows=500)[0] == {}
     silver = files.silver_scan(spark, root, GOLD_INPUTS, BATCH)
     assert rows(silver["order_items"], ["order_id", "price"]) == rows(cleaning.clean_table("order_items", sources["order_items"]), ["order_id", "price"])
 

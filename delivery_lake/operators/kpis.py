@@ -38,17 +38,19 @@ def _as_date(d) -> dt.date:
     return d if isinstance(d, dt.date) and not isinstance(d, dt.datetime) else dt.date.fromisoformat(str(d)[:10])
 
 
-def filter_dates(df: DataFrame, start, end, column: str = "order_purchase_timestamp") -> DataFrame:
+def filter_dates(df: DataFrame, start, end, column: str = "order_purchase_timestamp", month: str | None = None) -> DataFrame:
     """Calendar date of ``column`` within [start, end], both ends inclusive.
 
     Written as a half-open timestamp range so it is pushed to the parquet scan; null dates
-    are dropped."""
+    are dropped. ``month``: a partition column with the calendar month of ``column`` as ``yyyy-MM``;
+    the months outside the range are then not read at all."""
     # literals as text cast to TIMESTAMP_NTZ: no time zone enters (a Python datetime literal
     # would pass through the Python process zone and the session zone)
     lo = F.lit(f"{_as_date(start).isoformat()} 00:00:00").cast("timestamp_ntz")
     hi = F.lit(f"{(_as_date(end) + dt.timedelta(days=1)).isoformat()} 00:00:00").cast("timestamp_ntz")
     c = F.col(column)
-    return df.where((c >= lo) & (c < hi))
+    found = df.where((c >= lo) & (c < hi))
+    return found.where(F.col(month).between(_as_date(start).isoformat()[:7], _as_date(end).isoformat()[:7])) if month else found
 
 
 def filter_in(df: DataFrame, column: str, values: Sequence | None) -> DataFrame:
@@ -220,10 +222,12 @@ def executive_kpis(df: DataFrame) -> DataFrame:
     )
 
 
-def monthly_orders(df: DataFrame) -> DataFrame:
-    """Orders per calendar month, first month first (no gap filling); null dates dropped."""
-    return (df.where(F.col("order_purchase_timestamp").isNotNull())
-            .groupBy(year_month("order_purchase_timestamp").alias("purchase_year_month"))
+def monthly_orders(df: DataFrame, month: str | None = None) -> DataFrame:
+    """Orders per calendar month, first month first (no gap filling); null dates dropped.
+    ``month``: a column that holds the calendar month of the purchase already."""
+    own = F.col(month) if month else year_month("order_purchase_timestamp")
+    return (df.where(F.col(month or "order_purchase_timestamp").isNotNull())
+            .groupBy(own.alias("purchase_year_month"))
             .agg(F.count("order_id").alias("orders_count"))
             .orderBy("purchase_year_month"))
 

@@ -26,6 +26,7 @@ from delivery_lake.schemas import (
     KINDS,
     MANIFEST,
     ML_COLUMNS,
+    MONTH_COLUMN,
     NULL_TOKENS,
     NUMBER_PATTERN,
     NUMERIC_FEATURES,
@@ -267,6 +268,14 @@ def d01_date_filter(spark, sf):
     return kpis.filter_dates(_wide(spark, sf), *DATE_RANGE).select(*FILTER_OUT)
 
 
+@register("d01_by_month", _FILTER_SQL + f"""
+CAST(order_purchase_timestamp AS DATE) BETWEEN DATE '{DATE_RANGE[0]}' AND DATE '{DATE_RANGE[1]}'""")
+def d01_by_month(spark, sf):
+    """The date filter over the wide table's month layout: other months' files are not read."""
+    path = files.write_by_month(_wide(spark, sf), f"{scratch_dir(spark, 'gold')}/by_month")
+    return kpis.filter_dates(files.read_by_month(spark, path), *DATE_RANGE, month=MONTH_COLUMN).select(*FILTER_OUT)
+
+
 @register("d02_state_filter", _FILTER_SQL + "customer_state IN (" + ", ".join(f"'{s}'" for s in STATES) + ")")
 def d02_state_filter(spark, sf):
     return kpis.filter_states(_wide(spark, sf), STATES).select(*FILTER_OUT)

@@ -195,6 +195,9 @@ GOLD_INPUTS = [
 BUCKET_KEY = "order_id"
 BUCKETED_TABLES = ["orders", "order_items", "payments", "reviews"]
 
+# Column that the wide table's month layout is partitioned by.
+MONTH_COLUMN = "purchase_year_month"
+
 # ---------------------------------------------------------------------------------------------
 # Types from the data: kinds of text values as bits, the patterns that tell them, and the types of
 # joined kinds (any other mixture is text).

@@ -16,9 +16,10 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from delivery_lake.operators.cleaning import cast_declared
-from delivery_lake.schemas import BUCKET_KEY, DECLARED, GOLD_TABLES, LAYER_PREFIX, MANIFEST, MULTILINE_TABLES
+from delivery_lake.schemas import BUCKET_KEY, DECLARED, GOLD_TABLES, LAYER_PREFIX, MANIFEST, MONTH_COLUMN, MULTILINE_TABLES
 from delivery_lake.sources.quoted_csv import read_quoted_csv
 
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -275,6 +276,22 @@ def silver_scan(spark: SparkSession, root: str, tables: list[str], batch_id: str
             else read_layer(spark, root, "silver", t, batch_id).drop("batch_id") for t in tables}
 
 
+def write_by_month(wide: DataFrame, path: str, column: str = MONTH_COLUMN) -> str:
+    """The wide table partitioned by purchase month (rows without a date in a partition of their own).
+
+    Rows are rebalanced by month first: Spark splits a large month over several files and puts small
+    ones together in a task, so there is neither one task for a hot month nor a file a month and task."""
+    wide.hint("rebalance", column).write.mode("overwrite").partitionBy(column).parquet(path)
+    return path
+
+
+def read_by_month(spark: SparkSession, path: str, column: str = MONTH_COLUMN) -> DataFrame:
+    """The wide table written by month; the month is read as text."""
+    schema = spark.read.option("basePath", path).parquet(path).schema
+    text = T.StructType([T.StructField(f.name, T.StringType()) if f.name == column else f for f in schema])
+    return spark.read.schema(text).parquet(path)
+
+
 def export_gold_csv(tables: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
     """A06 CSV export: header, KPI tables sorted by ``orders_count`` descending (the file order
     is the only place a sort is kept)."""

@@ -101,3 +101,32 @@ def test_checked_lookups_are_joined_as_they_are(spark, sf_small):
     doubled = {**tables, "products": tables["products"].unionByName(tables["products"].withColumn("product_height_cm", F.lit(0.0)))}
     assert enrich.check_lookups(doubled) == unique - {"products"}
     assert rows(enrich.orders_enriched(doubled, enrich.check_lookups(doubled)), plain.columns) == rows(plain, plain.columns)
+
+
+def test_months_outside_the_range_are_not_read(spark, sf_small, tmp_path):
+    from delivery_lake.operators import kpis
+    from delivery_lake.plans import gold
+    from delivery_lake.schemas import MONTH_COLUMN
+
+    wide = gold.wide_orders(spark, sf_small)
+    late = F.when(F.col("order_id") < "01", F.lit(None)).when(F.col("order_id") < "02", F.lit("1996-02-29 23:59:59")).when(
+        F.col("order_id") < "03", F.lit("1996-03-01 00:00:00")).when(F.col("order_id") < "04", F.lit("1996-04-30 23:59:59.999999"))
+    wide = wide.withColumn("order_purchase_timestamp", F.when(F.col("order_id") < "04", late.cast("timestamp_ntz")).otherwise(F.col("order_purchase_timestamp")))
+    wide = wide.withColumn(MONTH_COLUMN, F.date_format("order_purchase_timestamp", "yyyy-MM"))
+    plain = str(tmp_path / "plain")
+    wide.write.parquet(plain)
+    wide = spark.read.parquet(plain)
+    path = files.write_by_month(wide, str(tmp_path / "by_month"))
+    by_month = files.read_by_month(spark, path)
+    columns = ["order_id", "order_purchase_timestamp", MONTH_COLUMN]
+    assert rows(by_month, columns) == rows(wide, columns)
+    found = kpis.filter_dates(by_month, "1996-03-01", "1996-04-30", month=MONTH_COLUMN)
+    assert rows(found, columns) == rows(kpis.filter_dates(wide, "1996-03-01", "1996-04-30"), columns) != []
+    plan = found._sc._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+    assert re.search(rf"PartitionFilters: \[isnotnull\({MONTH_COLUMN}", plan)
+    assert {f.split(f"{MONTH_COLUMN}=")[1][:7] for f in found.inputFiles()} >= {"1996-03", "1996-04"}
+    read = {r[0] for r in found.select(F.input_file_name()).distinct().collect()}
+    assert {f.split(f"{MONTH_COLUMN}=")[1][:7] for f in read} == {"1996-03", "1996-04"}
+    months = kpis.monthly_orders(by_month, MONTH_COLUMN).collect()
+    assert months == kpis.monthly_orders(wide).collect()
+    assert months[0].purchase_year_month < months[-1].purchase_year_month

@@ -25,6 +25,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--manifest", help="JSON file: table name -> file name in the source folder")
     ap.add_argument("--root", required=True, help="lake folder for all layers, models and metrics")
     ap.add_argument("--stamp", help="run stamp YYYYmmdd_HHMMSS (default: now)")
+    ap.add_argument("--resume", action="store_true", help="go on with the run of --stamp, else with the latest unfinished one")
     ap.add_argument("--jdbc-url", help="database to load the Gold tables into (optional)")
     ap.add_argument("--jdbc-user")
     ap.add_argument("--jdbc-password")
@@ -59,7 +60,7 @@ def main(argv: list[str] | None = None) -> int:
     props = {k: v for k, v in (("user", args.jdbc_user), ("password", args.jdbc_password)) if v}
     summary, info = run_pipeline(spark, source, args.root, manifest, stamp=args.stamp, jdbc_url=args.jdbc_url,
                                  jdbc_properties=props, train=not args.no_train, model=args.model,
-                                 csv_export_dir=args.csv_export)
+                                 csv_export_dir=args.csv_export, resume=args.resume)
     for r in summary.orderBy("layer", "table_name").collect():  # one row per written table
         print(f"{r.layer:7s} {r.table_name:28s} {r.rows:>12,}")
     print(json.dumps({k: v for k, v in info.items() if k != "csv"}, default=str))

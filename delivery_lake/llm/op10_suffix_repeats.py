@@ -27,7 +27,7 @@ are dealt out. Nothing is capped or sampled; the texts are shuffled once.
 
 Matches never cross documents. A null text is empty. A document with a null id keeps all its bytes and
 removes none elsewhere. Equal rows, and rows that repeat an id, do not remove each other's bytes. Extra
-columns are ignored."""
+columns are ignored. A text is never cut: a task needs about 45 times the bytes of its longest text."""
 
 from __future__ import annotations
 

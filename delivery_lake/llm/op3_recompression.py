@@ -20,7 +20,7 @@ documents is one entry per block. Nothing is capped or sampled; texts are shuffl
 
 A null or blank text has no words. A document with a null id keeps all its words and removes none
 elsewhere. Equal rows, and rows that repeat an id, do not remove each other's words. Extra columns are
-ignored."""
+ignored. A text is never cut: a task needs about 20 times the bytes of its longest text."""
 
 from __future__ import annotations
 

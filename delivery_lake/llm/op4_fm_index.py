@@ -11,8 +11,9 @@ stretch of text, as the end of a document does, and a stretch shorter than the s
 none: only the other stretches get rows in the index. Work is proportional to the text; no shuffle.
 
 The phrases are broadcast. Their size is checked first: a benchmark larger than ``PHRASE_WORDS`` is
-dealt into several groups of items and the documents pass through one search per group, so no
-broadcast outgrows that bound and no phrase is left out.
+dealt into several groups of items, held one at a time, and the documents pass through one search per
+group, written with their hits in between: no broadcast outgrows that bound, no phrase is left out. A
+text is never cut: a task needs some 30 times the bytes of its longest text.
 
 A null text or one without words has no hit; a null item or one without words has no phrase; an item
 shorter than the phrase length is one phrase. Equal rows are searched separately with equal results.

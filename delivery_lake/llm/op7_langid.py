@@ -13,7 +13,8 @@ driver is one vector per language.
 Learned only from the text and language of training documents with both. A text that is null or has no
 letter gets ``und`` with score 0, as does every text if nothing was learned. Ties go to the language
 first in order. Equal rows get equal results; extra columns are ignored by ``predict`` and kept by
-``keep_identified``. A null doc_id is kept (it is never trained on by the registered query)."""
+``keep_identified``. A null doc_id is kept (it is never trained on by the registered query). A text is
+never cut; letters of any script are drawn when first met."""
 
 from __future__ import annotations
 

@@ -249,11 +249,19 @@ def fit(train: DataFrame, model: str = "forest") -> PipelineModel:
     """F10 (fit): pipeline fitted on the weighted train part (cached while fitting)."""
     weighted = with_class_weights(train).persist()
     try:
-        return build_pipeline(weighted, model).fit(weighted)
+        return without_summary(build_pipeline(weighted, model).fit(weighted))
     finally:
         weighted.unpersist()
 
 
+def without_summary(model: PipelineModel) -> PipelineModel:
+    """The model without its classifier's training summary. The summary holds the session, which goes with
+    the model into every task and can't be sent any more once an ``Observation`` was used in it."""
+    fitted = model.stages[-1]
+    fitted._java_obj.setSummary(SparkSession.getActiveSession()._jvm.scala.Option.empty())
+    return model
+
+
 def predict(model: PipelineModel, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """F10 (predict) / F15: predicted flag and probability of the late class."""
     keep = keep if keep is not None else [c for c in (ML_ID, LABEL) if c in df.columns]

@@ -41,3 +41,18 @@ def test_unseen_category_encodes_as_zeros_and_null_as_mode(spark):
     assert got[0] == [1.0, 0.0]          # "A" is the most frequent value
     assert got[1] == [0.0, 0.0]          # unseen value: all zeros
     assert got[2] == got[0]              # missing value: filled with the most frequent value
+
+
+def test_models_predict_after_an_observation(spark, sf_small):
+    """Losses are observed in the pipeline's session before it trains: the models must still reach the tasks."""
+    from pyspark.sql import Observation
+
+    seen = Observation("any")
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get["n"] == 5
+    data = ml.coerce_target(enrich.ml_dataset(gold.wide_orders(spark, sf_small))).cache()
+    for kind in ("forest", "logistic"):
+        model = ml.fit(data, kind)
+        assert not model.stages[-1].hasSummary and ml.predict(model, data).count() == data.count()
+        assert ml.predict(model, data).where("late_probability between 0 and 1").count() == data.count()
+    data.unpersist()

@@ -50,14 +50,18 @@ BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav noscript ol optgroup option p pre search section "
     "select summary table tbody tfoot thead title tr ul".split())
-#: Elements that are not the article, the words of a class or id that say so, and the roles.
+#: Elements that are not the article, the words of a class or id that say so, and the roles. Words of the
+#: layout may also be on a wrapper around everything ("with-sidebar"): they do not hold for an article
+#: element inside, and not behind a word of LAYOUT_PREFIXES.
 OTHER = frozenset(
     "aside button canvas dialog footer form frameset head iframe menu nav noscript object script search select style svg template "
     "textarea title".split())
-OTHER_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
-    "footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion "
-    "recommended related replies search share sharing sidebar signup social sponsor sponsored subscribe teaser toolbar widget".split())
+OTHER_WORDS = frozenset("comment comments disqus promo promotion recommended related replies sponsor sponsored teaser".split())
+LAYOUT_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs consent cookie cookies footer gdpr login masthead "
+    "menu modal nav navbar navigation newsletter notice notices pager pagination popup search share sharing sidebar signup social "
+    "subscribe toolbar widget".split())
+LAYOUT_PREFIXES = frozenset("has hide no with without".split())
 OTHER_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
 #: Elements that leave a head open.
@@ -82,16 +86,21 @@ class Reader:
         self.paths: dict = {}
         self.attributes: dict = {}
 
-    def _signature(self, name: str, rest: str) -> tuple[str, bool]:
-        """How an element is named in paths, and whether it is marked as something else than the article."""
+    def _signature(self, name: str, rest: str) -> tuple[str, int]:
+        """How an element is named in paths, and whether it is marked as something else than the article: 2,
+        1 if by its layout only, 0 if not."""
         known = self.attributes.get((name, rest))
         if known is None:
-            words, other = [], name in OTHER
+            words, other = [], 2 * (name in OTHER)
             for key, value in _ATTRIBUTE.findall(rest):
                 value = value.strip("\"'")
                 found = [w for w in _NO_WORD.split(_CAMEL.sub(" ", value).lower()) if w]
                 words.append((key.lower(), *found))
-                other |= not OTHER_ROLES.isdisjoint(found) if key.lower() == "role" else not OTHER_WORDS.isdisjoint(found) and name not in ("html", "body")
+                if key.lower() == "role":
+                    other = max(other, 2 * (not OTHER_ROLES.isdisjoint(found)))
+                elif name not in ("html", "body"):
+                    layout = {w for before, w in zip(["", *found], found) if before not in LAYOUT_PREFIXES}
+                    other = max(other, 2 * (not OTHER_WORDS.isdisjoint(found)), not LAYOUT_WORDS.isdisjoint(layout))
             known = (f"{name}{sorted(words)}" if words else name, other)
             if len(self.attributes) >= HELD:
                 self.attributes.clear()
@@ -110,11 +119,11 @@ class Reader:
         return at
 
     def tokens(self, page: str) -> tuple[list[tuple], int]:
-        """(token, text or None for a tag, block, zone, whether it is something else than the article) for
-        every token of a page, and the page's highest zone: 2 within ``article``, 1 within ``main``, 0."""
+        """(token, text or None for a tag, block, zone, mark of something else than the article) for every
+        token of a page, and the page's highest zone: 2 within ``article``, 1 within ``main``, 0."""
         import xxhash
 
-        out, stack, opened = [], [("", 0, False, 0)], Counter()
+        out, stack, opened = [], [("", 0, 0, 0)], Counter()
         block, highest, at = 0, 0, 0
 
         def pop() -> None:
@@ -167,7 +176,9 @@ class Reader:
                 out.append((0, " ", block, zone, around))
             if name in VOID or rest.endswith("/") and name not in BLOCK:
                 continue
-            other |= around or (name == "header" and not zone)
+            if name in ("article", "main") and around == 1:
+                around = 0
+            other = max(other, around, name == "header" and not zone)
             if not other:
                 zone = max(zone, 2 if name == "article" else 1 if name == "main" else 0)
                 highest = max(highest, zone)

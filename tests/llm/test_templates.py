@@ -128,6 +128,9 @@ def test_odd_pages(spark):
         ("<a title='a > b'>t</a><img src=x><p title=\"q>\">u</p>", "t\nu"), ("<a title=\"open>t</a> v", "t v"), ("</p></div>w<br>w", "w w"),
         ("<div id=cookieBanner>c</div><div class='article-body shareable'>s</div><section role=banner>b</section>", "s"),
         ("<article><header><h1>T</h1></header>t</article><header>H</header>", "T\nt"), ("<ul><li>a<li>b</ul><table><tr><td>c</td><td>d</td><tr><td>e</table>", "a\nb\nc d\ne".replace("c d", "cd")),
+        ("<div class='wrap with-sidebar'><p>x</p><div id=rightSidebar>no</div></div>", "x"),
+        ("<div class='sidebar-left social'><article>in</article><p>no</p></div>", "in"), ("<div class=comments><article>never</article></div><p>x</p>", "x"),
+        ("<nav><article>never</article></nav><main><div class=share>no</div><p>m</p></main>", "m"),
         ("<head><title>t</title><body>b", "b"), ("<head><title>t</title><p>b", "b"), (long, "\n".join(["word"] * 20000)), ("<b>" * 5000 + "deep", "deep"), ("nul\x00 \U0001F600", "nul\x00 \U0001F600")]
     rows = [(i, None if i % 2 else f"http://h{i}.org/", page) for i, (page, _) in enumerate(cases)]
     rows += [(None, "http://n/", "<p>no id</p>"), (500, "not a url", "<p>u</p>"), (501, "", "<p>u</p>"), rows[4], rows[4]]

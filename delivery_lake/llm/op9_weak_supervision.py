@@ -58,22 +58,21 @@ def measures(docs: DataFrame) -> DataFrame:
         CASE WHEN n < 3 THEN cast(array() AS array<bigint>) ELSE sort_array(transform(sequence(0, n - 3),
             i -> ({HASH} << bits) | i)) END"""))
     place = "cast(get(packed, {k}) & ((1L << bits) - 1) AS int)"
-    hash_ = "shiftright(get(packed, {a}), bits) = shiftright(get(packed, {b}), bits)"
-    words = " AND ".join(f"get(w, {place.format(k='{a}')} + {i}) = get(w, {place.format(k='{b}')} + {i})" for i in range(3))
-    pair = lambda part, a, b: part.format(a=a, b=b)
-    before = f"(k > 0 AND {pair(hash_, 'k', 'k - 1')} AND {pair(words, 'k', 'k - 1')})"
-    after = f"(k < size(packed) - 1 AND {pair(hash_, 'k', 'k + 1')} AND {pair(words, 'k', 'k + 1')})"
-    # Neighbours with one hash and different words: hashes collide, and equal windows may not be neighbours.
-    # Such a text's windows are sorted by their words instead.
-    collide = f"exists(sequence(1, size(packed) - 1), k -> {pair(hash_, 'k', 'k - 1')} AND NOT ({pair(words, 'k', 'k - 1')}))"
+    words = " AND ".join(f"get(w, {place.format(k='k')} + {i}) = get(w, {place.format(k='k - 1')} + {i})" for i in range(3))
+    # Neighbours with one hash; few, as a rule.
+    paired = sorted_.withColumn("same", F.expr("""
+        CASE WHEN size(packed) < 2 THEN cast(array() AS array<int>) ELSE filter(sequence(1, size(packed) - 1),
+            k -> shiftright(get(packed, k), bits) = shiftright(get(packed, k - 1), bits)) END"""))
+    # If neighbours with one hash have different words, hashes collide, and equal windows may not be
+    # neighbours: such a text's windows are sorted by their words instead.
     spelled = "sort_array(transform(sequence(0, n - 3), i -> struct(get(w, i) AS a, get(w, i + 1) AS b, get(w, i + 2) AS c, i AS i)))"
     equal = "(get(x, {a}).a = get(x, {b}).a AND get(x, {a}).b = get(x, {b}).b AND get(x, {a}).c = get(x, {b}).c)"
     by_words = f"""aggregate(array({spelled}), cast(array() AS array<int>), (none, x) -> transform(
-        filter(sequence(0, size(x) - 1), k -> (k > 0 AND {pair(equal, 'k', 'k - 1')}) OR (k < size(x) - 1 AND {pair(equal, 'k', 'k + 1')})),
+        filter(sequence(0, size(x) - 1), k -> (k > 0 AND {equal.format(a='k', b='k - 1')}) OR (k < size(x) - 1 AND {equal.format(a='k', b='k + 1')})),
         k -> get(x, k).i))"""
-    repeated = sorted_.withColumn("places", F.expr(f"""
-        CASE WHEN size(packed) < 2 THEN cast(array() AS array<int>) WHEN {collide} THEN sort_array({by_words})
-        ELSE sort_array(transform(filter(sequence(0, size(packed) - 1), k -> {before} OR {after}), k -> {place.format(k='k')})) END"""))
+    repeated = paired.withColumn("places", F.expr(f"""
+        CASE WHEN exists(same, k -> NOT ({words})) THEN sort_array({by_words})
+        ELSE sort_array(array_distinct(flatten(transform(same, k -> array({place.format(k='k - 1')}, {place.format(k='k')}))))) END"""))
     return repeated.select(
         "doc_id", F.col("n").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_upper", "n_marks", "n_distinct", "n_lines", "n_dup_lines",
         F.expr("""aggregate(places, named_struct('words', 0L, 'end', 0),

@@ -8,6 +8,7 @@ from delivery_lake.functions.flags import (
     null_tokens_to_null,
     pct_of_true,
 )
+from delivery_lake.functions.ids import pack_id, packed_tokens_to_null, unpack_id
 
 __all__ = [
     "floor_days",
@@ -18,5 +19,8 @@ __all__ = [
     "late_flag",
     "negative_review",
     "null_tokens_to_null",
+    "pack_id",
+    "packed_tokens_to_null",
     "pct_of_true",
+    "unpack_id",
 ]

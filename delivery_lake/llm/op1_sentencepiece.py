@@ -9,9 +9,9 @@ rate: every occurrence is segmented by itself, and the same input always gives t
 any executor. Without dropout the result is that of the SentencePiece library.
 
 What a segment becomes depends only on which of its candidates are skipped. So a task keeps, for the
-segments it has met, the candidates in the order they are taken, with none skipped and with those skips
-that it has met; an occurrence tests its own hashes along them, and only a pattern of skips that is new
-is merged. Nothing is shared between occurrences but this.
+segments it has met repeatedly, the candidates that are taken with none skipped; an occurrence tests its
+own hashes along them, and is merged by itself only where one is skipped. Nothing is shared between
+occurrences but this.
 
 Bytes fall back for characters without a piece. A space mark that is part of the
 text itself is written as bytes, so decoding gives back exactly the text, whatever it holds.
@@ -25,6 +25,7 @@ import hashlib
 import heapq
 import re
 import struct
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import repeat
@@ -38,7 +39,7 @@ from delivery_lake.llm.common import as_row, doc_texts, modest_batches, row_colu
 #: Model file, dropout rate, seed.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT, SEED = 0.1, 20240801
-#: Merge paths that a task keeps about (a cache: cleared when full, not a limit on segments).
+#: Segments whose merge paths a task keeps about (a cache: cleared when full, not a limit on segments).
 CACHE = 250_000
 
 MARK = "▁"
@@ -49,11 +50,13 @@ SEGMENT_OF_LINE = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 #: Segments up to this length are merged many at once, one agenda step of each per numpy step; longer
 #: ones, and those with characters of no piece, one by one with a heap.
 SHORT = 48
+#: Segments merged together have about one length, and are so many that their tables (a column each, a
+#: row for each place) stay small.
+LENGTHS, COLUMNS = (6, 9, 12, 16, 24, SHORT), 1 << 14
+#: Rank of a pair that is no candidate.
+NO_PAIR = 0x7FFFFFFF
 #: Characters whose segments are looked up together.
 GROUP = 1 << 20
-#: Occurrences of a segment with more candidates than this are merged by themselves where one is
-#: skipped: the same skips hardly ever come again.
-DEEP = 16
 _PAIR = 0x9E3779B97F4A7C15
 
 
@@ -81,10 +84,9 @@ class Pieces:
         self._prepare(chars)
 
     def _forget(self) -> None:
-        """Empties the cache of merge paths: each has the candidates in the order they are taken (place
-        and piece in one number, from ``start`` on) and the ids that result."""
-        self.roots: dict[str, int] = {}  # nothing skipped
-        self.branches: dict[tuple[int, int], int] = {}  # by root and the bits of the skipped candidates
+        """Empties the cache of merge paths: each has the candidates that are taken where none is skipped
+        (place and piece in one number, from ``start`` on) and the ids that result."""
+        self.roots: dict[str, int] = {}
         self.ids_of: list[bytes] = []
         self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.taken = np.zeros(0, np.uint64)
@@ -99,27 +101,30 @@ class Pieces:
         pairs = {(symbol[p[:k]] << 32) | symbol[p[k:]]: i for p, i in self.id.items() for k in range(1, len(p))
                  if p[:k] in symbol and p[k:] in symbol}
         self.bits = max(10, (4 * len(pairs)).bit_length())
-        self.keys, self.merged, self.chain = np.zeros(1 << self.bits, np.uint64), np.full(1 << self.bits, -1, np.int32), 1
+        self.keys, self.merged = np.zeros(1 << self.bits, np.uint64), np.full(1 << self.bits, -1, np.int32)
         for key, i in pairs.items():
-            at, steps = ((key ^ (key >> 17)) * _PAIR & 0xFFFFFFFFFFFFFFFF) >> (64 - self.bits), 1
+            at = ((key ^ (key >> 17)) * _PAIR & 0xFFFFFFFFFFFFFFFF) >> (64 - self.bits)
             while self.merged[at] >= 0:
-                at, steps = (at + 1) & ((1 << self.bits) - 1), steps + 1
+                at = (at + 1) & ((1 << self.bits) - 1)
             self.keys[at], self.merged[at] = key, i
-            self.chain = max(self.chain, steps)
-        self.ranks = np.full(self.size + 1, np.inf)  # the last entry: no piece
+        # equal scores have one rank; a place in a segment fits in the six bits below; the last entry: no piece
+        order = {r: k << 6 for k, r in enumerate(sorted(set(self.rank.values())))}
+        self.ranks = np.full(self.size + 1, NO_PAIR, np.int32)
         for p, i in self.id.items():
-            self.ranks[i] = self.rank[p]
+            self.ranks[i] = order[self.rank[p]]
 
     def _find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Piece that two symbols form, -1 for none."""
         key = (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
         at = ((key ^ (key >> np.uint64(17))) * np.uint64(_PAIR) >> np.uint64(64 - self.bits)).astype(np.int64)
         out = np.where(self.keys[at] == key, self.merged[at], -1)
-        for _ in range(self.chain - 1):
+        todo = np.flatnonzero((out < 0) & (self.merged[at] >= 0))  # another pair is there
+        key, at = key[todo], at[todo]
+        while len(todo):
             at = (at + 1) & ((1 << self.bits) - 1)
-            more = self.keys[at] == key
-            if more.any():
-                out[more] = self.merged[at[more]]
+            out[todo] = np.where(self.keys[at] == key, self.merged[at], -1)
+            more = (out[todo] < 0) & (self.merged[at] >= 0)
+            todo, key, at = todo[more], key[more], at[more]
         return out
 
     def segments(self, text: str) -> list[str]:
@@ -148,12 +153,12 @@ class Pieces:
         limit = int(dropout * 4294967296)
         return self._merge_one(segment, limit, _key_of(seed, doc_id, place) if limit else 0)
 
-    def _merge_one(self, segment: str, limit: int, key: int, mask: int = 0, trace: list | None = None) -> tuple[int, ...]:
+    def _merge_one(self, segment: str, limit: int, key: int, trace: list | None = None) -> tuple[int, ...]:
         if segment == OWN_MARK:
             return tuple(self.byte[b] for b in MARK.encode())
         ids = self.id
         out: list[int] = []
-        for s in self._merge_heap(segment, limit, key, mask, trace):
+        for s in self._merge_heap(segment, limit, key, trace):
             i = ids.get(s)
             if i is None:
                 out += [self.byte[b] for b in s.encode("utf-8", "surrogatepass")]
@@ -161,9 +166,8 @@ class Pieces:
                 out.append(i)
         return tuple(out)
 
-    def _merge_heap(self, segment: str, limit: int, key: int, mask: int, trace: list | None) -> list[str]:
-        """Symbols of a segment. With ``trace``, the candidates taken are added to it, and those with a bit
-        in ``mask`` are skipped instead of those below the limit."""
+    def _merge_heap(self, segment: str, limit: int, key: int, trace: list | None) -> list[str]:
+        """Symbols of a segment. The candidates that are merged are added to ``trace``."""
         rank = self.rank
         symbols = list(segment)
         n = len(symbols)
@@ -175,12 +179,10 @@ class Pieces:
             _, i, j, new = heapq.heappop(agenda)
             if after[i] != j or not symbols[i] or symbols[i] + symbols[j] != new:
                 continue  # one side has been merged meanwhile
+            if limit and _skipped(key, i, self.id[new], limit):
+                continue
             if trace is not None:
                 trace.append((i << 16) ^ self.id[new])
-                if mask >> (len(trace) - 1) & 1:
-                    continue
-            elif limit and _skipped(key, i, self.id[new], limit):
-                continue
             symbols[i], symbols[j] = new, ""
             k = after[i] = after[j]
             if k < n:
@@ -199,144 +201,128 @@ class Pieces:
         keys = np.array([_key_of(seed, *w[1:]) if limit else 0 for w in wanted], np.uint64)
         return self._merge_many([w[0] for w in wanted], limit, keys)[0]
 
-    def _merge_many(self, segments: list[str], limit: int, keys: np.ndarray, masks: np.ndarray | None = None):
-        """Ids of many segments: per step, every segment takes one candidate from its agenda, the one with
-        the best score, then the leftmost. With ``masks``, the candidates with a bit there are skipped (the
-        n-th bit for the n-th step), and the candidates taken, their starts and numbers are given as well."""
-        out: list = [None] * len(segments)
-        short = [k for k, s in enumerate(segments) if len(s) <= SHORT]
-        points = np.frombuffer("".join([segments[k] for k in short]).encode("utf-32-le", "surrogatepass"), np.uint32)
-        size = np.array([len(segments[k]) for k in short], np.int64)
-        word = np.repeat(np.arange(len(short)), size)
-        symbol = self.symbol_of[points]
-        odd = np.zeros(len(short), bool)
-        odd[word[symbol < 0]] = True
-        traces: dict[int, list] = {}
-        for k in [*(k for k, x in zip(short, odd.tolist()) if x), *(k for k, s in enumerate(segments) if len(s) > SHORT)]:
-            trace = None if masks is None else traces.setdefault(k, [])
-            out[k] = np.array(self._merge_one(segments[k], limit, int(keys[k]), 0 if masks is None else int(masks[k]), trace), "<i4").tobytes()
-        place = np.arange(len(word)) - np.repeat(np.cumsum(size) - size, size)
-        keep = ~odd[word]
-        word, symbol, place = word[keep], symbol[keep].astype(np.int64), place[keep]
-        number = np.array(short, np.int64)
-        keys = keys[number]
-        taken_word, taken, step = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
-        done_word, done_symbol = [], []
-        piece = np.append(np.where(word[1:] == word[:-1], self._find(symbol[:-1], symbol[1:]), -1), -1)[: len(word)]
-        while len(word):
-            rank = self.ranks[piece]
-            start = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-            best = np.minimum.reduceat(rank, start)
-            length = np.diff(np.append(start, len(word)))
-            over = np.repeat(best == np.inf, length)
-            if over.any():  # agendas that are empty
-                done_word.append(word[over])
-                done_symbol.append(symbol[over])
-                left = ~over
-                word, symbol, place, piece, rank = word[left], symbol[left], place[left], piece[left], rank[left]
-                live = best != np.inf
-                best, length = best[live], length[live]
-                if not len(word):
-                    break
-            at = np.flatnonzero(rank == np.repeat(best, length))
-            at = at[np.concatenate(([True], word[at[1:]] != word[at[:-1]]))]  # the leftmost of each segment
-            new = piece[at]
-            if masks is not None or limit:
-                candidate = (place[at].astype(np.uint64) << np.uint64(16)) ^ new.astype(np.uint64)
-                if masks is None:
-                    skip = _keyed(keys[word[at]], candidate) < limit
-                else:
-                    taken_word.append(number[word[at]])
-                    taken.append(candidate)
-                    skip = (masks[number[word[at]]] >> np.uint64(step)) & np.uint64(1) > 0 if step < 64 else np.zeros(len(at), bool)
-                    step += 1
-                piece[at[skip]] = -1
-                at, new = at[~skip], new[~skip]
-            symbol[at] = new
-            keep = np.ones(len(word), bool)
-            keep[at + 1] = False
-            word, symbol, place, piece = word[keep], symbol[keep], place[keep], piece[keep]
-            at = at - np.arange(len(at))  # one symbol fewer for each merge on the left
-            for k in (at - 1, at):  # new neighbours, new candidates
-                k = k[(k >= 0) & (k < len(word))]
-                inside = np.zeros(len(k), bool)
-                inside[k < len(word) - 1] = word[k[k < len(word) - 1]] == word[k[k < len(word) - 1] + 1]
-                piece[k[~inside]] = -1
-                k = k[inside]
-                piece[k] = self._find(symbol[k], symbol[k + 1])
-        if done_word:
-            word, symbol = np.concatenate(done_word), np.concatenate(done_symbol)
-            order = np.argsort(word, kind="stable")
-            word, symbol = word[order], symbol[order]
-            bounds = (4 * np.searchsorted(word, np.arange(len(short) + 1))).tolist()
-            ids = symbol.astype("<i4").tobytes()
-            for n, k in enumerate(short):
-                if out[k] is None:
-                    out[k] = ids[bounds[n]:bounds[n + 1]]
-        if masks is None:
+    def _merge_many(self, segments: list[str], limit: int, keys: np.ndarray, trace: bool = False):
+        """Ids of many segments. With ``trace`` the candidates that are merged, by segment, and the starts
+        and numbers of each segment's are given as well."""
+        out: list = [b""] * len(segments)
+        size = np.fromiter(map(len, segments), np.int64, len(segments))
+        single = np.flatnonzero(size > SHORT).tolist()
+        taken_of, taken = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for low, high in zip((0, *LENGTHS), LENGTHS):
+            alike = np.flatnonzero((size > low) & (size <= high))
+            for begin in range(0, len(alike), COLUMNS):
+                number = alike[begin:begin + COLUMNS]
+                points = np.frombuffer("".join([segments[k] for k in number.tolist()]).encode("utf-32-le", "surrogatepass"), np.uint32)
+                symbol = self.symbol_of[points].astype(np.int64)
+                odd = np.bincount(np.repeat(np.arange(len(number)), size[number])[symbol < 0], minlength=len(number)) > 0
+                if odd.any():
+                    single += number[odd].tolist()
+                    symbol = symbol[np.repeat(~odd, size[number])]
+                    number = number[~odd]
+                if not len(number):
+                    continue
+                left, count, column, candidate = self._merge_table(symbol, size[number], limit, keys[number], trace)
+                ids, bounds = left.astype("<i4").tobytes(), np.cumsum(4 * count).tolist()
+                for k, i, j in zip(number.tolist(), [0, *bounds], bounds):
+                    out[k] = ids[i:j]
+                taken_of.append(number[column])
+                taken.append(candidate)
+        for k in single:
+            path: list[int] = []
+            out[k] = np.array(self._merge_one(segments[k], limit, int(keys[k]), path), "<i4").tobytes()
+            taken_of.append(np.full(len(path), k))
+            taken.append(np.array(path, np.uint64))
+        if not trace:
             return out, None, None, None
-        for k, trace in traces.items():
-            taken_word.append(np.full(len(trace), k))
-            taken.append(np.array(trace, np.uint64))
-        taken_word = np.concatenate(taken_word)
-        order = np.argsort(taken_word, kind="stable")  # by segment, then step
-        count = np.bincount(taken_word, minlength=len(segments))
-        return out, np.concatenate(taken)[order], np.cumsum(count) - count, count
-
-    def _learn(self, segments: list[str], masks: np.ndarray) -> range:
-        """Adds the paths of some segments with some skips; their numbers."""
-        ids, taken, start, count = self._merge_many(segments, 0, np.zeros(len(segments), np.uint64), masks)
-        first = len(self.ids_of)
-        self.ids_of += ids
-        self.start = np.concatenate((self.start, start + len(self.taken)))
-        self.count = np.concatenate((self.count, count))
-        self.taken = np.concatenate((self.taken, taken))
-        return range(first, len(self.ids_of))
+        taken_of = np.concatenate(taken_of)
+        count = np.bincount(taken_of, minlength=len(segments))
+        return out, np.concatenate(taken)[np.argsort(taken_of, kind="stable")], np.cumsum(count) - count, count
+
+    def _merge_table(self, symbol: np.ndarray, size: np.ndarray, limit: int, keys: np.ndarray, trace: bool):
+        """Symbols left of some short segments and their numbers, given the symbols of their characters.
+
+        A segment is a column, a symbol is in the row of its first place, with the rows of the symbols before
+        and after it and the rank of the pair with the latter (a skipped pair has none). A step merges each
+        column's pair of the least rank, the leftmost of equals. One more row stands for what is beyond a
+        segment's ends. With ``trace``, the column and number of each merge are given as well."""
+        n, rows = len(size), int(size.max())
+        column = np.repeat(np.arange(n), size)
+        row = np.arange(len(column)) - np.repeat(np.cumsum(size) - size, size)
+        symbols = np.full((rows + 1) * n, -1, np.int64)
+        symbols[row * n + column] = symbol
+        after, before = np.repeat(np.arange(1, rows + 2), n), np.repeat(np.arange(-1, rows), n)
+        after[(size - 1) * n + np.arange(n)] = before[:n] = rows
+        piece, rank = np.full((rows + 1) * n, -1, np.int32), np.full((rows + 1) * n, NO_PAIR, np.int32)
+        merged_in, merged = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+
+        def pair(row, column, left, right):
+            new = self._find(left, right)
+            value = self.ranks[new] | row  # no piece: all bits are set already
+            if limit:
+                value[_keyed(keys[column], (row.astype(np.uint64) << np.uint64(16)) ^ new.astype(np.uint64)) < limit] = NO_PAIR
+            piece[row * n + column], rank[row * n + column] = new, value
+
+        inner = np.flatnonzero(column[1:] == column[:-1])
+        pair(row[inner], column[inner], symbol[inner], symbol[inner + 1])
+        while True:
+            least = rank[:rows * n].reshape(rows, n).min(axis=0)
+            column = np.flatnonzero(least != NO_PAIR)
+            if not len(column):
+                break
+            row = (least[column] & 63).astype(np.int64)
+            at = row * n + column
+            new = piece[at].astype(np.int64)
+            if trace:
+                merged_in.append(column)
+                merged.append((row.astype(np.uint64) << np.uint64(16)) ^ new.astype(np.uint64))
+            gone = after[at] * n + column
+            right, left = after[gone], before[at]
+            symbols[at], symbols[gone], rank[gone] = new, -1, NO_PAIR
+            after[at], before[right * n + column] = right, row
+            pair(np.concatenate((row, left)), np.concatenate((column, column)),
+                 np.concatenate((new, symbols[left * n + column])), np.concatenate((symbols[right * n + column], new)))
+        table = symbols[:rows * n].reshape(rows, n).T
+        held = table >= 0
+        return table[held], held.sum(axis=1), np.concatenate(merged_in), np.concatenate(merged)
+
+    def _paths_of(self, segments: list[str], limit: int) -> np.ndarray:
+        """Number of the kept path of each segment, -1 for none. Paths of segments that are there twice or
+        more are added; long ones hardly ever are without a skip."""
+        find = lambda some: np.fromiter(map(self.roots.get, some, repeat(-1)), np.int64, len(some))
+        path = find(segments)
+        unknown = np.flatnonzero(path < 0)
+        missing = [segments[k] for k in unknown.tolist()]
+        new = [s for s, n in Counter(missing).items() if n > 1 and (not limit or len(s) <= SHORT)]
+        if self.ids_of and len(self.ids_of) + len(new) > CACHE:
+            self._forget()
+            return self._paths_of(segments, limit)
+        if new:
+            ids, taken, start, count = self._merge_many(new, 0, np.zeros(len(new), np.uint64), trace=True)
+            self.roots.update(zip(new, range(len(self.ids_of), len(self.ids_of) + len(new))))
+            self.ids_of += ids
+            self.start = np.concatenate((self.start, start + len(self.taken)))
+            self.count = np.concatenate((self.count, count))
+            self.taken = np.concatenate((self.taken, taken))
+            path[unknown] = find(missing)
+        return path
 
     def encode_many(self, texts: list[str], docs: list[int], dropout: float = DROPOUT, seed: int = SEED) -> list[np.ndarray]:
         """Ids of some texts, as arrays of 32-bit numbers."""
         limit = int(dropout * 4294967296)
         split = [self.segments(t) for t in texts]
         flat = [s for x in split for s in x]
-        missing = [s for s in set(flat) if s not in self.roots and (not limit or len(s) <= SHORT)]
-        if len(self.ids_of) + len(missing) > CACHE:
-            self._forget()
-            missing = [s for s in set(flat) if not limit or len(s) <= SHORT]
-        if missing:
-            self.roots.update(zip(missing, self._learn(missing, np.zeros(len(missing), np.uint64))))
-        root = np.fromiter(map(self.roots.get, flat, repeat(-1)), np.int64, len(flat))
-        path, own = root.copy(), {}
+        path = self._paths_of(flat, limit)
+        keys = np.zeros(len(flat), np.uint64)
         if limit and flat:
             keys = np.concatenate([occurrence_keys(d, len(x), seed) for d, x in zip(docs, split)])
-            mask = np.zeros(len(flat), np.uint64)
-            alone = [np.flatnonzero(root < 0)]
-            at = np.flatnonzero(root >= 0)
-            done = np.zeros(len(at), np.int64)  # candidates that have been tested
-            while len(at):
-                size = self.count[path[at]] - done
-                begin = np.cumsum(size) - size
-                of = np.repeat(np.arange(len(at)), size)
-                candidate = self.taken[np.arange(len(of)) + (self.start[path[at]] + done - begin)[of]]
-                hit = np.flatnonzero(_keyed(keys[at][of], candidate) < limit)
-                of = of[hit]
-                first = np.ones(len(of), bool)
-                first[1:] = of[1:] != of[:-1]
-                of = of[first]
-                step = hit[first] - begin[of] + done[of]  # the first that is skipped
-                at, done = at[of], step + 1
-                deep = (self.count[root[at]] > DEEP) | (step > 62)
-                alone.append(at[deep])
-                at, done, step = at[~deep], done[~deep], step[~deep]
-                mask[at] |= np.uint64(1) << step.astype(np.uint64)
-                names = list(zip(root[at].tolist(), mask[at].tolist()))
-                new = {n: flat[k] for n, k in zip(names, at.tolist()) if n not in self.branches}
-                if new:
-                    self.branches.update(zip(new, self._learn(list(new.values()), np.array([m for _, m in new], np.uint64))))
-                path[at] = [self.branches[n] for n in names]
-            alone = np.concatenate(alone)
-            own = dict(zip(alone.tolist(), self._merge_many([flat[k] for k in alone.tolist()], limit, keys[alone])[0]))
-        ids = list(map(self.ids_of.__getitem__, path.tolist())) if self.ids_of else [b""] * len(flat)
-        for k, x in own.items():
+            known = np.flatnonzero(path >= 0)
+            size, start = self.count[path[known]], self.start[path[known]]
+            of = np.repeat(known, size)
+            candidate = self.taken[np.arange(len(of)) + np.repeat(start - np.cumsum(size) + size, size)]
+            path[of[_keyed(keys[of], candidate) < limit]] = -1  # one is skipped
+        alone = np.flatnonzero(path < 0)
+        ids = list(map([*self.ids_of, b""].__getitem__, path.tolist()))
+        for k, x in zip(alone.tolist(), self._merge_many([flat[k] for k in alone.tolist()], limit, keys[alone])[0]):
             ids[k] = x
         out, i = [], 0
         for x in split:
@@ -409,7 +395,7 @@ def _run(held, dropout: float, seed: int, emit):
     def run(batches: Iterator):
         pieces = pieces_of(held.value)
         for batch in batches:
-            for part in slices(batch, 128):
+            for part in slices(batch, 512):
                 docs, texts = row_column(part, "doc_id").to_pylist(), row_column(part, "text").to_pylist()
                 ids: list = []
                 for i, j in groups(texts):

@@ -103,6 +103,25 @@ def test_every_occurrence_has_a_dropout_of_its_own(rows):
             assert pieces.encode(t, d or 0, dropout, 2) == [i for k, s in enumerate(pieces.segments(t)) for i in pieces.merge(s, dropout, 2, d or 0, k)]
 
 
+def test_sentencepiece_merges_an_occurrence_once_and_keeps_only_repeated_paths(monkeypatch):
+    pieces = op1_sentencepiece.Pieces(op1_sentencepiece.load_model())
+    words = ["".join("abdeinorstu"[(k * 7 + j * j * (k + 3)) % 11] for j in range(1 + k % 52)) + str(k) for k in range(700)]
+    merged, many = [], pieces._merge_many
+    monkeypatch.setattr(pieces, "_merge_many", lambda segments, *more, **named: merged.extend(segments) or many(segments, *more, **named))
+    monkeypatch.setattr(op1_sentencepiece, "COLUMNS", 13, raising=False)
+    segments = pieces.segments(" ".join(words))
+    want = [i for k, s in enumerate(segments) for i in pieces.merge(s, 0.3, 1, 5, k)]
+    assert pieces.encode(" ".join(words), 5, 0.3, 1) == want
+    assert sorted(merged) == sorted(segments) and not pieces.ids_of
+    twice = segments + segments
+    want = [i for k, s in enumerate(twice) for i in pieces.merge(s, 0.3, 1, 5, k)]
+    assert pieces.encode(" ".join(words + words), 5, 0.3, 1) == want
+    assert len(pieces.ids_of) == sum(len(s) <= op1_sentencepiece.SHORT for s in segments)
+    monkeypatch.setattr(op1_sentencepiece, "CACHE", 50)  # full: emptied, the same ids
+    assert pieces.encode(" ".join(words + words), 5, 0.3, 1) == want and pieces.encode("ab ab cd cd", 5, 0.3, 1) == [
+        i for k, s in enumerate(["▁ab", "▁ab", "▁cd", "▁cd"]) for i in pieces.merge(s, 0.3, 1, 5, k)]
+
+
 def test_sentencepiece_query(spark, docs, rows, none):
     pieces = op1_sentencepiece.Pieces(op1_sentencepiece.load_model())
     want = []

@@ -130,3 +130,15 @@ def test_months_outside_the_range_are_not_read(spark, sf_small, tmp_path):
     months = kpis.monthly_orders(by_month, MONTH_COLUMN).collect()
     assert months == kpis.monthly_orders(wide).collect()
     assert months[0].purchase_year_month < months[-1].purchase_year_month
+
+
+def test_facts_are_dealt_out_with_packed_ids(spark):
+    """Rows lie by the text's hash, as buckets of it do, what moves is the packed id, and duplicates go in place."""
+    ids = ["0123456789abcdef" * 2, "F" * 32, "x" * 16, "", "NA", "é", None]
+    df = spark.createDataFrame([(o, p, n) for o in ids for p in ids for n in (1, 1, 2)], "order_id string, product_id string, order_item_id int")
+    by_text = df.repartition(5, "order_id").withColumn("part", F.spark_partition_id())
+    dealt = cleaning.dealt_out(df, 5, "order_id")
+    assert rows(dealt.withColumn("part", F.spark_partition_id()), by_text.columns) == rows(by_text, by_text.columns)
+    plan = cleaning.drop_full_duplicates(dealt)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert re.search(r"Exchange hashpartitioning\(CASE WHEN .*, 5\)", plan)

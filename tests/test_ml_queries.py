@@ -27,3 +27,15 @@ def test_wide_table_is_made_once_by_each_query(spark, wide, monkeypatch, query):
     for times in (1, 2):
         assert catalog.QUERIES[query](spark, "/some/place").count() > 0
         assert len(made) == times
+
+
+def test_scoring_writes_the_features_once(spark, wide, monkeypatch):
+    """Every order is scored from a table of the features alone; the ML table is not written beside it."""
+    written, write = {}, catalog._written
+    monkeypatch.setattr(catalog, "_wide", lambda spark, sf: wide)
+    monkeypatch.setattr(catalog, "_written", lambda df, label: written.setdefault(label, write(df, label)))
+    got = catalog.f15_score(spark, "/some/place").collect()
+    assert sorted(r.order_id for r in got) == sorted(r.order_id for r in wide.select("order_id").collect())
+    assert all(r.in_range for r in got)
+    assert written["wide"].columns == ["order_status", *catalog.ML_COLUMNS]
+    assert list(written) == ["wide", "split"]

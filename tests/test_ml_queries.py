@@ -8,7 +8,9 @@ from delivery_lake.plans import catalog, gold
 
 @pytest.fixture(scope="module")
 def wide(spark, sf_small):
-    return gold.wide_orders(spark, sf_small).cache()
+    made = gold.wide_orders(spark, sf_small).cache()
+    yield made
+    made.unpersist()  # plans that later tests look into must not read it
 
 
 def test_split_follows_the_tables(spark, wide, monkeypatch):

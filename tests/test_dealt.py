@@ -102,3 +102,25 @@ def test_layers_are_compressed_and_written_without_a_sort(spark, sf_small, tmp_p
     size = lambda names: sum(os.path.getsize(f) for f in names)
     assert size(parts) < 0.7 * size(glob.glob(f"{plain}/part-*"))
     assert rows(files.read_raw_csv(spark, f"{root}/landing/orders.csv", multi_line=False)) == rows(files.read_raw_csv(spark, plain))
+
+
+def test_landing_of_ids_takes_less_than_plain_gzip(spark, tmp_path):
+    ids = spark.range(20_000).select(*[F.md5(F.concat(F.lit(k), F.col("id").cast("string"))).alias(k) for k in ("order_id", "product_id", "seller_id")])
+    ids = ids.coalesce(1)
+    files.write_landing({"order_items": ids}, f"{tmp_path}/landing")
+    ids.write.option("header", True).option("compression", "gzip").csv(f"{tmp_path}/plain")
+    size = lambda folder: sum(os.path.getsize(f) for f in glob.glob(f"{folder}/part-*.csv.gz"))
+    landed = glob.glob(f"{tmp_path}/landing/*.csv")[0]
+    assert 0 < size(landed) < 0.95 * size(f"{tmp_path}/plain")
+    assert rows(files.read_raw_csv(spark, landed, multi_line=False)) == rows(ids)
+
+
+def test_pieces_of_quoted_csv_are_compressed(spark, tmp_path):
+    from delivery_lake.session import checkpoint_root
+    from delivery_lake.sources.quoted_csv import read_quoted_csv
+
+    pieces = lambda: set(glob.glob(f"{checkpoint_root(spark).removeprefix('file:')}/csv-pieces-*/pieces/part-*"))
+    (tmp_path / "r.csv").write_text("a,b\n" + "".join(f"{i},text {i}\n" for i in range(5000)))
+    before = pieces()
+    assert read_quoted_csv(spark, str(tmp_path / "r.csv")).count() == 5000
+    assert pieces() - before and all(".zstd." in f for f in pieces() - before)

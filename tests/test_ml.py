@@ -56,3 +56,19 @@ def test_models_predict_after_an_observation(spark, sf_small):
         assert not model.stages[-1].hasSummary and ml.predict(model, data).count() == data.count()
         assert ml.predict(model, data).where("late_probability between 0 and 1").count() == data.count()
     data.unpersist()
+
+
+def test_forest_keeps_no_second_copy_of_its_rows(spark, sf_small, monkeypatch):
+    """Node ids and the weighted rows are not cached beside the forest's bagged rows."""
+    data = ml.coerce_target(enrich.ml_dataset(gold.wide_orders(spark, sf_small))).cache()
+    seen, build = [], ml.build_pipeline
+
+    def watched(train, model):
+        seen.append(train.is_cached)
+        return build(train, model)
+
+    monkeypatch.setattr(ml, "build_pipeline", watched)
+    forest = ml.fit(data).stages[-1]
+    assert seen == [False] and not forest.getOrDefault("cacheNodeIds")
+    assert len(forest.trees) == 100
+    data.unpersist()

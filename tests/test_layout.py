@@ -1,6 +1,7 @@
 """Bucketed Silver tables: same rows, no exchange on the order id, a hot order is not bucketed."""
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,3 +143,21 @@ def test_facts_are_dealt_out_with_packed_ids(spark):
     plan = cleaning.drop_full_duplicates(dealt)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
     assert re.search(r"Exchange hashpartitioning\(CASE WHEN .*, 5\)", plan)
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark, tmp_path):
+    from delivery_lake.session import FREE_SHUFFLES, shuffles_freed
+
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    held = lambda: {n for n in env.blockManager().diskBlockManager().getAllBlocks().mkString(" ").split() if n.startswith("shuffle_")}
+    before, was = held(), spark.conf.get(FREE_SHUFFLES)
+    rows_ = spark.range(1000).repartition(5, "id").groupBy((F.col("id") % 7).alias("k")).count()
+    with shuffles_freed(spark):
+        rows_.write.parquet(str(tmp_path / "freed"))
+    until = time.time() + 20  # they are removed beside the query
+    while not held() <= before and time.time() < until:
+        time.sleep(0.2)
+    assert held() <= before and spark.conf.get(FREE_SHUFFLES) == was
+    assert spark.read.parquet(str(tmp_path / "freed")).count() == 7
+    rows_.write.parquet(str(tmp_path / "kept"))
+    assert held() - before

@@ -124,3 +124,59 @@ def test_pieces_of_quoted_csv_are_compressed(spark, tmp_path):
     before = pieces()
     assert read_quoted_csv(spark, str(tmp_path / "r.csv")).count() == 5000
     assert pieces() - before and all(".zstd." in f for f in pieces() - before)
+
+
+def test_bronze_keeps_equal_ids_together(spark, tmp_path):
+    """Each task puts its rows in order by the id that repeats: the same rows take less room."""
+    order = F.md5((F.col("id") % 50_000).cast("string"))
+    payments = spark.range(200_000).select(order.alias("order_id"), (F.col("id") / 50_000).cast("int").alias("payment_sequential")).coalesce(1)
+    landing, root = files.write_landing({"payments": payments}, f"{tmp_path}/landing"), f"{tmp_path}/lake"
+    files.ingest_bronze(spark, landing, root, "ingestion_1", {"payments": "payments.csv"})
+    path = f"{root}/bronze/payments/batch_id=ingestion_1"
+    ids = [[r[0] for r in spark.read.parquet(f).select("order_id").collect()] for f in glob.glob(f"{path}/*.parquet")]
+    assert ids and all(x == sorted(x) for x in ids)
+    raw = files.read_raw_csv(spark, f"{landing}/payments.csv", multi_line=False)
+    assert rows(files.scan(spark, root, "bronze", ["payments"])["payments"]) == rows(raw)
+    raw.withColumn("source_file", F.lit("payments.csv")).write.option("compression", "zstd").parquet(f"{tmp_path}/as_read")
+    size = lambda folder: sum(os.path.getsize(f) for f in glob.glob(f"{folder}/*.parquet"))
+    assert size(path) < 0.6 * size(f"{tmp_path}/as_read")
+
+
+def test_landing_tables_together_have_the_same_rows(spark, sf_small):
+    plain, together = testdata.source_tables(spark, sf_small), testdata.source_tables(spark, sf_small, together=True)
+    for t, df in plain.items():
+        assert rows(together[t]) == rows(df)
+        assert ("Sort [" in together[t]._jdf.queryExecution().executedPlan().toString()) == (t in testdata.TOGETHER)
+
+
+def test_landing_reviews_are_compressed_and_read_in_splits(spark, tmp_path):
+    from delivery_lake.sources.quoted_csv import lines_of, read_quoted_csv
+
+    text = F.concat(F.lit('say "it"\n\n'), F.md5(F.col("id").cast("string")), F.lit(",\nend"))
+    reviews = spark.range(60_000).select(F.md5(F.col("id").cast("string")).alias("order_id"), F.when(F.col("id") % 3 > 0, text).alias("comment")).coalesce(1)
+    path = f"{files.write_landing({'reviews': reviews}, f'{tmp_path}/landing')}/reviews.csv"
+    parts = glob.glob(f"{path}/part-*")
+    assert len(parts) == 1 and parts[0].endswith(".bz2")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300000")
+    try:
+        assert lines_of(spark, path).rdd.getNumPartitions() > 3
+        found = rows(read_quoted_csv(spark, path))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert found == rows(reviews)
+
+
+def test_silver_of_stored_tables_moves_hashes_only(spark, sf_small, tmp_path):
+    """``by_hash``: the same Silver rows; no whole rows are shuffled where few have copies, and an order's stay together."""
+    items, geo = testdata.order_items(spark, sf_small), testdata.geolocation(spark, sf_small)
+    raw = {"order_items": items.unionByName(items.where("order_id < '02'")), "geolocation": geo}  # few and many copies
+    for t, df in raw.items():
+        df.select(*[F.col(c).cast("string") for c in df.columns]).write.parquet(f"{tmp_path}/{t}")
+    stored = {t: spark.read.parquet(f"{tmp_path}/{t}") for t in raw}
+    plain, by_hash = cleaning.clean_tables(stored), cleaning.clean_tables(stored, by_hash=True)
+    for t in raw:
+        assert rows(by_hash[t]) == rows(plain[t])
+    count = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(order_id")
+    moved = by_hash["order_items"]._jdf.queryExecution().executedPlan().toString()
+    assert count(plain["order_items"]) == 1 and count(by_hash["order_items"]) == 1 and "BroadcastHashJoin" in moved  # that of the copies
